@@ -87,3 +87,54 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in QUERIES.items() if v[1] is not None}
+
+
+# ---- registry refresh (C1) ---------------------------------------------------------
+from barwise import sql_twins_ops as TO  # noqa: E402
+from barwise.operators import summaries as S  # noqa: E402
+from barwise.plans import ingest as IN  # noqa: E402
+from barwise.plans import registry as RG  # noqa: E402
+from barwise.schemas import DIVIDENDS  # noqa: E402
+
+
+def registry_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return RG.refresh_registry(FX.symbol_registry(spark, sf_dir), FX.equity_master(spark, sf_dir),
+                               FX.vendor_metadata(spark, sf_dir), FX.RUN_TS)
+
+
+register("registry_equity_rows", TO.REGISTRY_SQL["registry_equity_rows"])(
+    lambda spark, d: RG.equity_rows(FX.equity_master(spark, d), FX.RUN_TS))
+register("registry_refresh", TO.REGISTRY_SQL["registry_refresh"])(
+    lambda spark, d: registry_outputs(spark, d)["registry"])
+register("registry_backlog", TO.REGISTRY_SQL["registry_backlog"])(
+    lambda spark, d: registry_outputs(spark, d)["backlog"])
+register("registry_summary", TO.REGISTRY_SQL["registry_summary"])(
+    lambda spark, d: registry_outputs(spark, d)["summary"])
+register("equity_universe", TO.REGISTRY_SQL["equity_universe"])(
+    lambda spark, d: U.equity_universe(registry_outputs(spark, d)["registry"]))
+
+
+# ---- ingestion (C2) ------------------------------------------------------------------
+def ingest_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    uni = U.equity_universe(FX.symbol_registry(spark, sf_dir))
+    ledger = FX.split_ledger(spark, sf_dir)
+    price = IN.ingest(FX.stored_bars(spark, sf_dir), FX.bar_batch(spark, sf_dir), uni, ledger,
+                      "price", FX.AS_OF, "run-1", FX.RUN_TS)
+    div = IN.ingest(spark.createDataFrame([], DIVIDENDS), FX.dividends(spark, sf_dir), uni, ledger,
+                    "dividend", FX.AS_OF, "run-1", FX.RUN_TS)
+    return {"prices": price["table"], "ledger": price["ledger"].unionByName(div["ledger"]),
+            "log": price["log"].unionByName(div["log"]), "universe": uni, "split_ledger": ledger}
+
+
+register("ingest_prices", TO.INGEST_SQL["ingest_prices"])(lambda spark, d: ingest_outputs(spark, d)["prices"])
+register("ingest_ledger", TO.INGEST_SQL["ingest_ledger"])(lambda spark, d: ingest_outputs(spark, d)["ledger"])
+register("ingestion_summary", TO.INGEST_SQL["ingestion_summary"])(
+    lambda spark, d: S.status_summary(ingest_outputs(spark, d)["log"], run_id="run-1"))
+
+
+def _pending_splits(spark, d):
+    o = ingest_outputs(spark, d)
+    return U.pending(o["universe"], o["split_ledger"], "split", FX.AS_OF).select("yf_symbol")
+
+
+register("pending_splits", TO.INGEST_SQL["pending_splits"])(_pending_splits)

@@ -182,3 +182,100 @@ FIXTURE_SQL = {
 def fixture_cte(*names: str) -> str:
     """``WITH`` prefix defining the named fixture tables for an oracle query."""
     return "with " + ",\n".join(f"{n} as ({FIXTURE_SQL[n]})" for n in names) + "\n"
+
+
+# ---- registry / ingestion inputs ---------------------------------------------------
+# Equity master "file" rows: all strings, some header names padded with blanks,
+# blank symbols (negative balance), an unparsable face value and listing date,
+# empty market lots.  Built from ``supplier`` so it scales with the tables.
+RUN_TS = "2025-01-05 00:00:00"
+AS_OF = "2025-01-05"
+SNAPSHOT_CUT = "1999-01-01"     # stored bars end before this date
+BATCH_FROM = "1998-10-01"       # the re-fetched batch starts here (overlap)
+
+
+def equity_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read_table(spark, sf_dir, "supplier")
+    lst = F.date_add(F.lit("1990-01-01").cast("date"), F.col("s_suppkey").cast("int"))
+    return s.select(
+        F.when(F.col("s_acctbal") < 0, F.lit("  "))
+         .otherwise(F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))).alias(" SYMBOL"),
+        F.col("s_name").alias("NAME OF COMPANY "),
+        F.when(F.col("s_nationkey") < 5, F.lit("BE")).otherwise(F.lit("EQ")).alias("SERIES"),
+        F.when(F.col("s_nationkey") == 7, F.lit("not a date"))
+         .otherwise(F.upper(F.date_format(lst, "dd-MMM-yyyy"))).alias(" DATE OF LISTING"),
+        F.round(F.col("s_acctbal"), 0).cast("string").alias("PAID UP VALUE"),
+        F.when(F.col("s_nationkey") == 3, F.lit("")).otherwise(F.col("s_nationkey").cast("string")).alias("MARKET LOT"),
+        F.concat(F.lit("INE"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("ISIN NUMBER"),
+        F.when(F.col("s_nationkey") == 11, F.lit("abc"))
+         .otherwise((F.col("s_nationkey") + 1).cast("string")).alias("FACE VALUE"),
+    )
+
+
+def vendor_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched sector / industry / long name per supplier symbol (nation 2 has no sector)."""
+    s = read_table(spark, sf_dir, "supplier")
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region")
+    j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
+    return j.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol"),
+                    F.when(F.col("s_nationkey") == 2, F.lit(None).cast("string")).otherwise(F.col("r_name")).alias("sector"),
+                    F.col("n_name").alias("industry"),
+                    F.concat(F.col("s_name"), F.lit(" Ltd")).alias("name"))
+
+
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bar table as stored before this run: dates before SNAPSHOT_CUT."""
+    return (price_history(spark, sf_dir).where(F.col("date") < F.lit(SNAPSHOT_CUT).cast("date"))
+            .withColumn("ingested_at", F.lit("2000-01-01 00:00:00").cast("timestamp")))
+
+
+def bar_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Today's fetched bars: from BATCH_FROM on, adj_close revised."""
+    b = price_history(spark, sf_dir).where(F.col("date") >= F.lit(BATCH_FROM).cast("date"))
+    return b.withColumn("adj_close", F.round(F.col("close") * 0.98, 4))
+
+
+def split_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger that records today's successful 'split' ingestion of every
+    symbol that has splits."""
+    sp = splits(spark, sf_dir)
+    c = sp.groupBy("symbol").agg(F.min("split_date").alias("data_from"), F.max("split_date").alias("data_to"),
+                                 F.count(F.lit(1)).cast("bigint").alias("record_count"))
+    ts = F.lit(RUN_TS).cast("timestamp")
+    return c.select("symbol", F.lit("split").alias("data_type"), "data_from", "data_to", ts.alias("start_time"),
+                    ts.alias("end_time"), F.lit("success").alias("status"), "record_count",
+                    F.lit(None).cast("string").alias("error_msg"), F.lit("run-0").alias("dag_run_id"),
+                    ts.alias("created_at"))
+
+
+FIXTURE_SQL.update({
+    "equity_master": """
+  select case when s_acctbal < 0 then '  ' else 'S' || cast(s_suppkey as varchar) end as " SYMBOL",
+         s_name as "NAME OF COMPANY ",
+         case when s_nationkey < 5 then 'BE' else 'EQ' end as "SERIES",
+         case when s_nationkey = 7 then 'not a date'
+              else upper(strftime(date '1990-01-01' + cast(s_suppkey as integer), '%d-%b-%Y')) end as " DATE OF LISTING",
+         cast(round(s_acctbal, 0) as varchar) as "PAID UP VALUE",
+         case when s_nationkey = 3 then '' else cast(s_nationkey as varchar) end as "MARKET LOT",
+         'INE' || lpad(cast(s_suppkey as varchar), 6, '0') as "ISIN NUMBER",
+         case when s_nationkey = 11 then 'abc' else cast(s_nationkey + 1 as varchar) end as "FACE VALUE"
+  from supplier""",
+    "vendor_metadata": """
+  select 'S' || cast(s_suppkey as varchar) as symbol,
+         case when s_nationkey = 2 then null else r_name end as sector, n_name as industry,
+         s_name || ' Ltd' as name
+  from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+})
+FIXTURE_SQL["stored_bars"] = f"""
+  select *, timestamp '2000-01-01 00:00:00' as ingested_at from ({FIXTURE_SQL['price_history']}) ph
+  where date < date '{SNAPSHOT_CUT}'"""
+FIXTURE_SQL["bar_batch"] = f"""
+  select symbol, date, open, high, low, close, round(close * 0.98, 4) as adj_close, volume
+  from ({FIXTURE_SQL['price_history']}) ph where date >= date '{BATCH_FROM}'"""
+FIXTURE_SQL["split_ledger"] = f"""
+  select symbol, 'split' as data_type, min(split_date) as data_from, max(split_date) as data_to,
+         timestamp '{RUN_TS}' as start_time, timestamp '{RUN_TS}' as end_time, 'success' as status,
+         cast(count(*) as bigint) as record_count, cast(null as varchar) as error_msg, 'run-0' as dag_run_id,
+         timestamp '{RUN_TS}' as created_at
+  from ({FIXTURE_SQL['splits']}) sp group by symbol"""
