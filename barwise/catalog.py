@@ -138,3 +138,119 @@ def _pending_splits(spark, d):
 
 
 register("pending_splits", TO.INGEST_SQL["pending_splits"])(_pending_splits)
+
+
+# ---- model preparation, predictions, serving documents ---------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from barwise.operators import modelprep as MP  # noqa: E402
+from barwise.operators.upsert import upsert_stats  # noqa: E402
+
+LABEL = "target_direction_1d"
+
+
+def rounded_features(spark, d):
+    return FE.round_features(feature_frame(spark, d))
+
+
+def _labelled(spark, d):
+    return rounded_features(spark, d).where(F.col(LABEL).isNotNull())
+
+
+def _val_scores(spark, d):
+    f = MP.walk_forward_folds(_labelled(spark, d)).where(F.col("split") == "val")
+    return f.select("fold", F.col(LABEL).alias("y"),
+                    F.coalesce(F.col("stoch_k") / 100, F.lit(0.5)).alias("prob"))
+
+
+def _metrics(spark, d):
+    return MP.classification_metrics(_val_scores(spark, d), "y", "prob", by=["fold"])
+
+
+def _r6(df, cols):
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def baseline_predictions(spark, d, score_col="stoch_k"):
+    latest = S.latest_per_symbol(rounded_features(spark, d))
+    p = latest.select("symbol", F.col("date").alias("feature_date"),
+                      F.coalesce(F.col(score_col) / 100, F.lit(0.5)).alias("prob_up"))
+    return MP.decide(p, "prob_up", "feature_date").select(
+        "symbol", "feature_date", "prediction_date", "predicted_direction", "prob_up", "prob_down",
+        F.lit("baseline").alias("mlflow_run_id"), F.lit("run-1").alias("dag_run_id"),
+        F.lit(FX.RUN_TS).cast("timestamp").alias("created_at"))
+
+
+register("training_stats", TO.MODEL_SQL["training_stats"])(
+    lambda spark, d: _r6(S.training_stats(rounded_features(spark, d), LABEL), ["up_share"]))
+register("walk_forward_folds", TO.MODEL_SQL["walk_forward_folds"])(
+    lambda spark, d: MP.walk_forward_folds(_labelled(spark, d)).groupBy("fold", "split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.min("date").alias("min_date"),
+        F.max("date").alias("max_date"), F.sum(LABEL).cast("bigint").alias("n_up")))
+register("holdout_split", TO.MODEL_SQL["holdout_split"])(
+    lambda spark, d: MP.holdout_split(_labelled(spark, d)).groupBy("split", "cutoff_date").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.min("date").alias("min_date"),
+        F.max("date").alias("max_date")))
+register("encode_categories", TO.MODEL_SQL["encode_categories"])(
+    lambda spark, d: MP.encode_categories(rounded_features(spark, d).select("symbol", "date", "sector", "industry")))
+register("latest_features", TO.MODEL_SQL["latest_features"])(
+    lambda spark, d: S.latest_per_symbol(rounded_features(spark, d)).select(
+        "symbol", "date", "close_lag_1", "sma_20", "rsi_14", "stoch_k", LABEL))
+register("fold_metrics", TO.MODEL_SQL["fold_metrics"])(
+    lambda spark, d: _r6(_metrics(spark, d), ["accuracy", "auc", "f1", "logloss"]))
+register("cv_average", TO.MODEL_SQL["cv_average"])(
+    lambda spark, d: _r6(S.cv_average(_metrics(spark, d)), ["cv_accuracy", "cv_auc", "cv_f1", "cv_logloss"]))
+register("predictions", TO.MODEL_SQL["predictions"])(
+    lambda spark, d: _r6(baseline_predictions(spark, d), ["prob_up", "prob_down"]))
+register("prediction_summary", TO.MODEL_SQL["prediction_summary"])(
+    lambda spark, d: S.prediction_summary(baseline_predictions(spark, d)))
+
+
+def prediction_documents(pred):
+    """Serving documents — dates and timestamps as text, ints, floats."""
+    return pred.select("symbol", F.col("feature_date").cast("string").alias("feature_date"),
+                       F.col("prediction_date").cast("string").alias("prediction_date"),
+                       F.col("predicted_direction").cast("int").alias("predicted_direction"),
+                       F.round("prob_up", 6).alias("prob_up"), F.round("prob_down", 6).alias("prob_down"),
+                       "mlflow_run_id", "dag_run_id", F.col("created_at").cast("string").alias("created_at")) \
+               .orderBy(F.col("feature_date").desc(), F.col("symbol").asc())
+
+
+register("prediction_documents", TO.MODEL_SQL["prediction_documents"])(
+    lambda spark, d: prediction_documents(baseline_predictions(spark, d)))
+
+
+def _doc_stats(spark, d):
+    cur = baseline_predictions(spark, d)
+    prev = baseline_predictions(spark, d, "stoch_d").join(
+        FX.dividends(spark, d).select("symbol").distinct(), "symbol", "left_semi")
+    return upsert_stats(prev, cur, ["symbol", "feature_date"],
+                        ["prediction_date", "predicted_direction", "prob_up", "prob_down"])
+
+
+register("document_upsert_stats", TO.MODEL_SQL["document_upsert_stats"])(_doc_stats)
+
+_READ_COLS = ["symbol", "date", "close_lag_1", "sma_20", "rsi_14", "daily_return"]
+register("symbol_history", TO.MODEL_SQL["symbol_history"])(
+    lambda spark, d: rounded_features(spark, d).where(F.col("symbol") == "Brand#13").select(*_READ_COLS))
+register("date_snapshot", TO.MODEL_SQL["date_snapshot"])(
+    lambda spark, d: rounded_features(spark, d).where(F.col("date") == F.lit("1998-06-15").cast("date"))
+    .select(*_READ_COLS))
+
+
+# ---- feature-run bookkeeping (F20 quarantine, U11, G3, G4, G9) ----------------------------------
+def feature_log(spark, d):
+    fs = FE.to_feature_schema(feature_frame(spark, d), computed_at=None)
+    g = fs.groupBy("symbol", "_status").agg(F.count(F.lit(1)).alias("n"))
+    bad = F.col("_status") == "failed"
+    return g.select("symbol", F.lit("features").alias("data_type"), F.col("_status").alias("status"),
+                    F.when(bad, 0).otherwise(F.col("n")).cast("bigint").alias("rows_affected"),
+                    F.when(bad, F.lit("numeric overflow")).alias("error_msg"),
+                    F.lit("run-1").alias("dag_run_id"), F.lit(FX.RUN_TS).cast("timestamp").alias("ran_at"))
+
+
+register("feature_run_log", TO.BOOK_SQL["feature_run_log"])(feature_log)
+register("feature_summary", TO.BOOK_SQL["feature_summary"])(
+    lambda spark, d: S.status_summary(feature_log(spark, d), "run-1", "features", by=("status",)))
+register("feature_symbols", TO.BOOK_SQL["feature_symbols"])(
+    lambda spark, d: S.distinct_symbols(feature_log(spark, d).where(F.col("status") == "success")))

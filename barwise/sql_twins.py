@@ -41,8 +41,8 @@ def _ewm_cte(name: str, src: str, specs: list[tuple[str, str, float]]) -> str:
             f"from {name} r join {src} s on s.symbol = r.symbol and s.rn = r.rn + 1)")
 
 
-def features_sql(cols: list[str] | None = None, min_rows: int = 60) -> str:
-    """The whole feature build over the fixture tables, rounded."""
+def features_body(min_rows: int = 60) -> str:
+    """WITH-prefix ending in ``full_features`` (unrounded doubles)."""
     a12, a26, a14, a9 = 2 / 13, 2 / 27, 1 / 14, 2 / 10
     ctes = fixture_cte(*ALL_FIXTURES)
     body = f""",
@@ -146,8 +146,12 @@ full_features as (
   join sp on sp.symbol = l3.symbol and sp.date = l3.date
   left join universe u on u.yf_symbol = l3.symbol)
 """
+    return ctes.replace("with ", "with recursive ", 1) + body
+
+
+def _rounded_select(cols: list[str]) -> str:
     sel = []
-    for c in (cols or FEATURE_COLS):
+    for c in cols:
         if c in DECIMALS:
             sel.append(f"round(cast({c} as double), {4 if c in EWM_COLS else 6}) as {c}")
         elif c in BIGINT_COLS:
@@ -156,4 +160,14 @@ full_features as (
             sel.append(f"cast({c} as integer) as {c}")
         else:
             sel.append(c)
-    return ctes.replace("with ", "with recursive ", 1) + body + "select " + ", ".join(sel) + " from full_features"
+    return ", ".join(sel)
+
+
+def features_cte(min_rows: int = 60) -> str:
+    """WITH-prefix ending in ``ff``: the rounded feature table."""
+    return (features_body(min_rows) + f",\nff as (select {_rounded_select(FEATURE_COLS)} from full_features)\n")
+
+
+def features_sql(cols: list[str] | None = None, min_rows: int = 60) -> str:
+    """The whole feature build over the fixture tables, rounded."""
+    return features_body(min_rows) + f"select {_rounded_select(cols or FEATURE_COLS)} from full_features"

@@ -179,3 +179,142 @@ select data_type, status, cast(count(*) as bigint) as n, cast(coalesce(sum(rows_
 from log_rows where dag_run_id = 'run-1' group by data_type, status""",
     "pending_splits": ingest_ctes() + "select symbol as yf_symbol from todo_split",
 }
+
+
+# ---- model preparation, predictions, documents ----------------------------------------
+def _model_ctes() -> str:
+    from barwise.sql_twins import features_cte
+    folds = ", ".join(f"({i + 1}, {te!r}, {ve!r})" for i, (_, te, ve) in enumerate(FOLD_BOUNDARIES))
+    return features_cte() + f""",
+lab as (select * from ff where target_direction_1d is not null),
+di as (select date, row_number() over (order by date) - 1 as date_idx, count(*) over () as n_dates
+       from (select distinct date from lab) x),
+fb as (select * from (values {folds}) v(fold, te, ve)),
+cuts as (select di.date, di.date_idx, fb.fold,
+                cast(floor(n_dates * cast(fb.te as double)) - 1 as integer) as train_end,
+                cast(floor(n_dates * cast(fb.ve as double)) - 1 as integer) as val_end
+         from di, fb),
+fj as (select lab.*, c.fold,
+              case when c.date_idx <= c.train_end then 'train' when c.date_idx <= c.val_end then 'val' end as split
+       from lab join cuts c on c.date = lab.date),
+v as (select fold, cast(target_direction_1d as double) as y, coalesce(stoch_k / 100, 0.5) as p
+      from fj where split = 'val'),
+mm as (
+  select fold,
+         avg(case when y = (case when p >= 0.5 then 1.0 else 0.0 end) then 1.0 else 0.0 end) as accuracy,
+         sum(y * (case when p >= 0.5 then 1.0 else 0.0 end)) as tp,
+         sum((1 - y) * (case when p >= 0.5 then 1.0 else 0.0 end)) as fp,
+         sum(y * (1 - (case when p >= 0.5 then 1.0 else 0.0 end))) as fn,
+         -avg(y * ln(least(greatest(p, {LOGLOSS_EPS!r}), {1 - LOGLOSS_EPS!r}))
+              + (1 - y) * ln(1 - least(greatest(p, {LOGLOSS_EPS!r}), {1 - LOGLOSS_EPS!r}))) as logloss
+  from v group by fold),
+rk as (select fold, y, rank() over (partition by fold order by p) as r,
+              count(*) over (partition by fold, p) as ties from v),
+auc as (select fold, (sum(case when y = 1 then r + (ties - 1) / 2.0 end) - sum(y) * (sum(y) + 1) / 2.0)
+                     / nullif(sum(y) * sum(1 - y), 0) as auc
+        from rk group by fold),
+metrics as (
+  select mm.fold, mm.accuracy, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) as f1, mm.logloss, auc.auc
+  from mm left join auc on auc.fold = mm.fold),
+latest as (select * from ff qualify row_number() over (partition by symbol order by date desc) = 1),
+pred as (
+  select symbol, date as feature_date,
+         date + cast(case dayofweek(date) when 5 then 3 when 6 then 2 else 1 end as integer) as prediction_date,
+         cast(case when coalesce(stoch_k / 100, 0.5) >= 0.5 then 1 else 0 end as smallint) as predicted_direction,
+         coalesce(stoch_k / 100, 0.5) as prob_up, 1 - coalesce(stoch_k / 100, 0.5) as prob_down,
+         'baseline' as mlflow_run_id, 'run-1' as dag_run_id, timestamp '{RUN_TS}' as created_at
+  from latest),
+prev as (
+  select symbol, date as feature_date,
+         date + cast(case dayofweek(date) when 5 then 3 when 6 then 2 else 1 end as integer) as prediction_date,
+         cast(case when coalesce(stoch_d / 100, 0.5) >= 0.5 then 1 else 0 end as smallint) as predicted_direction,
+         coalesce(stoch_d / 100, 0.5) as prob_up, 1 - coalesce(stoch_d / 100, 0.5) as prob_down
+  from latest where symbol in (select symbol from dividends)),
+docs as (
+  select symbol, cast(feature_date as varchar) as feature_date, cast(prediction_date as varchar) as prediction_date,
+         cast(predicted_direction as integer) as predicted_direction, round(prob_up, 6) as prob_up,
+         round(prob_down, 6) as prob_down, mlflow_run_id, dag_run_id, cast(created_at as varchar) as created_at
+  from pred)
+"""
+
+
+def _r6(cols):
+    return ", ".join(f"round({c}, 6) as {c}" for c in cols)
+
+
+MODEL_SQL = {
+    "training_stats": _model_ctes() + """
+select cast(count(*) as bigint) as n_rows, cast(count(distinct symbol) as bigint) as n_symbols,
+       min(date) as min_date, max(date) as max_date,
+       round(sum(cast(target_direction_1d as double)) / nullif(count(*), 0), 6) as up_share
+from lab""",
+    "walk_forward_folds": _model_ctes() + """
+select fold, split, cast(count(*) as bigint) as n_rows, min(date) as min_date, max(date) as max_date,
+       cast(sum(target_direction_1d) as bigint) as n_up
+from fj where split is not null group by fold, split""",
+    "holdout_split": _model_ctes() + f""",
+hc as (select max(case when date_idx = cast(floor(n_dates * cast({HOLDOUT_FRACTION!r} as double)) - 1 as integer)
+                       then date end) as cutoff_date,
+              max(cast(floor(n_dates * cast({HOLDOUT_FRACTION!r} as double)) - 1 as integer)) as cut from di),
+hs as (select lab.date, case when di.date_idx <= hc.cut then 'train' else 'val' end as split, hc.cutoff_date
+       from lab join di on di.date = lab.date, hc)
+select split, cutoff_date, cast(count(*) as bigint) as n_rows, min(date) as min_date, max(date) as max_date
+from hs group by split, cutoff_date""",
+    "encode_categories": _model_ctes() + """,
+vs as (select v, cast(dense_rank() over (order by v) - 1 as integer) as code
+       from (select distinct coalesce(sector, 'Unknown') as v from ff) x),
+vi as (select v, cast(dense_rank() over (order by v) - 1 as integer) as code
+       from (select distinct coalesce(industry, 'Unknown') as v from ff) x)
+select ff.symbol, ff.date, vs.code as sector, vi.code as industry
+from ff join vs on vs.v = coalesce(ff.sector, 'Unknown') join vi on vi.v = coalesce(ff.industry, 'Unknown')""",
+    "latest_features": _model_ctes() + """
+select symbol, date, close_lag_1, sma_20, rsi_14, stoch_k, target_direction_1d from latest""",
+    "fold_metrics": _model_ctes() + f"select fold, {_r6(['accuracy', 'auc', 'f1', 'logloss'])} from metrics",
+    "cv_average": _model_ctes() + """
+select round(avg(accuracy), 6) as cv_accuracy, round(avg(auc), 6) as cv_auc, round(avg(f1), 6) as cv_f1,
+       round(avg(logloss), 6) as cv_logloss from metrics""",
+    "predictions": _model_ctes() + """
+select symbol, feature_date, prediction_date, predicted_direction, round(prob_up, 6) as prob_up,
+       round(prob_down, 6) as prob_down, mlflow_run_id, dag_run_id, created_at from pred""",
+    "prediction_summary": _model_ctes() + """
+select cast(count(*) as bigint) as total, cast(count(case when predicted_direction = 1 then 1 end) as bigint) as up,
+       cast(count(case when predicted_direction = 0 then 1 end) as bigint) as down from pred""",
+    "prediction_documents": _model_ctes() + "select * from docs",
+    "document_upsert_stats": _model_ctes() + """
+select cast(count(case when p.symbol is null then 1 end) as bigint) as inserted,
+       cast(count(case when p.symbol is not null and (
+            c.prediction_date is distinct from p.prediction_date
+         or c.predicted_direction is distinct from p.predicted_direction
+         or c.prob_up is distinct from p.prob_up or c.prob_down is distinct from p.prob_down) then 1 end) as bigint)
+         as modified,
+       cast(count(*) as bigint) as total
+from pred c left join prev p on p.symbol = c.symbol and p.feature_date = c.feature_date""",
+    "symbol_history": _model_ctes() + """
+select symbol, date, close_lag_1, sma_20, rsi_14, daily_return from ff where symbol = 'Brand#13'""",
+    "date_snapshot": _model_ctes() + """
+select symbol, date, close_lag_1, sma_20, rsi_14, daily_return from ff where date = date '1998-06-15'""",
+}
+
+
+def feature_log_sql() -> str:
+    from barwise.plans.features import DECIMALS
+    from barwise.sql_twins import features_body
+    over = " or ".join(f"({c} is not null and try_cast({c} as decimal({p},{s})) is null)"
+                       for c, (p, s) in DECIMALS.items())
+    return features_body() + f""",
+st as (select symbol, max(case when {over} then 1 else 0 end) as bad, count(*) as n from full_features group by symbol),
+log_rows as (select symbol, 'features' as data_type, case when bad = 1 then 'failed' else 'success' end as status,
+                    cast(case when bad = 1 then 0 else n end as bigint) as rows_affected,
+                    case when bad = 1 then 'numeric overflow' end as error_msg, 'run-1' as dag_run_id,
+                    timestamp '{RUN_TS}' as ran_at from st)
+"""
+
+
+BOOK_SQL = {
+    "feature_run_log": feature_log_sql() + "select * from log_rows",
+    "feature_summary": feature_log_sql() + """
+select status, cast(count(*) as bigint) as n, cast(coalesce(sum(rows_affected), 0) as bigint) as rows
+from log_rows where dag_run_id = 'run-1' and data_type = 'features' group by status""",
+    "feature_symbols": feature_log_sql() + """
+select cast(count(distinct symbol) as bigint) as n_symbols from log_rows where status = 'success'""",
+}
