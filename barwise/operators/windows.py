@@ -58,3 +58,62 @@ def add_bar_index(df, key: str = "symbol", order: str = "date",
     w = Window.partitionBy(key).orderBy(order)
     return (df.withColumn(rn, F.row_number().over(w))
               .withColumn(blk, ((F.col(rn) - 1) / block).cast("int")))
+
+
+# ---- O(1)-per-row rolling aggregates ---------------------------------------------------
+# Spark re-aggregates a sliding ROWS frame from scratch for every row, so a
+# 252-row frame costs 252 updates per row.  The helpers below need two Window
+# levels of the SAME ordering (one sort) and cost O(1) (sums, counts, means)
+# or O(n / 16 + 16) (min / max) per row.
+
+def running_cols(w: WindowSpec, x, name: str):
+    """Level-1 columns for :func:`fast_sum` / :func:`fast_mean`: running sum
+    and running non-null count from the start of the series."""
+    x = col_of(x)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    return [F.sum(x).over(run).alias(f"__rs_{name}"), F.count(x).over(run).alias(f"__rc_{name}")]
+
+
+def _delta(w: WindowSpec, col: str, n: int):
+    c = F.col(col)
+    return c - F.coalesce(F.lag(c, n).over(w), F.lit(0))
+
+
+def fast_count(w, name, n):
+    return _delta(w, f"__rc_{name}", n)
+
+
+def fast_sum(w, name, n):
+    """Sum of the last ``n`` rows (min_periods = 1) as a difference of
+    running sums."""
+    return _delta(w, f"__rs_{name}", n)
+
+
+def fast_mean(w, name, n):
+    """Full-window mean of the last ``n`` rows (NULL unless all present)."""
+    return F.when(fast_count(w, name, n) == n, fast_sum(w, name, n) / n)
+
+
+BLOCK = 16
+
+
+def extreme_cols(w: WindowSpec, x, name: str, n: int, fn):
+    """Level-1 columns for :func:`fast_extreme`: ``fn`` over 16-row and
+    (n mod 16)-row trailing frames."""
+    x = col_of(x)
+    cols = [fn(x).over(w.rowsBetween(-(BLOCK - 1), 0)).alias(f"__x16_{name}")]
+    r = n % BLOCK
+    if r:
+        cols.append(fn(x).over(w.rowsBetween(-(r - 1), 0)).alias(f"__xr_{name}"))
+    return cols
+
+
+def fast_extreme(w: WindowSpec, name: str, n: int, greatest: bool):
+    """Full-window min / max of the last ``n`` rows from lagged block
+    extremes; needs ``running_cols`` of the same input for the count guard."""
+    k, r = divmod(n, BLOCK)
+    parts = [F.col(f"__x16_{name}")] + [F.lag(f"__x16_{name}", j * BLOCK).over(w) for j in range(1, k)]
+    if r:
+        parts.append(F.lag(f"__xr_{name}", k * BLOCK).over(w))
+    comb = (F.greatest if greatest else F.least)(*parts)
+    return F.when(fast_count(w, name, n) == n, comb)

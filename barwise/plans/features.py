@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from barwise.functions import clip_lower0, sdiv, sign_label, to_decimal
 from barwise.operators.ewm import EwmSpec, com_alpha, ewm, span_alpha
-from barwise.operators.windows import (EWM_BLOCK, rolling_max, rolling_mean, rolling_min,
-                                       rolling_std, rolling_sum_min1, series_window)
+from barwise.operators.windows import (EWM_BLOCK, extreme_cols, fast_extreme, fast_mean, fast_sum,
+                                       rolling_max, rolling_mean, rolling_min, rolling_std, running_cols,
+                                       series_window)
 
 MIN_HISTORY = 60
 
@@ -151,8 +152,16 @@ def technical_features(tl: DataFrame, legacy_labels: bool = False) -> DataFrame:
     w = series_window()
     c, h, lo, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
 
-    # level 1: lags, leads and rolling windows of raw columns (one Window node)
-    l1 = tl.select(
+    # level 0: running sums / counts and block extremes (one Window node).
+    # Running-sum means are used only where the exact mean has at most 5
+    # decimals (sma_50, sma_200: cents / n), so their ~1e-10 error can never
+    # move a 6-digit rounding; 20-row means stay exact frames (bb bands add
+    # full-precision stddev to them).
+    l0 = tl.select("*", *running_cols(w, c, "c"),
+                   *running_cols(w, "div_today", "d"), *running_cols(w, h, "h"), *running_cols(w, lo, "l"),
+                   *extreme_cols(w, h, "h", 252, F.max), *extreme_cols(w, lo, "l", 252, F.min))
+    # level 1: lags, leads, short frames and the O(1) rolling columns (one Window node)
+    l1 = l0.select(
         "*",
         F.lag(c, 1).over(w).alias("close_lag_1"),
         F.lag(c, 2).over(w).alias("close_lag_2"),
@@ -161,13 +170,13 @@ def technical_features(tl: DataFrame, legacy_labels: bool = False) -> DataFrame:
         F.lead(c, 1).over(w).alias("_f1"),
         F.lead(c, 5).over(w).alias("_f5"),
         rolling_mean(w, c, 5).alias("sma_5"), rolling_mean(w, c, 10).alias("sma_10"),
-        rolling_mean(w, c, 20).alias("sma_20"), rolling_mean(w, c, 50).alias("sma_50"),
-        rolling_mean(w, c, 200).alias("sma_200"),
+        rolling_mean(w, c, 20).alias("sma_20"), fast_mean(w, "c", 50).alias("sma_50"),
+        fast_mean(w, "c", 200).alias("sma_200"),
         rolling_std(w, c, 20).alias("_std20"),
         rolling_min(w, lo, 14).alias("_low14"), rolling_max(w, h, 14).alias("_high14"),
         rolling_mean(w, v, 20).alias("volume_sma_20"),
-        rolling_max(w, h, 252).alias("high_52w"), rolling_min(w, lo, 252).alias("low_52w"),
-        rolling_sum_min1(w, "div_today", 252).alias("_ttm_div"),
+        fast_extreme(w, "h", 252, True).alias("high_52w"), fast_extreme(w, "l", 252, False).alias("low_52w"),
+        fast_sum(w, "d", 252).alias("_ttm_div"),
     )
     c1 = F.col("close_lag_1")
     delta = c - c1
