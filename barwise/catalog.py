@@ -254,3 +254,15 @@ register("feature_summary", TO.BOOK_SQL["feature_summary"])(
     lambda spark, d: S.status_summary(feature_log(spark, d), "run-1", "features", by=("status",)))
 register("feature_symbols", TO.BOOK_SQL["feature_symbols"])(
     lambda spark, d: S.distinct_symbols(feature_log(spark, d).where(F.col("status") == "success")))
+
+
+# ---- training and scoring (no SQL twin: rows-only check) -------------------------------------
+from barwise.plans import model as MD  # noqa: E402
+
+
+def _gbt(spark, d):
+    return MD.train_and_predict(rounded_features(spark, d), run_id="gbt-run", created_at=FX.RUN_TS)
+
+
+register("gbt_predictions", None)(lambda spark, d: _gbt(spark, d)["predictions"])
+register("gbt_feature_importance", None)(lambda spark, d: _gbt(spark, d)["importance"])
