@@ -266,3 +266,8 @@ def _gbt(spark, d):
 
 register("gbt_predictions", None)(lambda spark, d: _gbt(spark, d)["predictions"])
 register("gbt_feature_importance", None)(lambda spark, d: _gbt(spark, d)["importance"])
+
+
+# ---- many short series: one symbol per supplier (FIXTURES §2 note) ----------------------------
+register("features_by_supplier", T.features_sql(symbol_col="l_suppkey"))(
+    lambda spark, d: FE.round_features(FE.build_features(FX.price_history(spark, d, "l_suppkey"))))

@@ -26,12 +26,13 @@ from pyspark.sql import functions as F
 
 from barwise.functions import or_unknown
 from barwise.operators.modelprep import classification_metrics, decide, holdout_split, walk_forward_folds
-from barwise.operators.summaries import cv_average, latest_per_symbol, top_k
+from barwise.operators.summaries import cv_average, latest_per_symbol, require_rows, top_k, training_stats
 from barwise.plans.features import NUMERIC_FEATURES
 
 LABEL = "target_direction_1d"
 CATEGORICAL = ["sector", "industry"]
 MISSING = -1.0e12
+MIN_TRAIN_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -165,6 +166,7 @@ def train_and_predict(features: DataFrame, p: BoostParams = BoostParams(), dag_r
     """C4 + C5 without cross-validation: final fit, then score the newest
     row of every symbol."""
     run_id = run_id or new_run_id()
+    require_rows(training_stats(features, LABEL), MIN_TRAIN_ROWS)
     fit = train_final(features, p)
     pred = score_latest(features, fit["model"], run_id, dag_run_id, created_at)
     return {**fit, "predictions": pred, "run_id": run_id}

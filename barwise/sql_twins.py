@@ -9,7 +9,7 @@ doubles the same way (6 digits, 4 for EWM-derived columns).
 from __future__ import annotations
 
 from barwise.plans.features import BIGINT_COLS, DECIMALS, EWM_COLS, FEATURE_COLS, INT_COLS
-from barwise.sources.fixtures import fixture_cte
+from barwise.sources.fixtures import FIXTURE_SQL, fixture_cte
 
 ALL_FIXTURES = ("price_history", "fundamentals", "dividends", "splits", "symbol_registry")
 
@@ -41,10 +41,15 @@ def _ewm_cte(name: str, src: str, specs: list[tuple[str, str, float]]) -> str:
             f"from {name} r join {src} s on s.symbol = r.symbol and s.rn = r.rn + 1)")
 
 
-def features_body(min_rows: int = 60) -> str:
-    """WITH-prefix ending in ``full_features`` (unrounded doubles)."""
+def features_body(min_rows: int = 60, symbol_col: str = "p_brand") -> str:
+    """WITH-prefix ending in ``full_features`` (unrounded doubles).  With
+    ``symbol_col='l_suppkey'`` bars are per supplier and every symbol is used
+    (no registry universe; events and registry match nothing)."""
     a12, a26, a14, a9 = 2 / 13, 2 / 27, 1 / 14, 2 / 10
     ctes = fixture_cte(*ALL_FIXTURES)
+    if symbol_col != "p_brand":
+        ph = FIXTURE_SQL["price_history"].replace("p_brand", f"cast({symbol_col} as varchar)")
+        ctes = ctes.replace(FIXTURE_SQL["price_history"], ph)
     body = f""",
 universe as (
   select yf_symbol, sector, industry from symbol_registry
@@ -56,7 +61,8 @@ b0 as (
          row_number() over (partition by symbol order by date) as rn,
          count(*) over (partition by symbol) as nb
   from price_history
-  where symbol in (select yf_symbol from universe) and open is not null and close is not null),
+  where {"symbol in (select yf_symbol from universe) and " if symbol_col == "p_brand" else ""}open is not null
+    and close is not null),
 b as (select * from b0 where nb >= {min_rows}),
 bd as (
   select b.*, coalesce(d.amount, 0.0) as div_today
@@ -168,6 +174,7 @@ def features_cte(min_rows: int = 60) -> str:
     return (features_body(min_rows) + f",\nff as (select {_rounded_select(FEATURE_COLS)} from full_features)\n")
 
 
-def features_sql(cols: list[str] | None = None, min_rows: int = 60) -> str:
+def features_sql(cols: list[str] | None = None, min_rows: int = 60, symbol_col: str = "p_brand") -> str:
     """The whole feature build over the fixture tables, rounded."""
-    return features_body(min_rows) + f"select {_rounded_select(cols or FEATURE_COLS)} from full_features"
+    return (features_body(min_rows, symbol_col)
+            + f"select {_rounded_select(cols or FEATURE_COLS)} from full_features")

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from barwise import catalog  # noqa: E402
 from barwise.session import build_session  # noqa: E402
 
-HEADLINE = ["features", "bars", "ingest_prices", "registry_refresh", "walk_forward_folds",
+HEADLINE = ["features", "features_by_supplier", "bars", "ingest_prices", "registry_refresh", "walk_forward_folds",
             "fold_metrics", "predictions", "feature_run_log"]
 
 
