@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the per-symbol window stage is CPU-heavy per byte: keep post-shuffle
+    # parallelism when a shuffle is small instead of coalescing it into one
+    # task (large shuffles are unaffected: their partitions exceed this floor)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
