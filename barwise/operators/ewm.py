@@ -22,6 +22,7 @@ All windows use the ordering (key, blk, rn), so they run on one sort.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -36,9 +37,13 @@ _D_FLOOR = 1e-20
 
 @dataclass(frozen=True)
 class EwmSpec:
+    """``dense_from`` names a column holding the first row index where ``x``
+    is observed, for inputs that by construction have no NULL after it.
+    Their block log-product then has a closed form and needs no window."""
     out: str
     x: str
     alpha: float
+    dense_from: str | None = None
 
 
 def span_alpha(span: float) -> float:
@@ -60,21 +65,36 @@ def ewm(df: DataFrame, specs: list[EwmSpec], key: str = "symbol", rn: str = "rn"
     base_cols = df.columns
     tmp = []
 
-    # level 1: last observed row index before this row (shared per input column)
+    general = [i for i, s in enumerate(specs) if s.dense_from is None]
+
+    # level 1: last observed row index before this row (general inputs only)
     prev_of = {}
-    for s in specs:
-        if s.x not in prev_of:
+    for i in general:
+        x = specs[i].x
+        if x not in prev_of:
             p = f"__ewm_prev_{len(prev_of)}"
-            prev_of[s.x] = p
+            prev_of[x] = p
             tmp.append(p)
-    df = df.select("*", *[
-        F.last(F.when(F.col(x).isNotNull(), F.col(rn)), ignorenulls=True).over(w_prev).alias(p)
-        for x, p in prev_of.items()])
+    if prev_of:
+        df = df.select("*", *[
+            F.last(F.when(F.col(x).isNotNull(), F.col(rn)), ignorenulls=True).over(w_prev).alias(p)
+            for x, p in prev_of.items()])
 
     # level 2 (plain projection): coefficients and log-coefficients
     proj = []
     for i, s in enumerate(specs):
-        x, prev = F.col(s.x).cast("double"), F.col(prev_of[s.x])
+        x = F.col(s.x).cast("double")
+        if s.dense_from is not None:
+            first = F.col(s.dense_from)
+            # a = 1 up to the seed row, 1 - alpha after it: closed-form block log-product
+            start = F.greatest(F.col(blk) * block + 1, first + 1)
+            cum = F.lit(math.log(1.0 - s.alpha)) * F.greatest(F.col(rn) - start + 1, F.lit(0)).cast("double")
+            bx = (F.when(F.col(rn) < first, F.lit(0.0)).when(F.col(rn) == first, x)
+                   .otherwise(F.lit(s.alpha) * x))
+            proj += [cum.alias(f"__ewm_cum_{i}"), bx.alias(f"__ewm_bx_{i}")]
+            tmp += [f"__ewm_cum_{i}", f"__ewm_bx_{i}"]
+            continue
+        prev = F.col(prev_of[s.x])
         d = F.greatest(F.pow(F.lit(1.0 - s.alpha), (F.col(rn) - prev).cast("double")), F.lit(_D_FLOOR))
         obs_later = x.isNotNull() & prev.isNotNull()
         la = F.when(obs_later, F.log(d / (d + F.lit(s.alpha)))).otherwise(F.lit(0.0))
@@ -84,10 +104,10 @@ def ewm(df: DataFrame, specs: list[EwmSpec], key: str = "symbol", rn: str = "rn"
         tmp += [f"__ewm_la_{i}", f"__ewm_bx_{i}"]
     df = df.select("*", *proj)
 
-    # level 3: running log-product inside the block
-    df = df.select("*", *[F.sum(f"__ewm_la_{i}").over(w_blk).alias(f"__ewm_cum_{i}")
-                          for i in range(len(specs))])
-    tmp += [f"__ewm_cum_{i}" for i in range(len(specs))]
+    # level 3: running log-product inside the block (general inputs only)
+    if general:
+        df = df.select("*", *[F.sum(f"__ewm_la_{i}").over(w_blk).alias(f"__ewm_cum_{i}") for i in general])
+        tmp += [f"__ewm_cum_{i}" for i in general]
 
     # level 4: running rebased sum inside the block
     df = df.select("*", *[F.sum(F.col(f"__ewm_bx_{i}") * F.exp(-F.col(f"__ewm_cum_{i}")))
@@ -109,6 +129,9 @@ def ewm(df: DataFrame, specs: list[EwmSpec], key: str = "symbol", rn: str = "rn"
     for i, s in enumerate(specs):
         A = F.exp(F.col(f"__ewm_cum_{i}"))
         y = A * (F.col(f"__ewm_carry_{i}") + F.col(f"__ewm_sum_{i}"))
-        seen = F.col(s.x).isNotNull() | F.col(prev_of[s.x]).isNotNull()
+        if s.dense_from is not None:
+            seen = F.col(rn) >= F.col(s.dense_from)
+        else:
+            seen = F.col(s.x).isNotNull() | F.col(prev_of[s.x]).isNotNull()
         outs.append(F.when(seen, y).alias(s.out))
     return df.select(*[c for c in base_cols if c not in {s.out for s in specs}], *outs)

@@ -99,7 +99,7 @@ def event_timeline(bars: DataFrame, fundamentals: DataFrame | None = None,
     spark = bars.sparkSession
     fund_t = "struct<" + ",".join(
         f"{c}:{'bigint' if c in BIGINT_COLS else 'double'}" for c in FUNDAMENTAL_COLS) + ">"
-    b = bars.select("symbol", "date",
+    b = bars.where(F.col("close").isNotNull()).select("symbol", "date",
                     *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
                     F.col("volume").cast("double").alias("volume"), F.lit(1).alias("tag"))
     parts = [b]
@@ -157,7 +157,9 @@ def technical_features(tl: DataFrame, legacy_labels: bool = False) -> DataFrame:
     # decimals (sma_50, sma_200: cents / n), so their ~1e-10 error can never
     # move a 6-digit rounding; 20-row means stay exact frames (bb bands add
     # full-precision stddev to them).
-    l0 = tl.select("*", *running_cols(w, c, "c"),
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    l0 = tl.select("*", F.min(F.when(c.isNotNull(), F.col("rn"))).over(wall).alias("_f_close"),
+                   *running_cols(w, c, "c"),
                    *running_cols(w, "div_today", "d"), *running_cols(w, h, "h"), *running_cols(w, lo, "l"),
                    *extreme_cols(w, h, "h", 252, F.max), *extreme_cols(w, lo, "l", 252, F.min))
     # level 1: lags, leads, short frames and the O(1) rolling columns (one Window node)
@@ -216,16 +218,20 @@ def technical_features(tl: DataFrame, legacy_labels: bool = False) -> DataFrame:
         rolling_std(w, r, 5).alias("rolling_std_5"),
         rolling_std(w, r, 20).alias("rolling_std_20"),
         rolling_mean(w, "stoch_k", 3).alias("stoch_d"),
+        F.min(F.when(F.col("_gain").isNotNull(), F.col("rn"))).over(wall).alias("_f_gain"),
     )
 
     # EWM pass 1: prices, Wilder averages, ATR;  pass 2: MACD signal
-    l3 = ewm(l2, [EwmSpec("ema_12", "close", span_alpha(12)),
-                  EwmSpec("ema_26", "close", span_alpha(26)),
-                  EwmSpec("_avg_gain", "_gain", com_alpha(13)),
-                  EwmSpec("_avg_loss", "_loss", com_alpha(13)),
+    # close has no NULLs (bars without close are dropped), so close, gain,
+    # loss and macd are dense after their first value; high / low may be
+    # NULL, so the true range takes the general gap-aware path.
+    l3 = ewm(l2, [EwmSpec("ema_12", "close", span_alpha(12), "_f_close"),
+                  EwmSpec("ema_26", "close", span_alpha(26), "_f_close"),
+                  EwmSpec("_avg_gain", "_gain", com_alpha(13), "_f_gain"),
+                  EwmSpec("_avg_loss", "_loss", com_alpha(13), "_f_gain"),
                   EwmSpec("atr_14", "_tr", com_alpha(13))])
     l3 = l3.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-    l4 = ewm(l3, [EwmSpec("macd_signal", "macd", span_alpha(9))])
+    l4 = ewm(l3, [EwmSpec("macd_signal", "macd", span_alpha(9), "_f_close")])
     rs = sdiv("_avg_gain", "_avg_loss")
     return l4.select(
         "*",

@@ -36,3 +36,20 @@ def test_ewm_matches_pandas_with_gaps(spark, alpha):
 def test_ewm_all_null_series_stays_null(spark):
     out = ewm(_frame(spark, {"N": np.full(10, np.nan)}), [EwmSpec("y", "x", 0.2)])
     assert out.where(F.col("y").isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize("alpha", [0.2, 2 / 27])
+def test_dense_path_matches_pandas(spark, alpha):
+    rng = np.random.default_rng(11)
+    a = rng.normal(100, 4, 900)
+    a[:3] = np.nan                       # NULLs only before the first value
+    df = _frame(spark, {"D": a})
+    df = df.withColumn("first", F.min(F.when(F.col("x").isNotNull(), F.col("rn"))).over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("symbol")))
+    out = ewm(df, [EwmSpec("y", "x", alpha, "first"), EwmSpec("g", "x", alpha)]).toPandas().sort_values("rn")
+    ref = pd.Series(a).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+    for col in ("y", "g"):
+        got = out[col].to_numpy(dtype=float)
+        assert np.array_equal(np.isnan(got), np.isnan(ref))
+        m = ~np.isnan(ref)
+        np.testing.assert_allclose(got[m], ref[m], rtol=1e-11)
