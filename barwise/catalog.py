@@ -178,7 +178,7 @@ def baseline_predictions(spark, d, score_col="stoch_k"):
     return MP.decide(p, "prob_up", "feature_date").select(
         "symbol", "feature_date", "prediction_date", "predicted_direction", "prob_up", "prob_down",
         F.lit("baseline").alias("mlflow_run_id"), F.lit("run-1").alias("dag_run_id"),
-        F.lit(FX.RUN_TS).cast("timestamp").alias("created_at"))
+        F.lit(FX.RUN_TS).cast("timestamp_ntz").alias("created_at"))
 
 
 register("training_stats", TO.MODEL_SQL["training_stats"])(
@@ -246,7 +246,7 @@ def feature_log(spark, d):
     return g.select("symbol", F.lit("features").alias("data_type"), F.col("_status").alias("status"),
                     F.when(bad, 0).otherwise(F.col("n")).cast("bigint").alias("rows_affected"),
                     F.when(bad, F.lit("numeric overflow")).alias("error_msg"),
-                    F.lit("run-1").alias("dag_run_id"), F.lit(FX.RUN_TS).cast("timestamp").alias("ran_at"))
+                    F.lit("run-1").alias("dag_run_id"), F.lit(FX.RUN_TS).cast("timestamp_ntz").alias("ran_at"))
 
 
 register("feature_run_log", TO.BOOK_SQL["feature_run_log"])(feature_log)

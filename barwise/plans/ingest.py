@@ -78,12 +78,12 @@ def ingest(target: DataFrame, batch: DataFrame, universe: DataFrame, ledger: Dat
     todo = pending(universe, ledger, data_type, as_of).select(F.col("yf_symbol").alias("symbol"))
     b = batch.join(todo, "symbol", "left_semi")
     merged = upsert(target, b, spec["keys"], spec["update"],
-                    insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp")})
+                    insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
     cov = coverage(b, spec["date_col"])
     led = todo.join(cov, "symbol", "left")
     empty = F.col("record_count").isNull()
     failed = empty if data_type == "price" else F.lit(False)
-    ts = F.lit(run_ts).cast("timestamp")
+    ts = F.lit(run_ts).cast("timestamp_ntz")
     ledger_rows = led.select(
         "symbol", F.lit(data_type).alias("data_type"), "data_from", "data_to",
         ts.alias("start_time"), ts.alias("end_time"),

@@ -54,7 +54,7 @@ def run_feature_job(spark: SparkSession, bars: DataFrame, fundamentals: DataFram
                          F.when(F.col("_status") == "failed", 0).otherwise(F.col("n")).cast("bigint")
                           .alias("rows_affected"),
                          F.when(F.col("_status") == "failed", F.lit("numeric overflow")).alias("error_msg"),
-                         F.lit(run_id).alias("dag_run_id"), F.lit(computed_at).cast("timestamp").alias("ran_at")))
+                         F.lit(run_id).alias("dag_run_id"), F.lit(computed_at).cast("timestamp_ntz").alias("ran_at")))
     append_rows(log, log_path)
     logs = spark.read.parquet(log_path)
     return {"features": spark.read.parquet(out_path),

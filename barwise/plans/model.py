@@ -118,7 +118,7 @@ def score_latest(features: DataFrame, model: PipelineModel, run_id: str, dag_run
     latest = latest_per_symbol(features)
     scored = prob_up(model.transform(model_frame(latest)))
     out = decide(scored.withColumnRenamed("date", "feature_date"), "prob_up", "feature_date")
-    ts = F.lit(created_at).cast("timestamp") if created_at else F.current_timestamp()
+    ts = F.lit(created_at).cast("timestamp_ntz") if created_at else F.localtimestamp()
     return out.select("symbol", "feature_date", "prediction_date", "predicted_direction", "prob_up", "prob_down",
                       F.lit(run_id).alias("mlflow_run_id"), F.lit(dag_run_id).alias("dag_run_id"),
                       ts.alias("created_at"))
@@ -154,7 +154,7 @@ def run_row(spark, run_id: str, dag_run_id: str, data: DataFrame, cv: DataFrame
         F.lit(run_id).alias("mlflow_run_id"), F.lit(run_id[:8]).alias("model_version"),
         F.lit(dag_run_id).alias("dag_run_id"), "*",
         F.lit(len(NUMERIC_FEATURES) + len(CATEGORICAL)).alias("n_features"),
-        F.current_timestamp().alias("created_at"))
+        F.localtimestamp().alias("created_at"))
 
 
 def new_run_id() -> str:

@@ -111,14 +111,14 @@ def equity_rows(master: DataFrame, as_of_ts) -> DataFrame:
         parse_day_first_date("DATE OF LISTING").alias("listing_date"),
         safe_double("FACE VALUE").alias("face_value"), safe_double("PAID UP VALUE").alias("paid_up_value"),
         safe_int("MARKET LOT", zero_is_null=True).alias("market_lot"),
-        F.lit(True).alias("is_active"), F.lit(as_of_ts).cast("timestamp").alias("last_updated"))
+        F.lit(True).alias("is_active"), F.lit(as_of_ts).cast("timestamp_ntz").alias("last_updated"))
 
 
 def index_rows(catalog: DataFrame, as_of_ts) -> DataFrame:
     """U8 source: canonical key from the ticker."""
     return catalog.select(index_key("ticker").alias("symbol"), F.lit("index").alias("symbol_type"),
                           F.col("ticker").alias("yf_symbol"), "name", "index_category",
-                          F.lit(True).alias("is_active"), F.lit(as_of_ts).cast("timestamp").alias("last_updated"))
+                          F.lit(True).alias("is_active"), F.lit(as_of_ts).cast("timestamp_ntz").alias("last_updated"))
 
 
 def enrich(reg: DataFrame, backlog: DataFrame, meta: DataFrame, as_of_ts) -> DataFrame:
@@ -133,7 +133,7 @@ def enrich(reg: DataFrame, backlog: DataFrame, meta: DataFrame, as_of_ts) -> Dat
     return j.select(*[
         (F.when(hit, F.coalesce(F.col(f"m_{c}"), F.col(c))).otherwise(F.col(c)).alias(c)
          if c in ("sector", "industry", "name")
-         else F.when(hit, F.lit(as_of_ts).cast("timestamp")).otherwise(F.col(c)).alias(c)
+         else F.when(hit, F.lit(as_of_ts).cast("timestamp_ntz")).otherwise(F.col(c)).alias(c)
          if c == "last_updated" else F.col(c))
         for c in reg.columns])
 

@@ -1,4 +1,5 @@
-"""Fixed table schemas (U15).  Natural keys are kept; surrogate ids are not."""
+"""Fixed table schemas (U15).  Natural keys are kept; surrogate ids are not.
+Timestamps are wall-clock (TIMESTAMP without time zone): TimestampNTZType."""
 
 from __future__ import annotations
 
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 
 _TYPES = {"string": T.StringType(), "date": T.DateType(), "double": T.DoubleType(), "int": T.IntegerType(),
           "bigint": T.LongType(), "smallint": T.ShortType(), "boolean": T.BooleanType(),
-          "timestamp": T.TimestampType()}
+          "timestamp": T.TimestampNTZType()}
 
 
 def _s(ddl: str) -> T.StructType:

@@ -227,7 +227,7 @@ def vendor_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bar table as stored before this run: dates before SNAPSHOT_CUT."""
     return (price_history(spark, sf_dir).where(F.col("date") < F.lit(SNAPSHOT_CUT).cast("date"))
-            .withColumn("ingested_at", F.lit("2000-01-01 00:00:00").cast("timestamp")))
+            .withColumn("ingested_at", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
 
 
 def bar_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +242,7 @@ def split_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     sp = splits(spark, sf_dir)
     c = sp.groupBy("symbol").agg(F.min("split_date").alias("data_from"), F.max("split_date").alias("data_to"),
                                  F.count(F.lit(1)).cast("bigint").alias("record_count"))
-    ts = F.lit(RUN_TS).cast("timestamp")
+    ts = F.lit(RUN_TS).cast("timestamp_ntz")
     return c.select("symbol", F.lit("split").alias("data_type"), "data_from", "data_to", ts.alias("start_time"),
                     ts.alias("end_time"), F.lit("success").alias("status"), "record_count",
                     F.lit(None).cast("string").alias("error_msg"), F.lit("run-0").alias("dag_run_id"),

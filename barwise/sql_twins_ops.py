@@ -9,6 +9,7 @@ from barwise.schemas import REGISTRY
 from barwise.sources.fixtures import AS_OF, FIXTURE_SQL, RUN_TS
 
 _DUCK_T = {"string": "varchar", "double": "double", "int": "integer", "bigint": "bigint", "date": "date",
+           "timestamp_ntz": "timestamp",
            "timestamp": "timestamp", "boolean": "boolean", "smallint": "smallint"}
 
 

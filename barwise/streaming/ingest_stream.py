@@ -51,7 +51,7 @@ def merge_bars(spark: SparkSession, base: DataFrame, table_dir: str, run_ts):
     def _merge(batch: DataFrame, batch_id: int) -> None:
         current = read_snapshot(spark, table_dir, batch_id - 1, base)
         merged = upsert(current, batch, spec["keys"], spec["update"],
-                        insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp")})
+                        insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
         (merged.repartition("symbol").sortWithinPartitions("symbol", "date")
                .write.mode("overwrite").parquet(snapshot_path(table_dir, batch_id)))
     return _merge
