@@ -111,7 +111,8 @@ register("registry_backlog", TO.REGISTRY_SQL["registry_backlog"])(
 register("registry_summary", TO.REGISTRY_SQL["registry_summary"])(
     lambda spark, d: registry_outputs(spark, d)["summary"])
 register("equity_universe", TO.REGISTRY_SQL["equity_universe"])(
-    lambda spark, d: U.equity_universe(registry_outputs(spark, d)["registry"]))
+    lambda spark, d: U.universe_or_fallback(U.equity_universe(registry_outputs(spark, d)["registry"]),
+                                            U.fallback_equities(spark)))
 
 
 # ---- ingestion (C2) ------------------------------------------------------------------

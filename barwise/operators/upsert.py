@@ -14,7 +14,7 @@ directory and never overwrites the folder being read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _T, _S = "__in_target", "__in_source"
@@ -102,10 +102,3 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
-
-
-def latest_by_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Row with the largest ``order_col`` per key via a window (kept for
-    callers that need the full row and ties broken by a second column)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

@@ -83,10 +83,6 @@ NUMERIC_FEATURES = [c for c in FEATURE_COLS[2:]
                     if c not in ("sector", "industry") and not c.startswith("target_")]
 
 
-def _empty_like(spark, schema_ddl: str) -> DataFrame:
-    return spark.createDataFrame([], schema_ddl)
-
-
 def event_timeline(bars: DataFrame, fundamentals: DataFrame | None = None,
                    dividends: DataFrame | None = None, splits: DataFrame | None = None,
                    min_rows: int = MIN_HISTORY, block: int = EWM_BLOCK) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from barwise.operators.universe import FALLBACK_EQUITIES
 from barwise.operators.modelprep import FOLD_BOUNDARIES, HOLDOUT_FRACTION, LOGLOSS_EPS
 from barwise.plans.registry import (BROAD_INDICES, EQUITY_UPDATE, INDEX_UPDATE, SECTOR_INDICES,
                                     THEMATIC_INDICES)
@@ -116,10 +117,14 @@ REGISTRY_SQL = {
     "registry_summary": registry_ctes() + """
 select symbol_type, index_category, cast(count(*) as bigint) as total, cast(count(sector) as bigint) as with_sector
 from t3 where is_active group by symbol_type, index_category""",
-    "equity_universe": registry_ctes() + """
-select symbol, yf_symbol, sector, industry from t3
-where symbol_type = 'equity' and series = 'EQ' and is_active and highlight
-  and yf_symbol is not null and trim(yf_symbol) <> ''""",
+    "equity_universe": registry_ctes() + f""",
+uni as (select symbol, yf_symbol, sector, industry from t3
+        where symbol_type = 'equity' and series = 'EQ' and is_active and highlight
+          and yf_symbol is not null and trim(yf_symbol) <> ''),
+fb as (select replace(t, '.NS', '') as symbol, t as yf_symbol, cast(null as varchar) as sector,
+              cast(null as varchar) as industry
+       from (values {", ".join(f"('{t}')" for t in FALLBACK_EQUITIES)}) v(t))
+select * from uni union all select * from fb where not exists (select 1 from uni)""",
 }
 
 PRICE_COLS = ["symbol", "date", "open", "high", "low", "close", "adj_close", "volume", "ingested_at"]

@@ -55,3 +55,15 @@ def test_dedupe_last_wins_and_stats(spark):
     t, s = _tables(spark)
     st = upsert_stats(t, s, ["symbol", "date"], ["close", "volume"]).first()
     assert (st.inserted, st.modified, st.total) == (1, 1, 2)
+
+
+def test_fallback_universe_only_when_registry_selects_nothing(spark):
+    from barwise.operators import universe as U
+    reg = spark.createDataFrame([("X", "equity", "X.NS", "EQ", True, False, "s", "i")],
+                                "symbol string, symbol_type string, yf_symbol string, series string, "
+                                "is_active boolean, highlight boolean, sector string, industry string")
+    empty = U.universe_or_fallback(U.equity_universe(reg), U.fallback_equities(spark))
+    assert empty.count() == len(U.FALLBACK_EQUITIES)
+    hl = reg.withColumn("highlight", F.lit(True))
+    got = U.universe_or_fallback(U.equity_universe(hl), U.fallback_equities(spark)).collect()
+    assert [r.yf_symbol for r in got] == ["X.NS"]
