@@ -10,10 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barwise import sql_twins as T
+from barwise import sql_twins_ops as TO
+from barwise.operators import modelprep as MP
+from barwise.operators import summaries as S
 from barwise.operators import universe as U
+from barwise.operators.upsert import upsert_stats
 from barwise.plans import features as FE
+from barwise.plans import ingest as IN
+from barwise.plans import model as MD
+from barwise.plans import registry as RG
+from barwise.schemas import DIVIDENDS
 from barwise.sources import fixtures as FX
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -90,11 +99,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 # ---- registry refresh (C1) ---------------------------------------------------------
-from barwise import sql_twins_ops as TO  # noqa: E402
-from barwise.operators import summaries as S  # noqa: E402
-from barwise.plans import ingest as IN  # noqa: E402
-from barwise.plans import registry as RG  # noqa: E402
-from barwise.schemas import DIVIDENDS  # noqa: E402
 
 
 def registry_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -142,10 +146,7 @@ register("pending_splits", TO.INGEST_SQL["pending_splits"])(_pending_splits)
 
 
 # ---- model preparation, predictions, serving documents ---------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from barwise.operators import modelprep as MP  # noqa: E402
-from barwise.operators.upsert import upsert_stats  # noqa: E402
 
 LABEL = "target_direction_1d"
 
@@ -258,7 +259,6 @@ register("feature_symbols", TO.BOOK_SQL["feature_symbols"])(
 
 
 # ---- training and scoring (no SQL twin: rows-only check) -------------------------------------
-from barwise.plans import model as MD  # noqa: E402
 
 
 def _gbt(spark, d):
