@@ -272,3 +272,17 @@ register("gbt_feature_importance", None)(lambda spark, d: _gbt(spark, d)["import
 # ---- many short series: one symbol per supplier (FIXTURES §2 note) ----------------------------
 register("features_by_supplier", T.features_sql(symbol_col="l_suppkey"))(
     lambda spark, d: FE.round_features(FE.build_features(FX.price_history(spark, d, "l_suppkey"))))
+
+
+# ---- event-table ingestion (U2-U4): refetched batch merged into the stored table -------------
+def event_ingest(spark, d, kind):
+    name = FX.EVENT_TABLES[kind][0]
+    batch = {"dividends": FX.dividends, "splits": FX.splits, "fundamentals": FX.fundamentals}[name](spark, d)
+    uni = U.equity_universe(FX.symbol_registry(spark, d))
+    return IN.ingest(FX.stored_events(spark, d, kind), batch, uni, FX.split_ledger(spark, d), kind,
+                     FX.AS_OF, "run-1", FX.RUN_TS)["table"]
+
+
+for _kind in ("dividend", "split", "fundamental"):
+    register(f"ingest_{_kind}s", TO.event_ingest_sql(_kind))(
+        lambda spark, d, _k=_kind: event_ingest(spark, d, _k))

@@ -279,3 +279,15 @@ FIXTURE_SQL["split_ledger"] = f"""
          cast(count(*) as bigint) as record_count, cast(null as varchar) as error_msg, 'run-0' as dag_run_id,
          timestamp '{RUN_TS}' as created_at
   from ({FIXTURE_SQL['splits']}) sp group by symbol"""
+
+
+EVENT_TABLES = {"dividend": ("dividends", "ex_date"), "split": ("splits", "split_date"),
+                "fundamental": ("fundamentals", "as_of_date")}
+
+
+def stored_events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """An event table as stored before this run: events before SNAPSHOT_CUT."""
+    name, date_col = EVENT_TABLES[kind]
+    t = {"dividends": dividends, "splits": splits, "fundamentals": fundamentals}[name](spark, sf_dir)
+    return (t.where(F.col(date_col) < F.lit(SNAPSHOT_CUT).cast("date"))
+             .withColumn("ingested_at", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))

@@ -324,3 +324,27 @@ from log_rows where dag_run_id = 'run-1' and data_type = 'features' group by sta
     "feature_symbols": feature_log_sql() + """
 select cast(count(distinct symbol) as bigint) as n_symbols from log_rows where status = 'success'""",
 }
+
+
+def event_ingest_sql(kind: str) -> str:
+    """A refetched event batch upserted into the stored event table."""
+    from barwise.plans.ingest import SPECS
+    from barwise.sources.fixtures import EVENT_TABLES, SNAPSHOT_CUT
+    name, date_col = EVENT_TABLES[kind]
+    spec = SPECS[kind]
+    cols = {"dividends": ["symbol", "ex_date", "amount"], "splits": ["symbol", "split_date", "ratio"],
+            "fundamentals": ["symbol", "as_of_date", "pe_ratio", "pb_ratio", "eps", "revenue", "net_income",
+                             "debt_to_equity", "roe", "market_cap"]}[name]
+    return f"""with symbol_registry as ({FIXTURE_SQL['symbol_registry']}),
+ev as ({FIXTURE_SQL[name]}),
+ledger as ({FIXTURE_SQL['split_ledger']}),
+universe as (select symbol, yf_symbol from symbol_registry
+  where symbol_type = 'equity' and series = 'EQ' and is_active and highlight and trim(yf_symbol) <> ''),
+todo as (select yf_symbol as symbol from universe where yf_symbol not in (
+  select symbol from ledger where data_type = '{kind}' and status = 'success'
+  and cast(end_time as date) = date '{AS_OF}')),
+stored as (select *, timestamp '2000-01-01 00:00:00' as ingested_at from ev where {date_col} < date '{SNAPSHOT_CUT}'),
+batch as (select * from ev where symbol in (select symbol from todo)),
+merged as ({upsert_sql('stored', 'batch', spec['keys'], cols + ['ingested_at'], cols, spec['update'],
+                       {'ingested_at': f"timestamp '{RUN_TS}'"})})
+select * from merged"""
