@@ -1,6 +1,6 @@
 """Ordered-window building blocks for per-symbol daily series.
 
-All feature windows share ONE ordering — ``partitionBy(key).orderBy(blk, rn)``
+All feature windows share ONE ordering — ``PARTITION BY symbol ORDER BY blk, rn``
 — where ``rn`` is the 1-based bar index inside the symbol and ``blk`` the
 EWM block of ``rn`` (see :mod:`barwise.operators.ewm`).  Ordering by
 ``(blk, rn)`` is the same order as ``date``, and it is also the ordering
@@ -10,48 +10,12 @@ single exchange + a single sort feed every Window node of the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwise.functions import col_of
-
 EWM_BLOCK = 256
 
 
-def series_window(key: str = "symbol", blk: str = "blk", rn: str = "rn") -> WindowSpec:
-    return Window.partitionBy(key).orderBy(blk, rn)
-
-
-def full_window(w: WindowSpec, x, n: int, agg) -> Column:
-    """Rolling ``agg`` over the last ``n`` rows that is NULL unless all ``n``
-    rows are present and non-null (pandas ``rolling(n)`` default)."""
-    x = col_of(x)
-    wn = w.rowsBetween(-(n - 1), 0)
-    return F.when(F.count(x).over(wn) == n, agg(x).over(wn))
-
-
-def rolling_mean(w, x, n):
-    return full_window(w, x, n, F.avg)
-
-
-def rolling_std(w, x, n):
-    """Sample standard deviation (ddof = 1) over a full window."""
-    return full_window(w, x, n, F.stddev_samp)
-
-
-def rolling_min(w, x, n):
-    return full_window(w, x, n, F.min)
-
-
-def rolling_max(w, x, n):
-    return full_window(w, x, n, F.max)
-
-
-def rolling_sum_min1(w, x, n):
-    """Rolling sum with ``min_periods=1`` (no full-window guard)."""
-    return F.sum(col_of(x)).over(w.rowsBetween(-(n - 1), 0))
-
-
 def add_bar_index(df, key: str = "symbol", order: str = "date",
                   rn: str = "rn", blk: str = "blk", block: int = EWM_BLOCK):
     """1-based bar index per key and its EWM block."""
@@ -60,60 +24,78 @@ def add_bar_index(df, key: str = "symbol", order: str = "date",
               .withColumn(blk, ((F.col(rn) - 1) / block).cast("int")))
 
 
-# ---- O(1)-per-row rolling aggregates ---------------------------------------------------
-# Spark re-aggregates a sliding ROWS frame from scratch for every row, so a
-# 252-row frame costs 252 updates per row.  The helpers below need two Window
-# levels of the SAME ordering (one sort) and cost O(1) (sums, counts, means)
-# or O(n / 16 + 16) (min / max) per row.
-
-def running_cols(w: WindowSpec, x, name: str):
-    """Level-1 columns for :func:`fast_sum` / :func:`fast_mean`: running sum
-    and running non-null count from the start of the series."""
-    x = col_of(x)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return [F.sum(x).over(run).alias(f"__rs_{name}"), F.count(x).over(run).alias(f"__rc_{name}")]
-
-
-def _delta(w: WindowSpec, col: str, n: int):
-    c = F.col(col)
-    return c - F.coalesce(F.lag(c, n).over(w), F.lit(0))
-
-
-def fast_count(w, name, n):
-    return _delta(w, f"__rc_{name}", n)
-
-
-def fast_sum(w, name, n):
-    """Sum of the last ``n`` rows (min_periods = 1) as a difference of
-    running sums."""
-    return _delta(w, f"__rs_{name}", n)
-
-
-def fast_mean(w, name, n):
-    """Full-window mean of the last ``n`` rows (NULL unless all present)."""
-    return F.when(fast_count(w, name, n) == n, fast_sum(w, name, n) / n)
-
+# ---- window columns as SQL text ------------------------------------------------------------
+# Feature columns are written as SQL expressions: one JVM parse per column
+# instead of dozens of py4j calls per Column tree.  Every expression of a
+# SqlWindow uses the same PARTITION BY / ORDER BY, so Catalyst puts them in
+# the same Window nodes and one sort serves all of them.
 
+SYMBOL_SERIES = "PARTITION BY symbol ORDER BY blk, rn"
 BLOCK = 16
-
-
-def extreme_cols(w: WindowSpec, x, name: str, n: int, fn):
-    """Level-1 columns for :func:`fast_extreme`: ``fn`` over 16-row and
-    (n mod 16)-row trailing frames."""
-    x = col_of(x)
-    cols = [fn(x).over(w.rowsBetween(-(BLOCK - 1), 0)).alias(f"__x16_{name}")]
-    r = n % BLOCK
-    if r:
-        cols.append(fn(x).over(w.rowsBetween(-(r - 1), 0)).alias(f"__xr_{name}"))
-    return cols
-
-
-def fast_extreme(w: WindowSpec, name: str, n: int, greatest: bool):
-    """Full-window min / max of the last ``n`` rows from lagged block
-    extremes; needs ``running_cols`` of the same input for the count guard."""
-    k, r = divmod(n, BLOCK)
-    parts = [F.col(f"__x16_{name}")] + [F.lag(f"__x16_{name}", j * BLOCK).over(w) for j in range(1, k)]
-    if r:
-        parts.append(F.lag(f"__xr_{name}", k * BLOCK).over(w))
-    comb = (F.greatest if greatest else F.least)(*parts)
-    return F.when(fast_count(w, name, n) == n, comb)
+_INF = "CAST('Infinity' AS DOUBLE)"
+
+
+class SqlWindow:
+    """SQL snippets over one window specification."""
+
+    def __init__(self, spec: str):
+        self.spec = spec
+        self.whole = f"OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+        self.run = f"OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+    def frame(self, n: int) -> str:
+        return f"OVER ({self.spec} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+    def full(self, agg: str, x: str, n: int) -> str:
+        """Rolling ``agg`` over the last ``n`` rows, NULL unless all ``n``
+        are present and non-null (pandas ``rolling(n)`` default)."""
+        return f"CASE WHEN count({x}) {self.frame(n)} = {n} THEN {agg}({x}) {self.frame(n)} END"
+
+    def lag(self, x: str, n: int, fn: str = "lag") -> str:
+        return f"{fn}({x}, {n}) OVER ({self.spec})"
+
+    # O(1)-per-row rolling aggregates.  Spark re-aggregates a sliding ROWS
+    # frame for every row (n updates per row); these need two Window levels
+    # of the same ordering and cost O(1) (sums, counts, means) or
+    # O(n / 16 + 16) (min / max) per row.
+    def running(self, x: str, name: str) -> dict[str, str]:
+        """Level-1 columns: running sum and running non-null count."""
+        return {f"__rs_{name}": f"sum({x}) {self.run}", f"__rc_{name}": f"count({x}) {self.run}"}
+
+    def delta(self, col: str, n: int) -> str:
+        """Last-``n``-rows total from a running column."""
+        return f"({col} - coalesce({self.lag(col, n)}, 0))"
+
+    def fast_mean(self, name: str, n: int) -> str:
+        """Full-window mean from running sums.  Exact after rounding where the
+        true mean has few decimals (e.g. cents / n); the difference of
+        running sums carries ~1e-10 absolute error."""
+        return (f"CASE WHEN {self.delta(f'__rc_{name}', n)} = {n} "
+                f"THEN {self.delta(f'__rs_{name}', n)} / {n} END")
+
+    def extreme_parts(self, x: str, name: str, n: int, fn: str) -> dict[str, str]:
+        """Level-1 columns: ``fn`` over 16-row and (n mod 16)-row frames."""
+        out = {f"__x16_{name}": f"{fn}({x}) {self.frame(BLOCK)}"}
+        if n % BLOCK:
+            out[f"__xr_{name}"] = f"{fn}({x}) {self.frame(n % BLOCK)}"
+        return out
+
+    def fast_extreme(self, name: str, n: int, comb: str) -> str:
+        """Full-window min / max from lagged 16-row block extremes (needs
+        ``running`` of the same input for the count guard)."""
+        k, r = divmod(n, BLOCK)
+        parts = [f"__x16_{name}"] + [self.lag(f"__x16_{name}", j * BLOCK) for j in range(1, k)]
+        if r:
+            parts.append(self.lag(f"__xr_{name}", k * BLOCK))
+        return f"CASE WHEN {self.delta(f'__rc_{name}', n)} = {n} THEN {comb}({', '.join(parts)}) END"
+
+
+def sql_div(a: str, b: str) -> str:
+    """F8/F9 in SQL: zero denominator or a non-finite result gives NULL."""
+    q = f"(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0D))"
+    return f"CASE WHEN abs({q}) < {_INF} THEN {q} END"
+
+
+def with_sql(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Append SQL-expression columns in one projection."""
+    return df.select("*", *[F.expr(e).alias(k) for k, e in cols.items()])

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from barwise.functions import sdiv, to_decimal
 from barwise.operators.ewm import EwmSpec, com_alpha, ewm, span_alpha
-from barwise.operators.windows import EWM_BLOCK
+from barwise.operators.windows import (EWM_BLOCK, SYMBOL_SERIES, SqlWindow, sql_div, with_sql)
+
+_SW = SqlWindow(SYMBOL_SERIES)
 
 MIN_HISTORY = 60
 
@@ -141,129 +143,65 @@ def event_timeline(bars: DataFrame, fundamentals: DataFrame | None = None,
     )
 
 
-# ---- SQL text of the per-symbol window columns ------------------------------------------------
-# The feature columns are written as SQL expressions: one JVM parse per
-# column instead of dozens of py4j calls per Column tree (plan construction
-# was ~40% of a warm run).  Every window uses the same specification.
-_W = "PARTITION BY symbol ORDER BY blk, rn"
-_INF = "CAST('Infinity' AS DOUBLE)"
-
-
-def _frame(n: int) -> str:
-    return f"OVER ({_W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-
-
-def _full(agg: str, x: str, n: int) -> str:
-    """Rolling ``agg`` that is NULL unless all ``n`` rows are non-null."""
-    return f"CASE WHEN count({x}) {_frame(n)} = {n} THEN {agg}({x}) {_frame(n)} END"
-
-
-def _lag(x: str, n: int, fn: str = "lag") -> str:
-    return f"{fn}({x}, {n}) OVER ({_W})"
-
-
-def _running(x: str, name: str) -> dict[str, str]:
-    run = f"OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    return {f"__rs_{name}": f"sum({x}) {run}", f"__rc_{name}": f"count({x}) {run}"}
-
-
-def _delta(col: str, n: int) -> str:
-    return f"({col} - coalesce({_lag(col, n)}, 0))"
-
-
-def _fast_mean(name: str, n: int) -> str:
-    """Mean of the last ``n`` rows from running sums (exact after rounding
-    where the true mean has at most 5 decimals)."""
-    return f"CASE WHEN {_delta(f'__rc_{name}', n)} = {n} THEN {_delta(f'__rs_{name}', n)} / {n} END"
-
-
-_BLOCK = 16
-
-
-def _extreme_parts(x: str, name: str, n: int, fn: str) -> dict[str, str]:
-    out = {f"__x16_{name}": f"{fn}({x}) {_frame(_BLOCK)}"}
-    if n % _BLOCK:
-        out[f"__xr_{name}"] = f"{fn}({x}) {_frame(n % _BLOCK)}"
-    return out
-
-
-def _fast_extreme(name: str, n: int, comb: str) -> str:
-    """Full-window min / max from lagged 16-row block extremes."""
-    k, r = divmod(n, _BLOCK)
-    parts = [f"__x16_{name}"] + [_lag(f"__x16_{name}", j * _BLOCK) for j in range(1, k)]
-    if r:
-        parts.append(_lag(f"__xr_{name}", k * _BLOCK))
-    return f"CASE WHEN {_delta(f'__rc_{name}', n)} = {n} THEN {comb}({', '.join(parts)}) END"
-
-
-def _sdiv(a: str, b: str) -> str:
-    q = f"(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0D))"
-    return f"CASE WHEN abs({q}) < {_INF} THEN {q} END"
-
-
-def _with(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    return df.select("*", *[F.expr(e).alias(k) for k, e in cols.items()])
-
-
 def technical_features(tl: DataFrame, legacy_labels: bool = False) -> DataFrame:
     """W1-W43 over an event timeline (output of :func:`event_timeline`)."""
-    wall = f"OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    wall = _SW.whole
     # level 0: running sums / counts and block extremes (one Window node).
     # Running-sum means are used only where the exact mean has at most 5
     # decimals (sma_50, sma_200: cents / n), so their ~1e-10 error can never
     # move a 6-digit rounding; 20-row means stay exact frames (bb bands add
     # full-precision stddev to them).
-    l0 = _with(tl, {"_f_close": f"min(CASE WHEN close IS NOT NULL THEN rn END) {wall}",
-                    **_running("close", "c"), **_running("div_today", "d"), **_running("high", "h"),
-                    **_running("low", "l"),
-                    **_extreme_parts("high", "h", 252, "max"), **_extreme_parts("low", "l", 252, "min")})
+    l0 = with_sql(tl, {"_f_close": f"min(CASE WHEN close IS NOT NULL THEN rn END) {wall}",
+                    **_SW.running("close", "c"), **_SW.running("div_today", "d"), **_SW.running("high", "h"),
+                    **_SW.running("low", "l"),
+                    **_SW.extreme_parts("high", "h", 252, "max"), **_SW.extreme_parts("low", "l", 252, "min")})
     # level 1: lags, leads, short frames and the O(1) rolling columns (one Window node)
-    l1 = _with(l0, {
-        "close_lag_1": _lag("close", 1), "close_lag_2": _lag("close", 2), "close_lag_5": _lag("close", 5),
-        "_c21": _lag("close", 21), "_f1": _lag("close", 1, "lead"), "_f5": _lag("close", 5, "lead"),
-        "sma_5": _full("avg", "close", 5), "sma_10": _full("avg", "close", 10),
-        "sma_20": _full("avg", "close", 20), "sma_50": _fast_mean("c", 50), "sma_200": _fast_mean("c", 200),
-        "_std20": _full("stddev_samp", "close", 20),
-        "_low14": _full("min", "low", 14), "_high14": _full("max", "high", 14),
-        "volume_sma_20": _full("avg", "volume", 20),
-        "high_52w": _fast_extreme("h", 252, "greatest"), "low_52w": _fast_extreme("l", 252, "least"),
-        "_ttm_div": _delta("__rs_d", 252),
+    l1 = with_sql(l0, {
+        "close_lag_1": _SW.lag("close", 1), "close_lag_2": _SW.lag("close", 2), "close_lag_5": _SW.lag("close", 5),
+        "_c21": _SW.lag("close", 21), "_f1": _SW.lag("close", 1, "lead"), "_f5": _SW.lag("close", 5, "lead"),
+        "sma_5": _SW.full("avg", "close", 5), "sma_10": _SW.full("avg", "close", 10),
+        "sma_20": _SW.full("avg", "close", 20), "sma_50": _SW.fast_mean("c", 50), "sma_200": _SW.fast_mean("c", 200),
+        "_std20": _SW.full("stddev_samp", "close", 20),
+        "_low14": _SW.full("min", "low", 14), "_high14": _SW.full("max", "high", 14),
+        "volume_sma_20": _SW.full("avg", "volume", 20),
+        "high_52w": _SW.fast_extreme("h", 252, "greatest"), "low_52w": _SW.fast_extreme("l", 252, "least"),
+        "_ttm_div": _SW.delta("__rs_d", 252),
     })
     bb_upper, bb_lower = "(sma_20 + 2 * _std20)", "(sma_20 - 2 * _std20)"
     bb_range = f"nullif({bb_upper} - {bb_lower}, 0D)"
-    t1, t5 = _sdiv("_f1 - close", "close"), _sdiv("_f5 - close", "close")
+    t1, t5 = sql_div("_f1 - close", "close"), sql_div("_f5 - close", "close")
 
     def label(t):
         lab = f"CAST(({t}) > 0 AS SMALLINT)"
         return f"coalesce({lab}, CAST(0 AS SMALLINT))" if legacy_labels else lab
 
-    l1 = _with(l1, {
-        "daily_return": f"{_sdiv('close', 'close_lag_1')} - 1",
-        "log_return": f"ln({_sdiv('close', 'close_lag_1')})",
-        "weekly_return": f"{_sdiv('close', 'close_lag_5')} - 1",
-        "monthly_return": f"{_sdiv('close', '_c21')} - 1",
+    l1 = with_sql(l1, {
+        "daily_return": f"{sql_div('close', 'close_lag_1')} - 1",
+        "log_return": f"ln({sql_div('close', 'close_lag_1')})",
+        "weekly_return": f"{sql_div('close', 'close_lag_5')} - 1",
+        "monthly_return": f"{sql_div('close', '_c21')} - 1",
         "_gain": "CASE WHEN (close - close_lag_1) IS NOT NULL THEN greatest(close - close_lag_1, 0D) END",
         "_loss": "CASE WHEN (close_lag_1 - close) IS NOT NULL THEN greatest(close_lag_1 - close, 0D) END",
         "_tr": "greatest(high - low, abs(high - close_lag_1), abs(low - close_lag_1))",
         "bb_upper": bb_upper, "bb_lower": bb_lower,
-        "bb_width": _sdiv(bb_range, "sma_20"),
-        "bb_pct": _sdiv(f"close - {bb_lower}", bb_range),
-        "stoch_k": _sdiv("100 * (close - _low14)", "nullif(_high14 - _low14, 0D)"),
-        "volume_ratio": _sdiv("volume", "volume_sma_20"),
-        "pct_from_52w_high": _sdiv("close - high_52w", "high_52w"),
-        "pct_from_52w_low": _sdiv("close - low_52w", "low_52w"),
+        "bb_width": sql_div(bb_range, "sma_20"),
+        "bb_pct": sql_div(f"close - {bb_lower}", bb_range),
+        "stoch_k": sql_div("100 * (close - _low14)", "nullif(_high14 - _low14, 0D)"),
+        "volume_ratio": sql_div("volume", "volume_sma_20"),
+        "pct_from_52w_high": sql_div("close - high_52w", "high_52w"),
+        "pct_from_52w_low": sql_div("close - low_52w", "low_52w"),
         "target_return_1d": t1, "target_return_5d": t5,
         "target_direction_1d": label(t1), "target_direction_5d": label(t5),
-        "dividend_yield_ttm": f"CASE WHEN has_div THEN {_sdiv('_ttm_div', 'close')} END",
+        "dividend_yield_ttm": f"CASE WHEN has_div THEN {sql_div('_ttm_div', 'close')} END",
     })
 
     # level 2: windows over level-1 columns (same ordering, same node)
-    l2 = _with(l1, {
-        "return_lag_1": _lag("daily_return", 1), "return_lag_2": _lag("daily_return", 2),
-        "return_lag_5": _lag("daily_return", 5),
-        "rolling_std_5": _full("stddev_samp", "daily_return", 5),
-        "rolling_std_20": _full("stddev_samp", "daily_return", 20),
-        "stoch_d": _full("avg", "stoch_k", 3),
+    l2 = with_sql(l1, {
+        "return_lag_1": _SW.lag("daily_return", 1), "return_lag_2": _SW.lag("daily_return", 2),
+        "return_lag_5": _SW.lag("daily_return", 5),
+        "rolling_std_5": _SW.full("stddev_samp", "daily_return", 5),
+        "rolling_std_20": _SW.full("stddev_samp", "daily_return", 20),
+        "stoch_d": _SW.full("avg", "stoch_k", 3),
         "_f_gain": f"min(CASE WHEN _gain IS NOT NULL THEN rn END) {wall}",
     })
 
