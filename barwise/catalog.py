@@ -20,6 +20,7 @@ from barwise.operators import universe as U
 from barwise.operators.upsert import upsert_stats
 from barwise.plans import features as FE
 from barwise.plans import ingest as IN
+from barwise.plans import jobs as JB
 from barwise.plans import model as MD
 from barwise.plans import registry as RG
 from barwise.schemas import DIVIDENDS
@@ -208,18 +209,8 @@ register("prediction_summary", TO.MODEL_SQL["prediction_summary"])(
     lambda spark, d: S.prediction_summary(baseline_predictions(spark, d)))
 
 
-def prediction_documents(pred):
-    """Serving documents — dates and timestamps as text, ints, floats."""
-    return pred.select("symbol", F.col("feature_date").cast("string").alias("feature_date"),
-                       F.col("prediction_date").cast("string").alias("prediction_date"),
-                       F.col("predicted_direction").cast("int").alias("predicted_direction"),
-                       F.round("prob_up", 6).alias("prob_up"), F.round("prob_down", 6).alias("prob_down"),
-                       "mlflow_run_id", "dag_run_id", F.col("created_at").cast("string").alias("created_at")) \
-               .orderBy(F.col("feature_date").desc(), F.col("symbol").asc())
-
-
 register("prediction_documents", TO.MODEL_SQL["prediction_documents"])(
-    lambda spark, d: prediction_documents(baseline_predictions(spark, d)))
+    lambda spark, d: JB.prediction_documents(baseline_predictions(spark, d)))
 
 
 def _doc_stats(spark, d):

@@ -70,6 +70,17 @@ def run_prediction_job(spark: SparkSession, predictions: DataFrame, target: Data
     return {"predictions": written, "summary": prediction_summary(written, run_id)}
 
 
+def prediction_documents(pred: DataFrame) -> DataFrame:
+    """Serving documents — dates and timestamps as text, ints,
+    floats — newest feature date first, then symbol."""
+    return pred.select("symbol", F.col("feature_date").cast("string").alias("feature_date"),
+                       F.col("prediction_date").cast("string").alias("prediction_date"),
+                       F.col("predicted_direction").cast("int").alias("predicted_direction"),
+                       F.round("prob_up", 6).alias("prob_up"), F.round("prob_down", 6).alias("prob_down"),
+                       "mlflow_run_id", "dag_run_id", F.col("created_at").cast("string").alias("created_at")) \
+               .orderBy(F.col("feature_date").desc(), F.col("symbol").asc())
+
+
 def run_sync_job(spark: SparkSession, documents: DataFrame, target: DataFrame | None,
                  out_path: str) -> dict[str, DataFrame]:
     """U10 — documents merged into a JSON dataset keyed by

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from barwise import catalog
 from barwise.operators import universe as U
-from barwise.plans.jobs import run_feature_job, run_prediction_job, run_sync_job
+from barwise.plans.jobs import prediction_documents, run_feature_job, run_prediction_job, run_sync_job
 from conftest import SF_SMALL
 
 
@@ -28,7 +28,7 @@ def test_feature_prediction_sync_jobs(spark):
     pred = catalog.baseline_predictions(spark, SF_SMALL)
     p1 = run_prediction_job(spark, pred, None, os.path.join(root, "p1"), "baseline")
     assert p1["summary"].first().total == p1["predictions"].count()
-    docs = catalog.prediction_documents(p1["predictions"])
+    docs = prediction_documents(p1["predictions"])
     d1 = run_sync_job(spark, docs, None, os.path.join(root, "d1"))
     assert d1["stats"].first().inserted == docs.count()
     d2 = run_sync_job(spark, docs, d1["documents"].select(*docs.columns), os.path.join(root, "d2"))
