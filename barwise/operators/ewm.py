@@ -22,7 +22,6 @@ All windows use the ordering (key, blk, rn), so they run on one sort.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -88,11 +87,11 @@ def ewm(df: DataFrame, specs: list[EwmSpec], key: str = "symbol", rn: str = "rn"
             first = F.col(s.dense_from)
             # a = 1 up to the seed row, 1 - alpha after it: closed-form block log-product
             start = F.greatest(F.col(blk) * block + 1, first + 1)
-            cum = F.lit(math.log(1.0 - s.alpha)) * F.greatest(F.col(rn) - start + 1, F.lit(0)).cast("double")
+            k = F.greatest(F.col(rn) - start + 1, F.lit(0)).cast("double")
             bx = (F.when(F.col(rn) < first, F.lit(0.0)).when(F.col(rn) == first, x)
                    .otherwise(F.lit(s.alpha) * x))
-            proj += [cum.alias(f"__ewm_cum_{i}"), bx.alias(f"__ewm_bx_{i}")]
-            tmp += [f"__ewm_cum_{i}", f"__ewm_bx_{i}"]
+            proj += [k.alias(f"__ewm_k_{i}"), bx.alias(f"__ewm_bx_{i}")]
+            tmp += [f"__ewm_k_{i}", f"__ewm_bx_{i}"]
             continue
         prev = F.col(prev_of[s.x])
         d = F.greatest(F.pow(F.lit(1.0 - s.alpha), (F.col(rn) - prev).cast("double")), F.lit(_D_FLOOR))
@@ -109,8 +108,18 @@ def ewm(df: DataFrame, specs: list[EwmSpec], key: str = "symbol", rn: str = "rn"
         df = df.select("*", *[F.sum(f"__ewm_la_{i}").over(w_blk).alias(f"__ewm_cum_{i}") for i in general])
         tmp += [f"__ewm_cum_{i}" for i in general]
 
+    def prod(i, inverse=False):
+        """Block product A_t (or 1/A_t).  Dense inputs: (1-alpha)^k by pow,
+        ~1 ulp; general inputs: exp of the running log-product."""
+        sp = specs[i]
+        if sp.dense_from is not None:
+            k = F.col(f"__ewm_k_{i}")
+            return F.pow(F.lit(1.0 - sp.alpha), -k if inverse else k)
+        c = F.col(f"__ewm_cum_{i}")
+        return F.exp(-c if inverse else c)
+
     # level 4: running rebased sum inside the block
-    df = df.select("*", *[F.sum(F.col(f"__ewm_bx_{i}") * F.exp(-F.col(f"__ewm_cum_{i}")))
+    df = df.select("*", *[F.sum(F.col(f"__ewm_bx_{i}") * prod(i, inverse=True))
                           .over(w_blk).alias(f"__ewm_sum_{i}") for i in range(len(specs))])
     tmp += [f"__ewm_sum_{i}" for i in range(len(specs))]
 
@@ -118,7 +127,7 @@ def ewm(df: DataFrame, specs: list[EwmSpec], key: str = "symbol", rn: str = "rn"
     is_end = (F.col(rn) % block) == 0
     carries = []
     for i in range(len(specs)):
-        A, S = F.exp(F.col(f"__ewm_cum_{i}")), F.col(f"__ewm_sum_{i}")
+        A, S = prod(i), F.col(f"__ewm_sum_{i}")
         ends = F.collect_list(F.when(is_end, F.struct(A.alias("a"), (A * S).alias("b")))).over(w_prev)
         carries.append(F.aggregate(ends, F.lit(0.0), lambda acc, e: e["a"] * acc + e["b"])
                        .alias(f"__ewm_carry_{i}"))
@@ -127,7 +136,7 @@ def ewm(df: DataFrame, specs: list[EwmSpec], key: str = "symbol", rn: str = "rn"
 
     outs = []
     for i, s in enumerate(specs):
-        A = F.exp(F.col(f"__ewm_cum_{i}"))
+        A = prod(i)
         y = A * (F.col(f"__ewm_carry_{i}") + F.col(f"__ewm_sum_{i}"))
         if s.dense_from is not None:
             seen = F.col(rn) >= F.col(s.dense_from)
