@@ -157,7 +157,7 @@ def rounded_features(spark, d):
 
 
 def _labelled(spark, d):
-    return rounded_features(spark, d).where(F.col(LABEL).isNotNull())
+    return MP.labelled(rounded_features(spark, d), LABEL)
 
 
 def _val_scores(spark, d):

@@ -26,6 +26,11 @@ LOGLOSS_EPS = 2.220446049250313e-16
 AUC_BUCKETS = 4096
 
 
+def labelled(df: DataFrame, label: str = "target_direction_1d") -> DataFrame:
+    """Rows whose label is present (the training scan)."""
+    return df.where(F.col(label).isNotNull())
+
+
 def numeric_features(df: DataFrame, cols: list[str]) -> DataFrame:
     """M1: numeric feature columns as double, bad values NULL."""
     return df.select(*[to_double(c).alias(c) if c in cols else F.col(c) for c in df.columns])

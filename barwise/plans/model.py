@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwise.functions import or_unknown
-from barwise.operators.modelprep import classification_metrics, decide, holdout_split, walk_forward_folds
+from barwise.operators.modelprep import (classification_metrics, decide, holdout_split, labelled,
+                                         walk_forward_folds)
 from barwise.operators.summaries import cv_average, latest_per_symbol, require_rows, top_k, training_stats
 from barwise.plans.features import NUMERIC_FEATURES
 
@@ -80,7 +81,7 @@ def prob_up(pred: DataFrame) -> DataFrame:
 def cross_validate(features: DataFrame, p: BoostParams = BoostParams()) -> dict[str, DataFrame]:
     """One fit per walk-forward fold (train rows fit, val rows stop
     early and are scored), metrics per fold and their mean (G8)."""
-    lab = features.where(F.col(LABEL).isNotNull())
+    lab = labelled(features, LABEL)
     folds = model_frame(walk_forward_folds(lab)).withColumn("is_val", F.col("split") == "val")
     folds = folds.persist()
     scored = []
@@ -98,7 +99,7 @@ def cross_validate(features: DataFrame, p: BoostParams = BoostParams()) -> dict[
 def train_final(features: DataFrame, p: BoostParams = BoostParams()) -> dict:
     """M4 + M5 + M12: 90/10 chronological fit, validation metrics,
     feature importances (top 10)."""
-    lab = features.where(F.col(LABEL).isNotNull())
+    lab = labelled(features, LABEL)
     data = model_frame(holdout_split(lab)).withColumn("is_val", F.col("split") == "val").persist()
     model = build_pipeline(p).fit(data)
     val = prob_up(model.transform(data.where("is_val")))

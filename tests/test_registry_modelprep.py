@@ -73,3 +73,18 @@ def test_auc_with_ties_matches_brute_force(spark):
     assert roc_auc(single, "y", "prob").first()["auc"] is None
     m = classification_metrics(df, "y", "prob").first()
     assert 0 <= m.accuracy <= 1 and m.logloss > 0
+
+
+def test_labelled_and_latest_run(spark):
+    import datetime as _dt
+
+    from barwise.operators.modelprep import labelled
+    from barwise.operators.summaries import latest_run, top_k
+    df = spark.createDataFrame([(1, None), (2, 1), (3, 0)], "k int, target_direction_1d smallint")
+    assert sorted(r.k for r in labelled(df).collect()) == [2, 3]
+    runs = spark.createDataFrame([("a", "r1", _dt.datetime(2025, 1, 1)), ("b", "r1", _dt.datetime(2025, 1, 2)),
+                                  ("c", "r2", _dt.datetime(2025, 1, 3))],
+                                 "mlflow_run_id string, dag_run_id string, created_at timestamp")
+    assert latest_run(runs, "r1").first().mlflow_run_id == "b"
+    imp = spark.createDataFrame([("x", 0.5), ("y", 0.5), ("z", 0.9)], "feature string, importance double")
+    assert [r.feature for r in top_k(imp, "importance", 2, "feature").collect()] == ["z", "x"]
