@@ -6,11 +6,10 @@ session.  ``build_session`` is for scripts, tests and the bench.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -51,19 +50,35 @@ def build_session(master: str | None = None, app: str = "barwise",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created and registered with the context.
+    ``spark.checkpoint.dir`` names a folder that the driver and all executors
+    share; it is used as is.  Only a local session (tests, bench) that leaves
+    it unset gets a scratch folder; on a cluster an unset folder is an error,
+    because a machine-local one would split a table over the executors' disks.
     """
     sc = spark.sparkContext
-    cur = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    cur = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not cur:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and the executors")
         cur = tempfile.mkdtemp(prefix="barwise-ckpt-")
-    sc.setCheckpointDir(cur)
-    return sc.getCheckpointDir() or cur
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(cur)
+    return cur
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder and read again.
+
+    Cuts the lineage durably: a later stage rereads the files, whichever
+    executors are lost meanwhile.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path, compression="zstd")
+    return spark.read.schema(df.schema).parquet(path)
