@@ -22,7 +22,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barwise.functions import sdiv, to_decimal
+from barwise.functions import finite_or_null, sdiv, to_decimal
 from barwise.operators.ewm import EwmSpec, com_alpha, ewm, span_alpha
 from barwise.operators.windows import (EWM_BLOCK, SYMBOL_SERIES, SqlWindow, sql_div, with_sql)
 
@@ -232,8 +232,10 @@ def build_features(bars: DataFrame, fundamentals: DataFrame | None = None,
 
     ``universe`` has (yf_symbol, sector, industry); without it all symbols
     are used with NULL sector/industry.  Bars without open or close are
-    dropped (P7).
+    dropped (P7); NaN and infinity count as missing.
     """
+    # one NaN would stay in every running sum after it: not-a-number is missing
+    bars = bars.withColumns({c: finite_or_null(F.col(c).cast("double")) for c in ("open", "high", "low", "close", "volume")})
     bars = bars.where(F.col("open").isNotNull() & F.col("close").isNotNull())
     if universe is not None:
         u = universe.select(F.col("yf_symbol").alias("symbol"), "sector", "industry")
