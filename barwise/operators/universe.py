@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwise.functions import blank_to_null
+from barwise.functions import blank_to_null, index_key
 
 # Fallback universe used when the registry selects nothing.
 FALLBACK_EQUITIES = [
@@ -15,8 +15,8 @@ FALLBACK_EQUITIES = [
     "BAJFINANCE.NS", "MARUTI.NS", "ADANIENT.NS", "NESTLEIND.NS",
 ]
 FALLBACK_INDICES = [
-    "^NSEI", "^NSEBANK", "^CNXIT", "^CNXPHARMA", "^CNXAUTO",
-    "^CNXFMCG", "^CNXMETAL", "^CNXREALTY", "^CNXENERGY",
+    "^NSEI", "^BSESN", "^INDIAVIX", "INR=X",
+    "^CNXIT", "^NSEBANK", "^CNXPHARMA", "^CNXAUTO", "^CNXFMCG",
 ]
 
 
@@ -25,8 +25,8 @@ def _nonblank(c: str):
 
 
 def equity_universe(reg: DataFrame) -> DataFrame:
-    """P1 + P3: active highlighted EQ-series equities with a ticker,
-    (yf_symbol, sector, industry) ordered by symbol."""
+    """P1 + P3: active highlighted EQ-series equities with a ticker (no
+    order: a distributed table has none until it is reported)."""
     return (reg.where((F.col("symbol_type") == "equity") & (F.col("series") == "EQ")
                       & F.col("is_active") & F.col("highlight") & _nonblank("yf_symbol"))
                .select("symbol", "yf_symbol", "sector", "industry"))
@@ -55,6 +55,12 @@ def fallback_equities(spark) -> DataFrame:
         .withColumn("sector", F.lit(None).cast("string")).withColumn("industry", F.lit(None).cast("string"))
 
 
+def fallback_indices(spark) -> DataFrame:
+    """P4 for indices: canonical key and ticker."""
+    return (spark.createDataFrame([(s,) for s in FALLBACK_INDICES], "yf_symbol string")
+            .select(index_key("yf_symbol").alias("symbol"), "yf_symbol"))
+
+
 def pending(universe: DataFrame, ledger: DataFrame, data_type: str, as_of) -> DataFrame:
     """Symbols of ``universe`` not yet ingested successfully on
     ``as_of`` for ``data_type``."""
@@ -64,22 +70,12 @@ def pending(universe: DataFrame, ledger: DataFrame, data_type: str, as_of) -> Da
     return universe.join(done, "yf_symbol", "left_anti")
 
 
-def min_history(df: DataFrame, n: int = 60, key: str = "symbol") -> DataFrame:
-    """Keep keys with at least ``n`` rows (aggregate + semi join: the
-    count is pre-aggregated map-side)."""
-    ok = df.groupBy(key).count().where(F.col("count") >= n).select(key)
-    return df.join(ok, key, "left_semi")
-
+def enrichment_backlog(reg: DataFrame, n: int | None = None) -> DataFrame:
+    """P10: equities of series EQ missing sector or industry.
 
-def clean_bars(df: DataFrame) -> DataFrame:
-    """Drop bars without open or close."""
-    return df.dropna(subset=["open", "close"])
-
-
-def enrichment_backlog(reg: DataFrame, n: int = 500) -> DataFrame:
-    """Equities of series EQ missing sector or industry, newest
-    listing first (NULL listing dates last), top ``n`` (a top-k report)."""
-    return (reg.where((F.col("symbol_type") == "equity") & (F.col("series") == "EQ")
-                      & (F.col("sector").isNull() | F.col("industry").isNull()))
-               .orderBy(F.col("listing_date").desc_nulls_last(), F.col("symbol"))
-               .limit(n))
+    All of them by default: the metadata is a table join here, so there is no
+    vendor call to pace.  With ``n`` it is R3, the report of the newest
+    listings first (NULL listing dates last)."""
+    rows = reg.where((F.col("symbol_type") == "equity") & (F.col("series") == "EQ")
+                     & (F.col("sector").isNull() | F.col("industry").isNull()))
+    return rows if n is None else rows.orderBy(F.col("listing_date").desc_nulls_last(), F.col("symbol")).limit(n)

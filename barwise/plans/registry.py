@@ -71,8 +71,6 @@ THEMATIC_INDICES = [
     ("^CNXSMALLCAP50", "Nifty Smallcap 50", "thematic"),
     ("^CNXLCAP", "Nifty Largecap 250", "thematic"),
 ]
-MASTER_COLUMNS = ["SYMBOL", "NAME OF COMPANY", "SERIES", "DATE OF LISTING", "PAID UP VALUE",
-                  "MARKET LOT", "ISIN NUMBER", "FACE VALUE"]
 
 EQUITY_UPDATE = ["yf_symbol", "name", "isin", "series", "listing_date", "face_value", "paid_up_value",
                  "market_lot", "is_active", "last_updated"]
@@ -138,8 +136,7 @@ def enrich(reg: DataFrame, backlog: DataFrame, meta: DataFrame, as_of_ts) -> Dat
         for c in reg.columns])
 
 
-def refresh_registry(target: DataFrame, master: DataFrame, meta: DataFrame, as_of_ts,
-                     backlog_size: int = 500) -> dict[str, DataFrame]:
+def refresh_registry(target: DataFrame, master: DataFrame, meta: DataFrame, as_of_ts) -> dict[str, DataFrame]:
     """Returns the refreshed registry, the enrichment backlog and the
     summary."""
     spark = target.sparkSession
@@ -148,6 +145,6 @@ def refresh_registry(target: DataFrame, master: DataFrame, meta: DataFrame, as_o
     t1 = upsert(base, eq, KEYS, EQUITY_UPDATE, insert_defaults={"highlight": F.lit(False)})
     t2 = upsert(t1, index_rows(index_catalog(spark), as_of_ts), KEYS, INDEX_UPDATE,
                 insert_defaults={"highlight": F.lit(False)})
-    backlog = enrichment_backlog(t2, backlog_size)
+    backlog = enrichment_backlog(t2)
     t3 = enrich(t2, backlog, meta, as_of_ts)
     return {"registry": t3, "backlog": backlog, "summary": registry_summary(t3)}

@@ -97,8 +97,7 @@ t1 as ({upsert_sql('base', 'eq', ['symbol', 'symbol_type'], REG_COLS, EQ_COLS, E
 t2 as ({upsert_sql('t1', 'ix', ['symbol', 'symbol_type'], REG_COLS, IDX_COLS, INDEX_UPDATE,
                    {'highlight': 'false'}, REG_TYPES)}),
 backlog as (
-  select * from t2 where symbol_type = 'equity' and series = 'EQ' and (sector is null or industry is null)
-  order by listing_date desc nulls last, symbol limit 500),
+  select * from t2 where symbol_type = 'equity' and series = 'EQ' and (sector is null or industry is null)),
 hits as (select m.* from vendor_metadata m where m.symbol in (select symbol from backlog)),
 t3 as (
   select {', '.join(
@@ -117,6 +116,13 @@ REGISTRY_SQL = {
     "registry_summary": registry_ctes() + """
 select symbol_type, index_category, cast(count(*) as bigint) as total, cast(count(sector) as bigint) as with_sector
 from t3 where is_active group by symbol_type, index_category""",
+    "index_universe": registry_ctes() + """,
+uni as (select symbol, yf_symbol from t3 where symbol_type = 'index' and is_active and highlight
+          and yf_symbol is not null and trim(yf_symbol) <> ''),
+fb as (select replace(ltrim(t, '^'), '=', '_') as symbol, t as yf_symbol
+       from (values ('^NSEI'), ('^BSESN'), ('^INDIAVIX'), ('INR=X'), ('^CNXIT'), ('^NSEBANK'), ('^CNXPHARMA'),
+                    ('^CNXAUTO'), ('^CNXFMCG')) v(t))
+select * from uni union all select * from fb where not exists (select 1 from uni)""",
     "equity_universe": registry_ctes() + f""",
 uni as (select symbol, yf_symbol, sector, industry from t3
         where symbol_type = 'equity' and series = 'EQ' and is_active and highlight
