@@ -9,7 +9,7 @@ __all__ = [
     "col_of", "blank_to_null", "safe_double", "safe_int", "parse_day_first_date",
     "vendor_ticker", "index_key", "volume_or_zero", "local_date", "sdiv",
     "finite_or_null", "clip_lower0", "sign_label", "next_business_day",
-    "or_unknown", "truncate_text", "to_decimal", "to_double",
+    "or_unknown", "truncate_text", "to_bigint", "to_decimal", "to_double",
     "DATE_FORMATS",
 ]
 
@@ -60,8 +60,8 @@ def index_key(ticker) -> Column:
 
 
 def volume_or_zero(v) -> Column:
-    """NULL volume -> 0, integral."""
-    return F.coalesce(col_of(v).try_cast("double"), F.lit(0.0)).cast("bigint")
+    """a missing, NaN or unreadable volume -> 0, integral."""
+    return F.coalesce(finite_or_null(col_of(v).try_cast("double")).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def local_date(ts, tz: str | None = None) -> Column:
@@ -119,5 +119,10 @@ def to_decimal(x, precision: int, scale: int) -> Column:
 
 
 def to_double(x) -> Column:
-    """numeric -> double, bad -> NULL."""
-    return col_of(x).try_cast("double")
+    """numeric -> double; bad text, NaN and infinity -> NULL."""
+    return finite_or_null(col_of(x).try_cast("double"))
+
+
+def to_bigint(x) -> Column:
+    """Numeric, or text such as 1.5e9, -> whole number; bad or out of range -> NULL."""
+    return to_double(x).try_cast("bigint")

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwise.functions import local_date, volume_or_zero
+from barwise.functions import local_date, to_bigint, to_double, truncate_text, volume_or_zero
 from barwise.operators.summaries import coverage
 from barwise.operators.universe import pending
-from barwise.operators.upsert import upsert
+from barwise.operators.upsert import dedupe_batch, upsert
 
 # Vendor column names of the daily-bar feed.
 BAR_FEED_COLUMNS = {"Date": "date", "Open": "open", "High": "high", "Low": "low", "Close": "close",
@@ -25,6 +25,9 @@ FUNDAMENTAL_KEYS = {"trailingPE": "pe_ratio", "priceToBook": "pb_ratio", "traili
                     "totalRevenue": "revenue", "netIncomeToCommon": "net_income",
                     "debtToEquity": "debt_to_equity", "returnOnEquity": "roe", "marketCap": "market_cap"}
 
+#: Characters of an error text that the ledger keeps.
+ERROR_CHARS = 500
+
 SPECS = {
     "price": dict(keys=["symbol", "date"], date_col="date",
                   update=["open", "high", "low", "close", "adj_close", "volume"]),
@@ -37,33 +40,48 @@ SPECS = {
 
 def normalize_bars(raw: DataFrame, tz: str | None = None) -> DataFrame:
     """A3 + F6 + F7 + P7: vendor columns renamed, date made local, volume
-    NULL -> 0, rows without open or close dropped.  ``raw`` carries a
+    NULL or NaN -> 0, unreadable and NaN prices NULL, rows without open or
+    close dropped.  ``raw`` carries a
     ``symbol`` column (one landing file per symbol is read with its name)."""
     df = raw.withColumnsRenamed({k: v for k, v in BAR_FEED_COLUMNS.items() if k in raw.columns})
-    return (df.select("symbol", local_date("date", tz).alias("date") if dict(df.dtypes)["date"] != "date"
+    return (df.select("symbol", local_date(F.col("date").try_cast("timestamp"), tz).alias("date") if dict(df.dtypes)["date"] != "date"
                       else F.col("date"),
-                      *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "adj_close")],
+                      *[to_double(c).alias(c) for c in ("open", "high", "low", "close", "adj_close")],
                       volume_or_zero("volume").alias("volume"))
-              .dropna(subset=["open", "close"]))
+              .dropna(subset=["date", "open", "close"]))
+
 
+def read_feed(spark: SparkSession, path: str, kind: str, fmt: str = "parquet", as_of=None, tz: str | None = None) -> DataFrame:
+    """Landing files of one feed as a typed batch.
 
-def read_bars(spark: SparkSession, path: str, tz: str | None = None) -> DataFrame:
-    """A3 from Parquet landing files (with a ``symbol`` column)."""
-    return normalize_bars(spark.read.parquet(path), tz)
+    ``fmt`` is parquet, csv (with a header; every field is read as text and
+    parsed by the normaliser) or json (one object a line).  ``kind`` is a key
+    of SPECS; fundamentals are stamped with ``as_of``."""
+    if fmt == "csv":
+        raw = spark.read.option("header", True).csv(path)
+        raw = raw.toDF(*[c.strip() for c in raw.columns])
+    else:
+        raw = spark.read.format(fmt).load(path)
+    if kind == "price":
+        return normalize_bars(raw, tz)
+    return normalize_fundamentals(raw, as_of) if kind == "fundamental" else normalize_events(raw, kind, tz)
 
 
-def normalize_events(raw: DataFrame, kind: str) -> DataFrame:
-    """A4/A5: (symbol, date, value) -> dividends / splits batch."""
-    if kind == "dividend":
-        return raw.select("symbol", F.to_date("ex_date").alias("ex_date"), F.col("amount").cast("double"))
-    return raw.select("symbol", F.to_date("split_date").alias("split_date"), F.col("ratio").cast("double"))
+def normalize_events(raw: DataFrame, kind: str, tz: str | None = None) -> DataFrame:
+    """A4/A5: (symbol, date, value) -> dividends / splits batch; rows whose
+    date or value cannot be read are dropped."""
+    date, value = ("ex_date", "amount") if kind == "dividend" else ("split_date", "ratio")
+    day = F.col(date) if dict(raw.dtypes)[date] == "date" else local_date(F.col(date).try_cast("timestamp"), tz)
+    return raw.select("symbol", day.alias(date), to_double(value).alias(value)).dropna(subset=[date, value])
 
 
 def normalize_fundamentals(raw: DataFrame, as_of) -> DataFrame:
-    """Vendor keys -> columns, stamped with the run date."""
-    return raw.select("symbol", F.lit(as_of).cast("date").alias("as_of_date"),
-                      *[(F.col(k).cast("bigint") if v in ("revenue", "net_income", "market_cap")
-                         else F.col(k).cast("double")).alias(v) for k, v in FUNDAMENTAL_KEYS.items()])
+    """Vendor keys -> columns, stamped with the run date; a missing key or
+    an unreadable field ("N/A") is NULL."""
+    def field(k, v):
+        c = F.col(k) if k in raw.columns else F.lit(None).cast("string")
+        return (to_bigint(c) if v in ("revenue", "net_income", "market_cap") else to_double(c)).alias(v)
+    return raw.select("symbol", F.lit(as_of).cast("date").alias("as_of_date"), *[field(k, v) for k, v in FUNDAMENTAL_KEYS.items()])
 
 
 def ingest(target: DataFrame, batch: DataFrame, universe: DataFrame, ledger: DataFrame,
@@ -76,7 +94,7 @@ def ingest(target: DataFrame, batch: DataFrame, universe: DataFrame, ledger: Dat
     """
     spec = SPECS[data_type]
     todo = pending(universe, ledger, data_type, as_of).select(F.col("yf_symbol").alias("symbol"))
-    b = batch.join(todo, "symbol", "left_semi")
+    b = dedupe_batch(batch.join(todo, "symbol", "left_semi"), spec["keys"])
     merged = upsert(target, b, spec["keys"], spec["update"],
                     insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
     cov = coverage(b, spec["date_col"])
@@ -89,7 +107,7 @@ def ingest(target: DataFrame, batch: DataFrame, universe: DataFrame, ledger: Dat
         ts.alias("start_time"), ts.alias("end_time"),
         F.when(failed, "failed").otherwise("success").alias("status"),
         F.coalesce("record_count", F.lit(0)).cast("bigint").alias("record_count"),
-        F.when(failed, F.lit("Empty response")).alias("error_msg"),
+        truncate_text(F.when(failed, F.lit("Empty response")), ERROR_CHARS).alias("error_msg"),
         F.lit(run_id).alias("dag_run_id"), ts.alias("created_at"))
     log_rows = (led.where(~empty | failed)
                    .select("symbol", F.lit(data_type).alias("data_type"),
