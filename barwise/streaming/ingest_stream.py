@@ -7,70 +7,46 @@ normalised (A3, F6, P7) and merged into the bar table with the keyed upsert
 rerun after a lost executor or a killed driver neither skips nor repeats a
 file; ``trigger(availableNow=True)`` turns the daily run into a bounded job.
 
-Snapshots are immutable: batch ``k`` reads snapshot ``k-1`` (or the base
-table) and writes ``<table>/v<k>``.  A replayed batch id rewrites the same
-folder from the same inputs, so the sink is idempotent.
+The table is partitioned by month and a micro-batch replaces only the months
+it touches (``upsert_table``).  The merge is idempotent: a replayed batch gives
+the same table.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwise.operators.upsert import upsert
+from barwise.operators.upsert import table_exists, upsert_table
 from barwise.plans.ingest import SPECS, normalize_bars
 
 LANDING_SCHEMA = ("symbol string, Date timestamp_ntz, Open double, High double, Low double, Close double, "
                   "`Adj Close` double, Volume double")
 
 
-def snapshot_path(table_dir: str, version: int) -> str:
-    return f"{table_dir.rstrip('/')}/v{version:08d}"
-
-
-def _try_read(spark: SparkSession, path: str):
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def read_snapshot(spark: SparkSession, table_dir: str, version: int, base: DataFrame) -> DataFrame:
-    """Snapshot ``version`` (batch ids are consecutive, every batch writes
-    one); the base table before the first batch."""
-    if version < 0:
-        return base
-    df = _try_read(spark, snapshot_path(table_dir, version))
-    return df if df is not None else read_snapshot(spark, table_dir, version - 1, base)
-
-
-def merge_bars(spark: SparkSession, base: DataFrame, table_dir: str, run_ts):
+def merge_bars(spark: SparkSession, table_dir: str, run_ts):
     spec = SPECS["price"]
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
-        current = read_snapshot(spark, table_dir, batch_id - 1, base)
-        merged = upsert(current, batch, spec["keys"], spec["update"],
-                        insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
-        (merged.repartition("symbol").sortWithinPartitions("symbol", "date")
-               .write.mode("overwrite").parquet(snapshot_path(table_dir, batch_id)))
+        upsert_table(spark, table_dir, batch, spec["keys"], spec["update"], "date",
+                     insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
     return _merge
 
 
 def start_bar_ingestion(spark: SparkSession, landing_dir: str, base: DataFrame, table_dir: str,
                         checkpoint_dir: str, run_ts, tz: str | None = None, available_now: bool = True):
-    """Start the stream; returns the ``StreamingQuery``."""
+    """Start the stream; returns the ``StreamingQuery``.  A table that does
+    not exist yet begins with the rows of ``base``."""
+    if not table_exists(spark, table_dir):
+        upsert_table(spark, table_dir, base, SPECS["price"]["keys"], [], "date")
     raw = spark.readStream.schema(LANDING_SCHEMA).parquet(landing_dir)
     batch = normalize_bars(raw, tz)
-    w = (batch.writeStream.foreachBatch(merge_bars(spark, base, table_dir, run_ts))
+    w = (batch.writeStream.foreachBatch(merge_bars(spark, table_dir, run_ts))
               .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def latest_table(spark: SparkSession, table_dir: str, base: DataFrame) -> DataFrame:
-    """The newest snapshot: walk versions upward until the first gap."""
-    v, last = 0, base
-    while (df := _try_read(spark, snapshot_path(table_dir, v))) is not None:
-        last, v = df, v + 1
-    return last
+    """The table as it is now, with the columns of ``base``; ``base`` before the first run."""
+    return spark.read.schema(base.schema).parquet(table_dir).select(base.columns) if table_exists(spark, table_dir) else base

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from barwise.operators.asof import asof_join, days_since
-from barwise.operators.upsert import dedupe_batch, upsert, upsert_stats
+from barwise.operators.upsert import dedupe_batch, upsert, upsert_stats, upsert_table
 
 D = dt.date
 
@@ -67,3 +67,20 @@ def test_fallback_universe_only_when_registry_selects_nothing(spark):
     hl = reg.withColumn("highlight", F.lit(True))
     got = U.universe_or_fallback(U.equity_universe(hl), U.fallback_equities(spark)).collect()
     assert [r.yf_symbol for r in got] == ["X.NS"]
+
+
+def test_upsert_table_touches_only_the_months_of_the_batch(spark):
+    import glob
+    import tempfile
+    path = tempfile.mkdtemp(prefix="barwise-upsert-") + "/bars"
+    schema = "symbol string, date date, close double, note string"
+    first = spark.createDataFrame([("A", dt.date(2024, 1, 2), 1.0, "a"), ("B", dt.date(2024, 1, 3), 2.0, "b"), ("A", dt.date(2024, 3, 1), 3.0, "c")], schema)
+    upsert_table(spark, path, first, ["symbol", "date"], ["close"], "date")
+    january = sorted(glob.glob(f"{path}/date_month=2024-01/*.parquet"))
+    batch = spark.createDataFrame([("A", dt.date(2024, 3, 1), 30.0, "new"), ("A", dt.date(2024, 3, 1), 9.0, "old"), ("C", dt.date(2024, 4, 1), 4.0, "d")], schema)
+    for _ in range(2):    # a second run changes nothing
+        upsert_table(spark, path, batch, ["symbol", "date"], ["close"], "date")
+        got = sorted(tuple(r) for r in spark.read.parquet(path).drop("date_month").collect())
+        assert got == [("A", dt.date(2024, 1, 2), 1.0, "a"), ("A", dt.date(2024, 3, 1), 30.0, "c"), ("B", dt.date(2024, 1, 3), 2.0, "b"),
+                       ("C", dt.date(2024, 4, 1), 4.0, "d")]
+        assert sorted(glob.glob(f"{path}/date_month=2024-01/*.parquet")) == january
