@@ -23,7 +23,7 @@ from barwise.operators.summaries import date_index
 FOLD_BOUNDARIES = [(0.00, 0.60, 0.70), (0.00, 0.70, 0.80), (0.00, 0.80, 0.90)]
 HOLDOUT_FRACTION = 0.90
 LOGLOSS_EPS = 2.220446049250313e-16
-AUC_BUCKETS = 4096
+AUC_BUCKETS = 256
 
 
 def labelled(df: DataFrame, label: str = "target_direction_1d") -> DataFrame:
@@ -117,20 +117,25 @@ def classification_metrics(pred: DataFrame, label: str = "y", prob: str = "prob"
 def roc_auc(pred: DataFrame, label: str = "y", prob: str = "prob", by: list[str] | None = None,
             buckets: int = AUC_BUCKETS) -> DataFrame:
     """Exact AUC = sum over positives of (negatives below + half the tied
-    negatives) / (P * N); NULL for a single-class group."""
+    negatives) / (P * N); NULL for a single-class group.
+
+    Distinct scores are cut into buckets at quantiles of each group's own
+    scores, so calibrated scores that cluster near 0.5 fill all buckets
+    alike; a bucket's window counts on from the totals of the lower ones."""
     if not by:
         g = pred.withColumn("__all", F.lit(1))
         return roc_auc(g, label, prob, ["__all"], buckets).drop("__all")
     y = F.col(label).cast("int")
     s = (pred.groupBy(*by, F.col(prob).cast("double").alias("__s"))
              .agg(F.sum(y).alias("__pos"), F.sum(1 - y).alias("__neg")))
-    s = s.withColumn("__b", F.least(F.greatest(F.floor(F.col("__s") * buckets), F.lit(0)),
-                                    F.lit(buckets - 1)).cast("int"))
+    cuts = [i / buckets for i in range(1, buckets)]
+    edges = s.groupBy(*by).agg(F.percentile_approx("__s", cuts, 10 * buckets).alias("__edges"))
+    s = s.join(edges, by).withColumn("__b", F.size(F.filter("__edges", lambda e: e < F.col("__s")))).drop("__edges")
     # per-bucket totals -> negatives in all lower buckets (<= buckets rows per group)
     bt = s.groupBy(*by, "__b").agg(F.sum("__neg").alias("__bneg"))
     wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.withColumn("__neg_lower_b", F.coalesce(F.sum("__bneg").over(wb), F.lit(0))).drop("__bneg")
-    s = s.join(F.broadcast(bt), [*by, "__b"])
+    s = s.join(bt, [*by, "__b"])
     wi = Window.partitionBy(*by, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     s = s.withColumn("__below", F.col("__neg_lower_b") + F.coalesce(F.sum("__neg").over(wi), F.lit(0)))
     g = s.groupBy(*by).agg(F.sum(F.col("__pos") * (F.col("__below") + 0.5 * F.col("__neg"))).alias("__u"),
