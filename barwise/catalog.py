@@ -24,6 +24,7 @@ from barwise.plans import jobs as JB
 from barwise.plans import model as MD
 from barwise.plans import registry as RG
 from barwise.schemas import DIVIDENDS
+from barwise.session import written
 from barwise.sources import fixtures as FX
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -115,6 +116,9 @@ register("registry_backlog", TO.REGISTRY_SQL["registry_backlog"])(
     lambda spark, d: registry_outputs(spark, d)["backlog"])
 register("registry_summary", TO.REGISTRY_SQL["registry_summary"])(
     lambda spark, d: registry_outputs(spark, d)["summary"])
+register("index_universe", TO.REGISTRY_SQL["index_universe"])(
+    lambda spark, d: U.universe_or_fallback(U.index_universe(registry_outputs(spark, d)["registry"]),
+                                            U.fallback_indices(spark)))
 register("equity_universe", TO.REGISTRY_SQL["equity_universe"])(
     lambda spark, d: U.universe_or_fallback(U.equity_universe(registry_outputs(spark, d)["registry"]),
                                             U.fallback_equities(spark)))
@@ -184,6 +188,12 @@ def baseline_predictions(spark, d, score_col="stoch_k"):
         F.lit(FX.RUN_TS).cast("timestamp_ntz").alias("created_at"))
 
 
+def _two_runs(spark, d):
+    """Predictions of this run, and those of an earlier run of the same model id."""
+    old = baseline_predictions(spark, d, "stoch_d").where(F.col("predicted_direction") == 1)
+    return baseline_predictions(spark, d).unionByName(old.withColumn("dag_run_id", F.lit("run-0")))
+
+
 register("training_stats", TO.MODEL_SQL["training_stats"])(
     lambda spark, d: _r6(S.training_stats(rounded_features(spark, d), LABEL), ["up_share"]))
 register("walk_forward_folds", TO.MODEL_SQL["walk_forward_folds"])(
@@ -206,7 +216,7 @@ register("cv_average", TO.MODEL_SQL["cv_average"])(
 register("predictions", TO.MODEL_SQL["predictions"])(
     lambda spark, d: _r6(baseline_predictions(spark, d), ["prob_up", "prob_down"]))
 register("prediction_summary", TO.MODEL_SQL["prediction_summary"])(
-    lambda spark, d: S.prediction_summary(baseline_predictions(spark, d)))
+    lambda spark, d: S.prediction_summary(_two_runs(spark, d), "run-1"))
 
 
 register("prediction_documents", TO.MODEL_SQL["prediction_documents"])(
@@ -252,8 +262,12 @@ register("feature_symbols", TO.BOOK_SQL["feature_symbols"])(
 # ---- training and scoring (no SQL twin: rows-only check) -------------------------------------
 
 
+#: Rounds of the registered queries; jobs use the full budget of BoostParams.
+GBT_BUDGET = MD.BoostParams(max_iter=32, patience=8)
+
+
 def _gbt(spark, d):
-    return MD.train_and_predict(rounded_features(spark, d), run_id="gbt-run", created_at=FX.RUN_TS)
+    return MD.train_and_predict(written(rounded_features(spark, d), "features"), GBT_BUDGET, run_id="gbt-run", created_at=FX.RUN_TS, cv=False)
 
 
 register("gbt_predictions", None)(lambda spark, d: _gbt(spark, d)["predictions"])

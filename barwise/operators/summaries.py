@@ -1,6 +1,7 @@
 """Aggregations of the audit trail, ledgers, registry and training data
-(G1-G9) and the ranking helpers (R1-R7).  All are hash aggregates with
-partial (map-side) aggregation; the only sorts are on aggregated output."""
+(G1-G9) and the ranking helpers (R1-R7).  All aggregate map-side before
+their shuffle; those over a whole row (a struct) are sort aggregates, which
+spill, the others hash aggregates."""
 
 from __future__ import annotations
 
@@ -62,9 +63,9 @@ def coverage(df: DataFrame, date_col: str = "date", key: str = "symbol") -> Data
 
 
 def prediction_summary(pred: DataFrame, run_id: str | None = None) -> DataFrame:
-    """Total, up and down predictions of a run."""
+    """Total, up and down predictions of a run (its ``dag_run_id``)."""
     if run_id is not None:
-        pred = pred.where(F.col("mlflow_run_id") == run_id)
+        pred = pred.where(F.col("dag_run_id") == run_id)
     d = F.col("predicted_direction")
     return pred.agg(F.count(F.lit(1)).cast("bigint").alias("total"),
                     F.count(F.when(d == 1, 1)).cast("bigint").alias("up"),

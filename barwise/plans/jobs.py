@@ -18,8 +18,8 @@ from barwise.plans.features import FEATURE_COLS, build_features, to_feature_sche
 from barwise.session import scratch_path
 
 PRED_KEYS = ["symbol", "feature_date"]
-PRED_UPDATE = ["prediction_date", "predicted_direction", "prob_up", "prob_down", "mlflow_run_id", "dag_run_id",
-               "created_at"]
+# a rescored row keeps the created_at of its first insert
+PRED_UPDATE = ["prediction_date", "predicted_direction", "prob_up", "prob_down", "mlflow_run_id", "dag_run_id"]
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -28,7 +28,7 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def write_importance_csv(importance: DataFrame, path: str) -> None:
-    """The (small, top-10) importance table as one CSV file."""
+    """The importance of every feature (one row each) as one CSV file."""
     importance.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -62,12 +62,12 @@ def run_feature_job(spark: SparkSession, bars: DataFrame, fundamentals: DataFram
 
 
 def run_prediction_job(spark: SparkSession, predictions: DataFrame, target: DataFrame | None,
-                       out_path: str, run_id: str) -> dict[str, DataFrame]:
+                       out_path: str, dag_run_id: str) -> dict[str, DataFrame]:
     """C5 tail: U6 keyed upsert of the scored rows, G7 summary."""
     merged = upsert(target, predictions, PRED_KEYS, PRED_UPDATE) if target is not None else predictions
     write_snapshot(merged, out_path, sort_within=["symbol", "feature_date"])
     written = spark.read.parquet(out_path)
-    return {"predictions": written, "summary": prediction_summary(written, run_id)}
+    return {"predictions": written, "summary": prediction_summary(written, dag_run_id)}
 
 
 def prediction_documents(pred: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 The learner is Spark's distributed gradient-boosted trees with the
 reference's budget: depth 6, learning rate 0.05, up to 1000 rounds, 0.8 row
-and feature sampling, at least 50 rows per leaf, seed 42, and early stopping
-on the validation rows of each fit (``validationIndicatorCol``).  Same task
-and inputs as the original single-machine booster, not the same trees.
+and feature sampling, at least 50 rows per leaf, seed 42, and early stopping with
+a patience of 50 rounds: the loss on the validation rows is evaluated after
+every round, and the model keeps the rounds up to the best one.  Same task and
+inputs as the original single-machine booster, not the same trees.
 
 Missing values (M6): trees cannot take NULL, so numeric NULLs become a
 sentinel far below every real value; a split can then isolate "missing"
@@ -24,11 +25,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwise.functions import or_unknown
-from barwise.operators.modelprep import (classification_metrics, decide, holdout_split, labelled,
+from barwise.functions import or_unknown, truncate_text
+from barwise.operators.modelprep import (FOLD_BOUNDARIES, classification_metrics, decide, holdout_split, labelled,
                                          walk_forward_folds)
 from barwise.operators.summaries import cv_average, latest_per_symbol, require_rows, top_k, training_stats
+from barwise.operators.upsert import align_to_schema
 from barwise.plans.features import NUMERIC_FEATURES
+from barwise.schemas import MODEL_RUNS
+from barwise.session import written
 
 LABEL = "target_direction_1d"
 CATEGORICAL = ["sector", "industry"]
@@ -45,8 +49,9 @@ class BoostParams:
     feature_subset: str = "0.8"
     min_instances_per_node: int = 50
     seed: int = 42
-    # relative validation-loss improvement below which boosting stops
-    validation_tol: float = 0.001
+    # rounds without a better validation loss after which boosting stops
+    patience: int = 50
+    # split candidates of a numeric feature; raised to the number of categories
     max_bins: int = 64
 
 
@@ -60,20 +65,45 @@ def model_frame(df: DataFrame) -> DataFrame:
     return df.select(*keep, *cols, *cats, *lab)
 
 
-def build_pipeline(p: BoostParams, with_validation: bool = True) -> Pipeline:
+def known_categories(frame: DataFrame, model: PipelineModel) -> DataFrame:
+    """M2: categories that the fit did not see become 'Unknown'."""
+    for c, labels in zip(CATEGORICAL, model.stages[0].labelsArray):
+        frame = frame.withColumn(f"{c}_s", F.when(F.col(f"{c}_s").isin(list(labels)), F.col(f"{c}_s")).otherwise("Unknown"))
+    return frame
+
+
+def build_pipeline(p: BoostParams, rounds: int, bins: int) -> Pipeline:
     idx = StringIndexer(inputCols=[f"{c}_s" for c in CATEGORICAL], outputCols=[f"{c}_idx" for c in CATEGORICAL],
                         stringOrderType="alphabetAsc", handleInvalid="keep")
     vec = VectorAssembler(inputCols=NUMERIC_FEATURES + [f"{c}_idx" for c in CATEGORICAL],
                           outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(labelCol="label", featuresCol="features", maxDepth=p.max_depth, stepSize=p.step_size,
-                        maxIter=p.max_iter, subsamplingRate=p.subsampling_rate,
+                        maxIter=rounds, subsamplingRate=p.subsampling_rate,
                         featureSubsetStrategy=p.feature_subset, minInstancesPerNode=p.min_instances_per_node,
-                        seed=p.seed, maxBins=p.max_bins, validationTol=p.validation_tol)
-    if with_validation:
-        gbt = gbt.setValidationIndicatorCol("is_val")
+                        seed=p.seed, maxBins=bins)
     return Pipeline(stages=[idx, vec, gbt])
 
 
+def fit_boosted(data: DataFrame, p: BoostParams) -> PipelineModel:
+    """M5: fit on the rows that are not ``is_val``; the best round by the
+    validation loss, found with ``p.patience``.
+
+    Boosting with one seed repeats its first rounds exactly, so a fit of too
+    few rounds is doubled, and the chosen number of rounds is fitted anew."""
+    train, val = data.where(~F.col("is_val")), data.where("is_val")
+    sizes = train.agg(*[F.count_distinct(f"{c}_s").alias(c) for c in CATEGORICAL]).first()
+    bins = max([p.max_bins, *(n + 1 for n in sizes)])    # one more for values seen later
+    rounds = min(p.max_iter, 2 * p.patience)
+    while True:
+        model = build_pipeline(p, rounds, bins).fit(train)
+        prepared = PipelineModel(model.stages[:-1]).transform(known_categories(val, model))
+        losses = model.stages[-1].evaluateEachIteration(prepared)
+        best = losses.index(min(losses)) + 1
+        if best + p.patience <= rounds or rounds == p.max_iter:
+            return model if best == rounds else build_pipeline(p, best, bins).fit(train)
+        rounds = min(p.max_iter, 2 * rounds)
+
+
 def prob_up(pred: DataFrame) -> DataFrame:
     return pred.withColumn("prob_up", vector_to_array("probability")[1])
 
@@ -83,33 +113,34 @@ def cross_validate(features: DataFrame, p: BoostParams = BoostParams()) -> dict[
     early and are scored), metrics per fold and their mean (G8)."""
     lab = labelled(features, LABEL)
     folds = model_frame(walk_forward_folds(lab)).withColumn("is_val", F.col("split") == "val")
-    folds = folds.persist()
+    folds = written(folds, "folds")
     scored = []
-    for fold in sorted(r[0] for r in folds.select("fold").distinct().collect()):
+    for fold in range(1, len(FOLD_BOUNDARIES) + 1):
         part = folds.where(F.col("fold") == fold)
-        model = build_pipeline(p).fit(part)
-        scored.append(prob_up(model.transform(part.where("is_val"))).select("fold", "label", "prob_up"))
+        model = fit_boosted(part, p)
+        scored.append(prob_up(model.transform(known_categories(part.where("is_val"), model))).select("fold", "label", "prob_up"))
     allv = scored[0]
     for s in scored[1:]:
         allv = allv.unionByName(s)
-    per_fold = classification_metrics(allv, "label", "prob_up", by=["fold"])
+    per_fold = classification_metrics(written(allv, "scores"), "label", "prob_up", by=["fold"])
     return {"folds": per_fold, "cv": cv_average(per_fold)}
 
 
 def train_final(features: DataFrame, p: BoostParams = BoostParams()) -> dict:
-    """M4 + M5 + M12: 90/10 chronological fit, validation metrics,
-    feature importances (top 10)."""
+    """M4 + M5 + M12: 90/10 chronological fit, validation metrics, the
+    importance of every feature and the top 10 of them (R4)."""
     lab = labelled(features, LABEL)
-    data = model_frame(holdout_split(lab)).withColumn("is_val", F.col("split") == "val").persist()
-    model = build_pipeline(p).fit(data)
-    val = prob_up(model.transform(data.where("is_val")))
+    data = model_frame(holdout_split(lab)).withColumn("is_val", F.col("split") == "val")
+    data = written(data, "training")
+    model = fit_boosted(data, p)
+    val = prob_up(model.transform(known_categories(data.where("is_val"), model)))
     metrics = classification_metrics(val, "label", "prob_up")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     names = NUMERIC_FEATURES + CATEGORICAL
     spark = features.sparkSession
     importance = spark.createDataFrame(list(zip(names, [float(x) for x in imp])), "feature string, importance double")
-    return {"model": model, "metrics": metrics, "importance": top_k(importance, "importance", 10, "feature"),
-            "data": data}
+    return {"model": model, "metrics": metrics, "importance": importance,
+            "top": top_k(importance, "importance", 10, "feature"), "data": data}
 
 
 def score_latest(features: DataFrame, model: PipelineModel, run_id: str, dag_run_id: str,
@@ -117,7 +148,7 @@ def score_latest(features: DataFrame, model: PipelineModel, run_id: str, dag_run
     """R1 + M14 + M15: newest row per symbol, prob_up, direction at 0.5,
     next-weekday prediction date; rows in the prediction-table layout."""
     latest = latest_per_symbol(features)
-    scored = prob_up(model.transform(model_frame(latest)))
+    scored = prob_up(model.transform(known_categories(model_frame(latest), model)))
     out = decide(scored.withColumnRenamed("date", "feature_date"), "prob_up", "feature_date")
     ts = F.lit(created_at).cast("timestamp_ntz") if created_at else F.localtimestamp()
     return out.select("symbol", "feature_date", "prediction_date", "predicted_direction", "prob_up", "prob_down",
@@ -137,7 +168,7 @@ def load_model(base: str, run_id: str) -> PipelineModel:
 
 
 def run_row(spark, run_id: str, dag_run_id: str, data: DataFrame, cv: DataFrame | None,
-            val: DataFrame) -> DataFrame:
+            val: DataFrame, created_at=None) -> DataFrame:
     """One model-run row (date ranges, counts, metrics) built from
     aggregates only."""
     ranges = data.groupBy().agg(
@@ -147,15 +178,16 @@ def run_row(spark, run_id: str, dag_run_id: str, data: DataFrame, cv: DataFrame
         F.max(F.when(F.col("is_val"), F.col("date"))).alias("val_to"),
         F.count(F.when(~F.col("is_val"), 1)).cast("bigint").alias("n_train_rows"),
         F.count(F.when(F.col("is_val"), 1)).cast("bigint").alias("n_val_rows"))
-    v = val.select(*[F.col(c).alias(f"val_{c}") for c in ("accuracy", "auc", "f1", "logloss")])
+    names = {"accuracy": "accuracy", "auc": "auc_roc", "f1": "f1", "logloss": "log_loss"}
+    v = val.select(*[F.col(c).alias(f"val_{n}") for c, n in names.items()])
     row = ranges.withColumn("__k", F.lit(1)).join(v.withColumn("__k", F.lit(1)), "__k")
     if cv is not None:
-        row = row.join(cv.withColumn("__k", F.lit(1)), "__k")
-    return row.drop("__k").select(
-        F.lit(run_id).alias("mlflow_run_id"), F.lit(run_id[:8]).alias("model_version"),
+        row = row.join(cv.select(*[F.col(f"cv_{c}").alias(f"cv_{n}") for c, n in names.items()]).withColumn("__k", F.lit(1)), "__k")
+    ts = F.lit(created_at).cast("timestamp_ntz") if created_at else F.localtimestamp()
+    return align_to_schema(row.drop("__k").select(
+        F.lit(run_id).alias("mlflow_run_id"), F.concat(F.lit("run_"), truncate_text(F.lit(dag_run_id), 8)).alias("model_version"),
         F.lit(dag_run_id).alias("dag_run_id"), "*",
-        F.lit(len(NUMERIC_FEATURES) + len(CATEGORICAL)).alias("n_features"),
-        F.localtimestamp().alias("created_at"))
+        F.lit(len(NUMERIC_FEATURES) + len(CATEGORICAL)).alias("n_features"), ts.alias("created_at")), MODEL_RUNS)
 
 
 def new_run_id() -> str:
@@ -163,11 +195,14 @@ def new_run_id() -> str:
 
 
 def train_and_predict(features: DataFrame, p: BoostParams = BoostParams(), dag_run_id: str = "run-1",
-                      run_id: str | None = None, created_at: _dt.datetime | None = None) -> dict:
-    """C4 + C5 without cross-validation: final fit, then score the newest
-    row of every symbol."""
+                      run_id: str | None = None, created_at: _dt.datetime | None = None, cv: bool = True) -> dict:
+    """C4 + C5: cross-validation, the final fit and its run row, then the
+    scores of the newest row of every symbol.  ``features`` is used several
+    times: pass a stored table."""
     run_id = run_id or new_run_id()
     require_rows(training_stats(features, LABEL), MIN_TRAIN_ROWS)
+    scores = cross_validate(features, p)["cv"] if cv else None
     fit = train_final(features, p)
+    fit["run"] = run_row(features.sparkSession, run_id, dag_run_id, fit["data"], scores, fit["metrics"], created_at)
     pred = score_latest(features, fit["model"], run_id, dag_run_id, created_at)
     return {**fit, "predictions": pred, "run_id": run_id}

@@ -38,7 +38,7 @@ INGESTION_LOG = _s("symbol string, data_type string, status string, rows_affecte
                    "dag_run_id string, ran_at timestamp")
 MODEL_RUNS = _s("mlflow_run_id string, model_version string, dag_run_id string, train_from date, train_to date, "
                 "val_from date, val_to date, n_train_rows bigint, n_val_rows bigint, n_features int, "
-                "cv_accuracy double, cv_auc double, cv_f1 double, cv_logloss double, val_accuracy double, "
-                "val_auc double, val_f1 double, val_logloss double, created_at timestamp")
+                "cv_accuracy double, cv_auc_roc double, cv_f1 double, cv_log_loss double, val_accuracy double, "
+                "val_auc_roc double, val_f1 double, val_log_loss double, created_at timestamp")
 PREDICTIONS = _s("symbol string, feature_date date, prediction_date date, predicted_direction smallint, "
                  "prob_up double, prob_down double, mlflow_run_id string, dag_run_id string, created_at timestamp")

@@ -26,7 +26,7 @@ def test_feature_prediction_sync_jobs(spark):
     assert sum(s.values()) == 25                                          # one log row per symbol
 
     pred = catalog.baseline_predictions(spark, SF_SMALL)
-    p1 = run_prediction_job(spark, pred, None, os.path.join(root, "p1"), "baseline")
+    p1 = run_prediction_job(spark, pred, None, os.path.join(root, "p1"), "run-1")
     assert p1["summary"].first().total == p1["predictions"].count()
     docs = prediction_documents(p1["predictions"])
     d1 = run_sync_job(spark, docs, None, os.path.join(root, "d1"))
@@ -34,3 +34,13 @@ def test_feature_prediction_sync_jobs(spark):
     d2 = run_sync_job(spark, docs, d1["documents"].select(*docs.columns), os.path.join(root, "d2"))
     st = d2["stats"].first()
     assert (st.inserted, st.modified) == (0, 0) and d2["documents"].count() == docs.count()
+
+
+def test_rescored_predictions_keep_their_created_at(spark):
+    root = tempfile.mkdtemp(prefix="barwise-jobs-")
+    pred = catalog.baseline_predictions(spark, SF_SMALL)
+    p1 = run_prediction_job(spark, pred, None, os.path.join(root, "p1"), "run-1")
+    later = pred.withColumn("created_at", F.lit("2030-01-01").cast("timestamp_ntz")).withColumn("dag_run_id", F.lit("run-2"))
+    p2 = run_prediction_job(spark, later, p1["predictions"], os.path.join(root, "p2"), "run-2")
+    assert p2["summary"].first().total == pred.count()
+    assert p2["predictions"].where("created_at >= '2030-01-01'").count() == 0
