@@ -4,25 +4,29 @@ snapshot the previous stage wrote (lineage is cut at every stage, so a lost
 executor only recomputes inside the current stage).  Spark schedules the
 work inside each stage; nothing here loops over symbols.
 
+A run writes its tables below its own folder and takes up the tables of the
+``previous`` run's folder: stored rows are merged, symbols that the ledger has
+as done on this day are skipped, audit rows are carried on.
+
 Landing inputs come from a mapping of DataFrames (the fixture adapter in
-tests and benchmarks; landing-file readers in production).
+tests and benchmarks; ``ingest.read_feed`` in production).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-from barwise.operators.summaries import status_summary
-from barwise.operators.universe import equity_universe, fallback_equities, universe_or_fallback
-from barwise.operators.upsert import write_snapshot
+from barwise.operators.summaries import latest_run, status_summary
+from barwise.operators.universe import (equity_universe, fallback_equities, fallback_indices, index_universe,
+                                        universe_or_fallback)
+from barwise.operators.upsert import align_to_schema, write_snapshot
 from barwise.plans import model as MD
 from barwise.plans.ingest import ingest
 from barwise.plans.jobs import (append_rows, prediction_documents, run_feature_job, run_prediction_job,
                                 run_sync_job, write_importance_csv)
 from barwise.plans.registry import refresh_registry
-from barwise.schemas import DIVIDENDS, FUNDAMENTALS, INGESTION_DELTA, PRICE_HISTORY, SPLITS
+from barwise.schemas import (DIVIDENDS, FUNDAMENTALS, INGESTION_DELTA, INGESTION_LOG, MODEL_RUNS, PREDICTIONS,
+                             PRICE_HISTORY, SPLITS)
 
 
 def _empty(spark: SparkSession, schema) -> DataFrame:
@@ -30,42 +34,62 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
 
 
 def run_daily(spark: SparkSession, landing: dict[str, DataFrame], out_dir: str, run_id: str, as_of: str,
-              run_ts: str, boost: MD.BoostParams = MD.BoostParams()) -> dict[str, DataFrame]:
-    """``landing`` keys: registry (stored), master, meta, bars, dividends,
-    splits, fundamentals.  Returns the stage summaries."""
-    out = lambda name: os.path.join(out_dir, name)
+              run_ts: str, boost: MD.BoostParams = MD.BoostParams(), previous: str | None = None) -> dict[str, DataFrame]:
+    """``landing`` keys: registry (stored; used by a first run), master, meta,
+    bars, dividends, splits, fundamentals and, where there is one, index_bars.
+    Returns the stage summaries."""
+    out = lambda name: f"{out_dir.rstrip('/')}/{name}"
+    old = lambda name: f"{previous.rstrip('/')}/{name}"
+
+    def stored(name, schema):
+        return spark.read.parquet(old(name)) if previous else _empty(spark, schema)
 
     # C1 registry
-    reg = refresh_registry(landing["registry"], landing["master"], landing["meta"], run_ts)
+    reg = refresh_registry(spark.read.parquet(old("registry")) if previous else landing["registry"],
+                           landing["master"], landing["meta"], run_ts)
     write_snapshot(reg["registry"], out("registry"))
     registry = spark.read.parquet(out("registry"))
     universe = universe_or_fallback(equity_universe(registry), fallback_equities(spark))
+    indices = universe_or_fallback(index_universe(registry), fallback_indices(spark))
 
-    # C2 ingestion, one job per data type, ledger + audit log appended
-    ledger = _empty(spark, INGESTION_DELTA)
+    # C2 ingestion, one job per data type, ledger + audit log carried on and appended to
+    ledger = stored("ingestion_delta", INGESTION_DELTA)
+    for name, schema in (("ingestion_delta", INGESTION_DELTA), ("ingestion_log", INGESTION_LOG), ("model_runs", MODEL_RUNS)):
+        append_rows(align_to_schema(stored(name, schema), schema), out(name))
     tables = {}
-    for kind, name, schema in (("price", "bars", PRICE_HISTORY), ("dividend", "dividends", DIVIDENDS),
-                               ("split", "splits", SPLITS), ("fundamental", "fundamentals", FUNDAMENTALS)):
-        r = ingest(_empty(spark, schema), landing[name], universe, ledger, kind, as_of, run_id, run_ts)
+    feeds = [("price", "bars", PRICE_HISTORY, universe), ("dividend", "dividends", DIVIDENDS, universe),
+             ("split", "splits", SPLITS, universe), ("fundamental", "fundamentals", FUNDAMENTALS, universe)]
+    for kind, name, schema, wanted in feeds:
+        batch = landing[name]
+        if kind == "price":    # prices of indices come with those of equities
+            wanted = wanted.select("yf_symbol").unionByName(indices.select("yf_symbol"))
+            if "index_bars" in landing:
+                batch = batch.unionByName(landing["index_bars"], allowMissingColumns=True)
+        r = ingest(stored(name, schema), batch, wanted, ledger, kind, as_of, run_id, run_ts)
         write_snapshot(r["table"], out(name), sort_within=["symbol"])
-        append_rows(r["ledger"], out("ingestion_delta"))
-        append_rows(r["log"], out("ingestion_log"))
+        append_rows(align_to_schema(r["ledger"], INGESTION_DELTA), out("ingestion_delta"))
+        append_rows(align_to_schema(r["log"], INGESTION_LOG), out("ingestion_log"))
         tables[name] = spark.read.parquet(out(name))
 
     # C3 features (quarantine + audit rows inside the job)
     feats = run_feature_job(spark, tables["bars"], tables["fundamentals"], tables["dividends"], tables["splits"],
-                            universe, None, out("stock_features"), out("ingestion_log"), run_id, run_ts)
+                            universe, spark.read.parquet(old("stock_features")) if previous else None,
+                            out("stock_features"), out("ingestion_log"), run_id, run_ts)
 
-    # C4 + C5 train, score the newest row per symbol, upsert predictions
+    # C4 + C5 cross-validate, train, score the newest row per symbol, upsert predictions
     fit = MD.train_and_predict(feats["features"], boost, dag_run_id=run_id, created_at=run_ts)
     MD.save_model(fit["model"], out("models"), fit["run_id"])
     write_importance_csv(fit["importance"], out(f"importance_{fit['run_id']}"))
-    append_rows(MD.run_row(spark, fit["run_id"], run_id, fit["data"], None, fit["metrics"]), out("model_runs"))
-    pred = run_prediction_job(spark, fit["predictions"], None, out("stock_predictions"), fit["run_id"])
+    append_rows(fit["run"], out("model_runs"))
+    pred = run_prediction_job(spark, align_to_schema(fit["predictions"], PREDICTIONS),
+                              stored("stock_predictions", PREDICTIONS), out("stock_predictions"), run_id)
 
     # C6 serving documents
-    sync = run_sync_job(spark, prediction_documents(pred["predictions"]), None, out("predictions_docs"))
+    documents = prediction_documents(pred["predictions"])
+    sync = run_sync_job(spark, documents, spark.read.schema(documents.schema).json(old("predictions_docs")) if previous else None,
+                        out("predictions_docs"))
 
     log = spark.read.parquet(out("ingestion_log"))
     return {"registry": reg["summary"], "ingestion": status_summary(log, run_id),
-            "features": feats["summary"], "predictions": pred["summary"], "sync": sync["stats"]}
+            "features": feats["summary"], "predictions": pred["summary"], "sync": sync["stats"],
+            "run": latest_run(spark.read.parquet(out("model_runs")), run_id)}

@@ -1,5 +1,7 @@
 import tempfile
 
+from pyspark.sql import functions as F
+
 from barwise import catalog
 from barwise.plans.daily import run_daily
 from barwise.plans.model import BoostParams
@@ -7,15 +9,33 @@ from barwise.sources import fixtures as FX
 from conftest import SF_SMALL
 
 
-def test_daily_run_end_to_end(spark):
+def test_daily_runs_end_to_end(spark):
     t = catalog.fixture_inputs(spark, SF_SMALL)
     landing = {"registry": t["registry"], "master": FX.equity_master(spark, SF_SMALL),
                "meta": FX.vendor_metadata(spark, SF_SMALL), "bars": t["bars"], "dividends": t["dividends"],
                "splits": t["splits"], "fundamentals": t["fundamentals"]}
-    out = run_daily(spark, landing, tempfile.mkdtemp(prefix="barwise-daily-"), "daily-1", FX.AS_OF, FX.RUN_TS,
-                    BoostParams(max_iter=10))
+    root = tempfile.mkdtemp(prefix="barwise-daily-")
+    small = BoostParams(max_iter=4, patience=2)
+    out = run_daily(spark, landing, f"{root}/1", "daily-1", FX.AS_OF, FX.RUN_TS, small)
     ing = {(r.data_type, r.status): r.n for r in out["ingestion"].collect()}
-    assert ing[("price", "success")] == 25 and ing[("features", "success")] == 25
-    assert out["predictions"].first().total == 25
+    # the nine fallback indices have no prices in the landing data: logged as failed
+    assert ing[("price", "success")] == 25 and ing[("price", "failed")] == 9 and ing[("features", "success")] == 25
+    assert out["predictions"].first().total == 25 and out["run"].first().cv_auc_roc is not None
     s = out["sync"].first()
     assert (s.inserted, s.modified, s.total) == (25, 0, 25)
+
+    # a second run of the same day skips what the ledger has as done and keeps first-insert times
+    landing["bars"] = t["bars"].withColumn("close", F.col("close") + 1)
+    again = run_daily(spark, landing, f"{root}/2", "daily-2", FX.AS_OF, "2030-01-01 00:00:00", small, previous=f"{root}/1")
+    ing = {(r.data_type, r.status): r.n for r in again["ingestion"].collect()}
+    assert ("price", "success") not in ing and ing[("price", "failed")] == 9
+    read = lambda k, name: spark.read.parquet(f"{root}/{k}/{name}")
+    assert read(2, "bars").exceptAll(read(1, "bars")).isEmpty()
+    assert read(2, "stock_predictions").where("created_at >= '2030-01-01'").isEmpty()
+    assert read(2, "model_runs").count() == 2 and again["predictions"].first().total == 25
+
+    # the next day merges: values change, the time of the first insert stays
+    run_daily(spark, landing, f"{root}/3", "daily-3", "2030-01-02", "2030-01-02 00:00:00", small, previous=f"{root}/2")
+    a, b = read(2, "bars").alias("a"), read(3, "bars").alias("b")
+    both = a.join(b, ["symbol", "date"])
+    assert both.count() == read(1, "bars").count() == both.where("b.close = a.close + 1 and a.ingested_at = b.ingested_at").count()
