@@ -70,10 +70,12 @@ class Layout:
 
 
 def _convolved(net: Net, data: np.ndarray, a: int, b: int) -> np.ndarray:
-    """Filter outputs (half-chunk, position, filter) of the positions [a, b)."""
-    window = data[a: b + WIDTH - 1]
-    if len(window) < b - a + WIDTH - 1:
-        window = np.concatenate([window, np.zeros(b - a + WIDTH - 1 - len(window), np.uint8)])
+    """Filter outputs (half-chunk, position, filter) of the positions [a, b).
+
+    A filter ends at its position; the zeros after every text keep it from
+    reaching into the text before."""
+    window = data[max(0, a - WIDTH + 1): b]
+    window = np.concatenate([np.zeros(b - a + WIDTH - 1 - len(window), np.uint8), window])
     out = np.take(net.table[0], window[: b - a], axis=0)
     for j in range(1, WIDTH):
         out += np.take(net.table[j], window[j: j + b - a], axis=0)
@@ -125,7 +127,7 @@ def _gradients(net: Net, lay: Layout, x: np.ndarray, kept, slope: np.ndarray):
     half = np.where(top[lay.one] >= top[lay.two], lay.one[:, None], lay.two[:, None])
     position = np.take_along_axis(where, half, 0)
     table = np.zeros_like(net.table)
-    data = np.concatenate([lay.data, np.zeros(WIDTH, np.uint8)])
+    data = np.concatenate([np.zeros(WIDTH - 1, np.uint8), lay.data])
     column = np.broadcast_to(np.arange(FILTERS), position.shape)
     for j in range(WIDTH):
         np.add.at(table[j], (data[position + j], column), g)
