@@ -19,42 +19,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwise.llm.setjoin import Join, Sets
+from barwise.llm.setjoin import Join, Sets, checked_broadcast
 from barwise.session import written
 
 
 def _later(join: Join) -> DataFrame:
-    """Nodes of the classes whose first line matches an earlier line."""
-    order = join.nodes.select("node", "first")
-
-    def later(matches: DataFrame) -> DataFrame:
-        for x in "ab":
-            matches = matches.join(order.select(F.col("node").alias(x), F.col("first").alias("f" + x)), x)
-        return matches.select(F.expr("if(fa < fb, b, a)").alias("node")).distinct()
-
+    """Classes whose first line matches an earlier line; nodes are in the lines' order."""
     pivots = join.pivots(join.live)
     pairs = written(join.live.alias("r").join(pivots.alias("p"), "token").where("r.node <> p.node").where(join.near("r", "p"))
                     .select(F.least("r.node", "p.node").alias("a"), F.greatest("r.node", "p.node").alias("b")).distinct(), "candidates")
-    gone = written(later(join.verified(pairs)), "later")
-    # classes not yet known to be later meet every other class that comes before them
-    still = join.live.join(gone, "node", "left_anti")
-    rows = join.live.join(still.select("token").distinct(), "token", "left_semi")
-    more = (still.alias("r").join(rows.alias("s"), "token").where("r.node <> s.node").where(join.near("r", "s"))
-            .select("r.node", F.col("s.node").alias("other")).distinct()
-            .select("node", "other", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-            .join(pairs, ["a", "b"], "left_anti"))
-    for x in ("node", "other"):
-        more = more.join(order.select(F.col("node").alias(x), F.col("first").alias("f" + x)), x)
-    more = written(more.where("fother < fnode").select("a", "b").distinct(), "candidates")
-    return gone if more.isEmpty() else gone.union(later(join.verified(more))).distinct()
+    gone = written(join.verified(pairs).select(F.col("b").alias("node")).distinct(), "later")
+    # members not yet known to be later meet every other member that comes before them
+    crowded = join.crowded()
+    still = crowded.join(gone, "node", "left_anti")
+    rows = crowded.join(still.select("token").distinct(), "token", "left_semi")
+    more = written(still.alias("r").join(rows.alias("s"), "token").where("s.node < r.node").where(join.near("r", "s"))
+                   .select(F.col("s.node").alias("a"), F.col("r.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "candidates")
+    if not more.isEmpty():
+        gone = gone.union(join.verified(more).select("b")).distinct()
+    return join.members.join(gone, "node", "left_semi").select("class")
 
 
 def removed_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """doc_id, text_key and the removed line numbers (from 0, ascending) of the
     documents that lose lines; ``text_key`` is ``xxhash64(text)``."""
-    join = Join(docs, Sets(k, percent, lines=True, least_words=k), parts=False)
-    named = join.nodes.select("fp", "node", "first").join(_later(join).withColumn("later", F.lit(True)), "node", "left")
-    lines = join.records.select("doc_id", "text_key", "unit", "fp").join(named.drop("node"), "fp")
+    join = Join(docs, Sets(k, percent, lines=True, least_words=k, bits=256))
+    named = join.nodes.select("fp", "class", "first").join(_later(join).withColumn("later", F.lit(True)), "class", "left")
+    lines = join.records.select("doc_id", "text_key", "unit", "fp").join(named.drop("class"), "fp")
     own = F.struct("doc_id", "text_key", "unit").eqNullSafe(F.col("first"))
     return (lines.where(F.col("later").isNotNull() | ~own).groupBy("doc_id", "text_key")
             .agg(F.array_sort(F.collect_set("unit")).alias("removed")))
@@ -78,7 +69,9 @@ def dedup_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     A document that loses its every non-blank line goes.  ``n_chars``, where
     there is such a column, follows the text.
     """
-    gone = removed_lines(docs, percent, k).withColumnsRenamed({"doc_id": "__llm_gone_id", "text_key": "__llm_gone_key", "removed": "__llm_gone_lines"})
+    gone = written(removed_lines(docs, percent, k), "removed")
+    held = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()
+    gone = checked_broadcast(gone, max(held[0], held[1] // 4)).withColumnsRenamed({"doc_id": "__llm_gone_id", "text_key": "__llm_gone_key", "removed": "__llm_gone_lines"})
     rows = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__llm_gone_id")) & (F.xxhash64("text") == F.col("__llm_gone_key")), "left")
     lines = F.split("text", "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__llm_gone_lines")

@@ -21,38 +21,22 @@ from barwise.llm.components import components
 from barwise.llm.setjoin import Join, Sets, checked_broadcast
 from barwise.session import written
 
-#: Rounds in which the open rows of each token meet one pivot.
-PIVOT_ROUNDS = 2
-
 
 def links(join: Join) -> DataFrame:
-    """(node, component) of the linked classes of a :class:`Join`."""
-    tested, found, groups, kept_out = None, None, None, None
-    rows = join.live
-    for _ in range(PIVOT_ROUNDS):
-        pivots = join.pivots(rows)
-        pairs = (rows.alias("r").join(pivots.alias("p"), "token").where("r.node <> p.node").where(join.near("r", "p"))
-                 .select(F.least("r.node", "p.node").alias("a"), F.greatest("r.node", "p.node").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "candidates")
-        good = join.verified(pairs)
-        tested = pairs if tested is None else tested.union(pairs)
-        found = good if found is None else found.union(good)
-        groups = components(found)
-        grouped = _grouped(rows.drop("g"), groups)
-        home = pivots.join(groups, "node", "left").select("token", F.coalesce("component", "node").alias("home"))
-        rows = written(grouped.join(home, "token").where("g <> home").drop("home"), "open")
-        if kept_out is None:
-            kept_out = rows
-    # every row outside its token's first pivot's group meets all rows of other groups
-    outside = _grouped(kept_out.drop("g"), groups).withColumn("out", F.lit(True))
-    tokens = outside.select("token").distinct()
-    every = _grouped(join.live, groups).join(tokens, "token", "left_semi")
-    pairs = (outside.alias("r").join(every.alias("s"), "token").where("r.g <> s.g").where(join.near("r", "s"))
-             .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")).distinct()
-             .join(tested, ["a", "b"], "left_anti"))
-    pairs = written(pairs, "candidates")
+    """(node, component) of the linked members of a :class:`Join`."""
+    pivots = join.pivots(join.live)
+    tested = written(join.live.alias("r").join(pivots.alias("p"), "token").where("r.node <> p.node").where(join.near("r", "p"))
+                     .select(F.least("r.node", "p.node").alias("a"), F.greatest("r.node", "p.node").alias("b")).distinct(), "candidates")
+    found = join.verified(tested)
+    groups = components(found)
+    # every row outside its token's pivot's group meets all rows of other groups
+    every = written(_grouped(join.crowded(), groups), "grouped")
+    home = join.pivots(every).select("token", "node").join(groups, "node", "left").select("token", F.coalesce("component", "node").alias("home"))
+    outside = written(every.join(home, "token").where("g <> home").drop("home"), "outside")
+    every = every.join(outside.select("token").distinct(), "token", "left_semi")
+    pairs = written(outside.alias("r").join(every.alias("s"), "token").where("r.g <> s.g").where(join.near("r", "s"))
+                    .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")).distinct()
+                    .join(tested, ["a", "b"], "left_anti"), "candidates")
     if pairs.isEmpty():
         return groups
     return components(found.union(join.verified(pairs)))
@@ -70,7 +54,10 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     join = Join(docs, Sets(k, percent))
     groups = links(join)
-    named = join.nodes.select("fp", "node", "least_id").join(groups, "node", "left").withColumn("g", F.coalesce("component", "node"))
+    linked = join.members.select("class", "node").join(groups, "node").select("class", "component")
+    named = join.nodes.select("fp", "class", "least_id").join(linked, "class", "left")
+    # the numbers of unlinked classes are their own; linked ones take a number below zero
+    named = named.withColumn("g", F.coalesce(-1 - F.col("component"), F.col("class")))
     least = named.groupBy("g").agg(F.min("least_id").alias("component_id"))
     of_set = named.select("fp", "g").join(least, "g").select("fp", "component_id")
     return (join.records.select("doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), "fp").join(of_set, "fp", "left")

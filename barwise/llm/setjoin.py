@@ -13,12 +13,14 @@ Two sets a, b match when ``100 * |a & b| >= percent * |a | b|``.
    has are dropped in the one shuffle of the index (tokens that the counters
    show as very frequent skip that shuffle, as they have company anyway).
 4. Candidates come from joining index rows on the token under the length and
-   the positional bound.  In each token's group all rows first meet one pivot
+   the positional bound; of a class's earlier tokens only those count that some
+   other class has.  In each token's group all rows first meet one pivot
    (the class with the fewest rarer tokens); rows that a pivot settles need
    not meet each other, so a large group of near copies costs pairs in
    proportion to its size.  The rest meets everything: no link is lost.
-5. Distinct candidate pairs pass the suffix bound (set sizes over fixed parts
-   of the token space) and are verified once on the whole sets, which are made
+   The join also applies the suffix bound: bitmaps of the two whole sets show
+   tokens that one of them lacks.
+5. Distinct candidate pairs are verified once on the whole sets, which are made
    anew from the texts of those candidates only.
 """
 
@@ -41,20 +43,21 @@ SKETCH_BITS = 18
 HOT_ROWS = 200_000
 #: Rows of a lookup table up to which it is broadcast (about 30 MB).
 BROADCAST_ROWS = 300_000
-PARTS = 8
 LOW56 = np.uint64((1 << 56) - 1)
-RECORD = "doc_id long, text_key long, unit int, n int, fp binary, prefix array<long>, parts array<int>"
+RECORD = "doc_id long, text_key long, unit int, n int, fp binary, prefix array<long>, bits array<long>"
 
 
 @dataclass(frozen=True)
 class Sets:
     """How texts become sets: k words a shingle, similarity in percent, lines
-    or whole texts as units; units of fewer than ``least_words`` have no set."""
+    or whole texts as units; units of fewer than ``least_words`` have no set.
+    ``bits`` is the length of a set's bitmap, a multiple of 64."""
 
     k: int
     percent: int
     lines: bool = False
     least_words: int = 1
+    bits: int = 512
 
     def units(self, data: np.ndarray, starts: np.ndarray):
         """(number of units, row and number of each, shingles' units and hashes)."""
@@ -100,12 +103,12 @@ def _tokens(sets: Sets, classes: np.ndarray, data: np.ndarray, starts: np.ndarra
     return row, number, n, first, unit, token, fp
 
 
-def records(docs: DataFrame, sets: Sets, classes: np.ndarray, parts: bool) -> DataFrame:
-    """One row per unit: its set's size, fingerprint and prefix tokens.
+def records(docs: DataFrame, sets: Sets, classes: np.ndarray) -> DataFrame:
+    """One row per unit: its set's size, fingerprint, prefix tokens and bitmap.
 
     Units without a set are left out for lines, and have n = 0 and no
-    fingerprint for whole texts.  A task gives the prefix of equal sets once
-    (again after it has seen many), the others have null there.
+    fingerprint for whole texts.  A task gives prefix and bitmap of equal sets
+    once (again after it has seen many), the others have null there.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -127,14 +130,15 @@ def records(docs: DataFrame, sets: Sets, classes: np.ndarray, parts: bool) -> Da
                 head = (np.arange(len(token)) - first[unit]) < size[unit]
                 ends = np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32)
                 null = pa.array(~new[keep])
-                share = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * PARTS), pa.array(
-                    np.bincount(unit * PARTS + (token & np.uint64(PARTS - 1)).astype(np.int64), minlength=len(n) * PARTS)
-                    .reshape(-1, PARTS)[keep].ravel().astype(np.int32)), mask=null) if parts else pa.nulls(len(keep), pa.list_(pa.int32()))
+                flags = np.zeros((len(n), sets.bits), bool)
+                flags[unit, ((token >> np.uint64(3)) & np.uint64(sets.bits - 1)).astype(np.int64)] = True
+                words = np.packbits(flags[keep], axis=1).view(np.int64)
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.ravel()), mask=null)
                 at = pa.array(a + row[keep])
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(at), keys.take(at), pa.array(number[keep].astype(np.int32)), pa.array(n[keep].astype(np.int32)),
-                     pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(token[head].view(np.int64)), mask=null), share],
-                    ["doc_id", "text_key", "unit", "n", "fp", "prefix", "parts"])
+                     pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(token[head].view(np.int64)), mask=null), bits],
+                    ["doc_id", "text_key", "unit", "n", "fp", "prefix", "bits"])
 
     return docs.mapInArrow(rows, RECORD)
 
@@ -150,27 +154,39 @@ def checked_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 
 class Join:
-    """The written tables of one similarity join over ``docs`` (doc_id, text)."""
+    """The written tables of one similarity join over ``docs`` (doc_id, text).
 
-    def __init__(self, docs: DataFrame, sets: Sets, parts: bool = True):
-        self.docs, self.sets, self.parts = keyed(docs), sets, parts
+    ``members`` are the classes with rows in the index; their ``node`` numbers
+    follow the order of their first units, (doc_id, text_key, unit).
+    """
+
+    def __init__(self, docs: DataFrame, sets: Sets):
+        self.docs, self.sets = keyed(docs), sets
         self.classes, hot = rarity(docs, sets)
-        self.records = written(records(self.docs, sets, self.classes, parts), "sets")
+        self.records = written(records(self.docs, sets, self.classes), "sets")
         self.nodes = written(
             self.records.where("n > 0").groupBy("fp")
             .agg(F.min(F.struct("doc_id", "text_key", "unit")).alias("first"), F.min("doc_id").alias("least_id"),
-                 F.max("n").alias("n"), F.max("prefix").alias("prefix"), F.max("parts").alias("parts"))
-            .withColumn("node", F.monotonically_increasing_id()), "classes")
-        self.live = written(self._live(hot), "index")
+                 F.max("n").alias("n"), F.max("prefix").alias("prefix"), F.max("bits").alias("bits"))
+            .withColumn("class", F.monotonically_increasing_id()), "classes")
+        live = written(self._live(hot), "index")
+        names = live.select("class").distinct().join(self.nodes.select("class", "fp", "first", "bits"), "class")
+        self.members = written(names.repartitionByRange("first").sortWithinPartitions("first")
+                               .withColumn("node", F.monotonically_increasing_id()), "members")
+        # of the tokens that come before an index row, only the class's other index rows can be shared
+        before = Window.partitionBy("class").orderBy("pos")
+        live = live.withColumn("shared", F.row_number().over(before) - 1).join(self.members.select("class", "node", "bits"), "class")
+        self.live = written(live.drop("class"), "index")
+        self.whole = None  # node and all tokens, of the members met so far
 
     def _live(self, hot: int) -> DataFrame:
-        """Index rows (token, node, n, pos) of the tokens that several classes have."""
-        index = self.nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+        """Index rows (token, class, n, pos) of the tokens that several classes have."""
+        index = self.nodes.select("class", "n", F.posexplode("prefix").alias("pos", "token"))
         frequent = F.shiftrightunsigned("token", 56) >= hot
-        by_token = Window.partitionBy("token").orderBy("node")
-        columns = ["token", "node", "n", "pos"]
+        by_token = Window.partitionBy("token").orderBy("class")
+        columns = ["token", "class", "n", "pos"]
         rest = index.where(~frequent) if (self.classes >= hot).any() else index
-        rows = (rest.withColumn("before", F.lag("node").over(by_token)).withColumn("after", F.lead("node").over(by_token))
+        rows = (rest.withColumn("before", F.lag("class").over(by_token)).withColumn("after", F.lead("class").over(by_token))
                 .where("before is not null or after is not null").select(columns))
         return rows.union(index.where(frequent).select(columns)) if (self.classes >= hot).any() else rows
 
@@ -180,34 +196,50 @@ class Join:
         return F.expr(f"({p}L * ({na} + {nb}) + {99 + p}) div {100 + p}")
 
     def near(self, a: str, b: str) -> Column:
-        """Length and positional bound of two index rows of one token."""
+        """Length, positional and suffix bound of two index rows of one token.
+
+        Two matching sets share a token among the first ``n - need + 1`` of
+        each, so rows beyond that leave the pair to an earlier token."""
         length = F.expr(f"100L * least({a}.n, {b}.n) >= {self.sets.percent} * greatest({a}.n, {b}.n)")
-        most = F.expr(f"least({a}.pos, {b}.pos) + 1 + least({a}.n - {a}.pos, {b}.n - {b}.pos) - 1")
-        return length & (most >= self.need(f"{a}.n", f"{b}.n"))
+        most = F.expr(f"least({a}.shared, {b}.shared) + least({a}.n - {a}.pos, {b}.n - {b}.pos)")
+        lacks = lambda x, y: " + ".join(f"bit_count({x}.bits[{i}] & ~{y}.bits[{i}])" for i in range(self.sets.bits // 64))
+        both = F.expr(f"least({a}.n - ({lacks(a, b)}), {b}.n - ({lacks(b, a)}))")
+        need = self.need(f"{a}.n", f"{b}.n")
+        prefix = (F.col(f"{a}.pos") <= F.col(f"{a}.n") - need) & (F.col(f"{b}.pos") <= F.col(f"{b}.n") - need)
+        return length & prefix & (most >= need) & (both >= need)
+
+    def crowded(self) -> DataFrame:
+        """Index rows of the tokens that three or more members have: of two, one is the pivot."""
+        tokens = self.live.groupBy("token").count().where("count > 2").select("token")
+        return written(self.live.join(tokens, "token", "left_semi"), "crowded")
 
     def pivots(self, rows: DataFrame) -> DataFrame:
         """The pivot of each token's rows: fewest rarer tokens, then smallest node."""
-        return rows.groupBy("token").agg(F.min(F.struct("pos", "node", "n")).alias("p")).select("token", "p.*")
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The matching pairs (a, b) of distinct candidate pairs, as a written table."""
-        info = self.nodes.select("node", "n", "parts")
-        for x in "ab":
-            pairs = pairs.join(info.select(F.col("node").alias(x), F.col("n").alias("n" + x), F.col("parts").alias("p" + x)), x)
-        if self.parts:
-            most = F.expr("aggregate(zip_with(pa, pb, (x, y) -> least(x, y)), 0, (s, x) -> s + x)")
-            pairs = pairs.where(most >= self.need("na", "nb"))
-        pairs = written(pairs.select("a", "b", "na", "nb"), "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = written(wanted.join(self.nodes.select("node", "fp", "first"), "node")
-                         .groupBy("first.doc_id", "first.text_key").agg(F.collect_list(F.struct("node", "fp")).alias("wanted")), "wanted")
+        return rows.groupBy("token").agg(F.min(F.struct("pos", "node", "n", "shared", "bits")).alias("p")).select("token", "p.*")
+
+    def _fetch(self, pairs: DataFrame) -> None:
+        """Make the whole sets of the pairs' members that are not made yet, from their first units' texts."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        if self.whole is not None:
+            nodes = nodes.join(self.whole.select("node"), "node", "left_anti")
+        wanted = written(self.members.select("node", "fp", "first").join(nodes, "node").groupBy("first.doc_id", "first.text_key")
+                         .agg(F.collect_list(F.struct("node", "fp")).alias("wanted")), "wanted")
         of = checked_broadcast(wanted.withColumnsRenamed({"doc_id": "of_id", "text_key": "of_key"}), wanted.count())
         texts = self.docs.join(of, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key"))).select("text", "wanted")
-        whole = texts.mapInArrow(_whole_sets(self.sets, self.classes), "node long, tokens array<long>").dropDuplicates(["node"])
-        for x in "ab":
-            pairs = pairs.join(whole.select(F.col("node").alias(x), F.col("tokens").alias("s" + x)), x)
-        pairs = pairs.withColumn("both", F.size(F.array_intersect("sa", "sb")))
-        return written(pairs.where(F.expr(f"100L * both >= {self.sets.percent}L * (na + nb - both)")).select("a", "b"), "matches")
+        whole = written(texts.mapInArrow(_whole_sets(self.sets, self.classes), "node long, tokens array<long>"), "whole")
+        self.whole = whole if self.whole is None else self.whole.union(whole)
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The matching pairs (a, b) of a written table of distinct pairs, as a written table.
+
+        Rows that repeat a document give its sets, and so a pair, again."""
+        self._fetch(pairs)
+        count = pairs.count()
+        second = self.whole.join(checked_broadcast(pairs, count), F.col("node") == F.col("b")).select("a", "b", F.col("tokens").alias("sb"))
+        firsts = pairs.select("a").distinct()
+        first = self.whole.join(checked_broadcast(firsts, count), F.col("node") == F.col("a")).select("a", F.col("tokens").alias("sa"))
+        both = second.join(first, "a").withColumn("both", F.size(F.array_intersect("sa", "sb")))
+        return written(both.where(F.expr(f"100L * both >= {self.sets.percent}L * (size(sa) + size(sb) - both)")).select("a", "b"), "matches")
 
 
 def _whole_sets(sets: Sets, classes: np.ndarray) -> Callable:

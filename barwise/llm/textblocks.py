@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 U64 = np.uint64
 MULT = U64(0x9E3779B97F4A7C15)
 MULT_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -141,12 +141,28 @@ def shingles(unit: np.ndarray, word: np.ndarray, units: int, k: int) -> tuple[np
 
 
 def distinct(unit: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct (unit, value) pairs, by unit and then value."""
-    order = np.lexsort((value, unit))
-    unit, value = unit[order], value[order]
+    """The distinct (unit, value) pairs, by unit and then value.
+
+    Units of about one size are sorted together as the rows of a matrix."""
+    if len(unit) == 0:
+        return unit, value
+    if (unit[1:] < unit[:-1]).any():
+        order = np.argsort(unit, kind="stable")
+        unit, value = unit[order], value[order]
+    start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+    count = np.diff(np.r_[start, len(unit)])
+    out = np.empty_like(value)
+    level = np.ceil(np.log2(count)).astype(np.int64)
+    for k in np.unique(level):
+        rows = np.flatnonzero(level == k)
+        at = start[rows, None] + np.arange(1 << int(k))
+        inside = at < (start + count)[rows, None]
+        part = np.where(inside, value[np.minimum(at, len(value) - 1)], np.iinfo(U64).max)
+        part.sort(axis=1)
+        out[at[inside]] = part[inside]
     new = np.ones(len(unit), bool)
-    new[1:] = (unit[1:] != unit[:-1]) | (value[1:] != value[:-1])
-    return unit[new], value[new]
+    new[1:] = (unit[1:] != unit[:-1]) | (out[1:] != out[:-1])
+    return unit[new], out[new]
 
 
 def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
