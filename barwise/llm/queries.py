@@ -58,7 +58,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 1024 tokens."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,12 +104,13 @@ TEXTS = ["", "Hello world.", "two  spaces and   three", "line\nbreak \n mixed\n\
          "word " * 5000, "日本語 テキスト です", "1234 56.78 $%^ &*", "\n", " ", "x\x1f y", "tab\t end", "a.\nB", "The***\nend.\nx y", "it's.\n\nNo", "x²y z1 _a. b_", "ab\n", None]
 
 
-def test_pieces_rebuild_the_tokenizers_ids(spark, frame):
+@pytest.mark.parametrize("ranks", [None, public_tokenizers.path("byte_bpe_50k.tiktoken")])
+def test_pieces_rebuild_the_tokenizers_ids(spark, frame, ranks):
     rows = list(enumerate(TEXTS)) + [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select(
         (__import__("pyspark").sql.functions.col("doc_id") + 100).alias("doc_id"), "text").collect()] + [(None, "null id")]
     t = Tokenizer.from_file(TOKENIZER)
     t.encode_special_tokens = True
-    out = packing.pack_documents(frame(rows), TOKENIZER).collect()
+    out = packing.pack_documents(frame(rows), TOKENIZER, ranks=ranks).collect()
     by_doc = {}
     for r in out:
         by_doc.setdefault(r.doc_id, []).append(r)
