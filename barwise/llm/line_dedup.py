@@ -7,8 +7,9 @@ distinct five-word shingles (lower-cased A-Z); two lines match at a Jaccard
 similarity of 0.8 or more.  Lines come in the order of (doc_id, line number);
 a line goes if any earlier line, removed or not, matches it.
 
-Results for odd input: a line of fewer than five words has no shingle and is
-never removed.  Null and empty texts have no lines to remove and stay as they
+Results for odd input: a line of one to four words is one shingle, so it
+matches lines of the same words only.  A line without a word has no shingle and
+is never removed.  Null and empty texts have no lines to remove and stay as they
 are.  A null doc_id comes before all others.  Rows equal in doc_id and text are
 one document and lose the same lines; rows that repeat a doc_id with other
 texts are ordered by the key of the text.  An empty table gives an empty table.
@@ -43,7 +44,7 @@ def _later(join: Join) -> DataFrame:
 def removed_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """doc_id, text_key and the removed line numbers (from 0, ascending) of the
     documents that lose lines; ``text_key`` is ``xxhash64(text)``."""
-    join = Join(docs, Sets(k, percent, lines=True, least_words=k, bits=256))
+    join = Join(docs, Sets(k, percent, lines=True, bits=256))
     named = join.nodes.select("fp", "class", "first").join(_later(join).withColumn("later", F.lit(True)), "class", "left")
     lines = join.records.select("doc_id", "text_key", "unit", "fp").join(named.drop("class"), "fp")
     own = F.struct("doc_id", "text_key", "unit").eqNullSafe(F.col("first"))

@@ -50,13 +50,12 @@ RECORD = "doc_id long, text_key long, unit int, n int, fp binary, prefix array<l
 @dataclass(frozen=True)
 class Sets:
     """How texts become sets: k words a shingle, similarity in percent, lines
-    or whole texts as units; units of fewer than ``least_words`` have no set.
+    or whole texts as units; units without a word have no set.
     ``bits`` is the length of a set's bitmap, a multiple of 64."""
 
     k: int
     percent: int
     lines: bool = False
-    least_words: int = 1
     bits: int = 512
 
     def units(self, data: np.ndarray, starts: np.ndarray):
@@ -66,9 +65,6 @@ class Sets:
         else:
             begin, row, number = starts, np.arange(len(starts)), np.zeros(len(starts), np.int64)
         unit, word = tb.words(data, begin)
-        if self.least_words > 1:
-            enough = np.bincount(unit, minlength=len(begin)) >= self.least_words
-            unit, word = unit[enough[unit]], word[enough[unit]]
         return len(begin), row, number, *tb.shingles(unit, word, len(begin), self.k)
 
 
