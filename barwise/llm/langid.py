@@ -8,6 +8,12 @@ n-grams are a sparse (document, bucket) list whose matrix rows are gathered and
 added up per document in numpy.  Its size is bounded by the number of distinct
 languages among the labels, which is taken to be a few hundred at most.
 
+``accepted`` also rejects texts that read like none of the learned languages.
+The posterior cannot show that, as it adds up over all n-grams; the measure is
+the mean log-probability of an n-gram under the best language.  Its typical
+value and spread come from a bounded sample of each language's training rows,
+each scored without its own counts.
+
 Results for odd input: null texts and texts without a letter get ``und`` and
 score 0.  Very long texts are scored whole, in blocks.  Training rows without a
 language or text are left out; if none is left, every text is ``und`` with
@@ -29,11 +35,17 @@ from pyspark.sql import functions as F
 from barwise.llm.counts import summed
 
 BITS = 16
+SEED = 17
 SMOOTHING = 0.5
 #: Characters handled at a time.
 BLOCK = 1 << 19
 #: A text whose best language has a lower posterior is rejected by ``accepted``.
 LEAST_SCORE = 0.5
+#: So many spreads below its best language's typical mean log-probability a text is rejected.
+#: In sf0.01, clean documents reach half of it, and 200 random characters of any script are far beyond.
+MOST_BELOW = 15.0
+#: Training rows from which typical values are taken, about.
+TYPICAL_ROWS = 4000
 MARK = 1
 
 
@@ -88,9 +100,8 @@ def grams(row: np.ndarray, point: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
         yield row[: len(row) - n + 1][same], (h[same] >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages and the (buckets x languages) log-probabilities, the class's
-    prior in the last row, of all rows (text, lang)."""
+def counted(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages and the (buckets x languages) counts, the rows' in the last row, of all rows (text, lang)."""
     def count(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
         out: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -108,15 +119,63 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
     counts = summed(labelled.where("text is not null and lang is not null").select("text", "lang"), count)
     names = sorted(counts)
-    if not names:
-        return [], np.zeros(((1 << BITS) + 1, 0))
-    table = np.stack([counts[x] for x in names], axis=1).astype(float)
-    seen, docs = table[:-1] + SMOOTHING, table[-1]
-    return names, np.vstack([np.log(seen / seen.sum(axis=0)), np.log(docs / docs.sum())])
+    return names, np.stack([counts[x] for x in names], axis=1) if names else np.zeros(((1 << BITS) + 1, 0), np.int64)
+
+
+def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages and the (buckets x languages) log-probabilities, the class's
+    prior in the last row, of all rows (text, lang)."""
+    names, table = counted(labelled)
+    return names, log_probabilities(table)
+
+
+def log_probabilities(table: np.ndarray) -> np.ndarray:
+    if not table.shape[1]:
+        return table.astype(float)
+    seen, docs = table[:-1] + SMOOTHING, table[-1].astype(float)
+    return np.vstack([np.log(seen / seen.sum(axis=0)), np.log(docs / docs.sum())])
 
 
-def predict(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
-    """doc_id, text_key, lang_pred and score (the posterior) of every row."""
+def typical(labelled: DataFrame, names: list[str], table: np.ndarray) -> np.ndarray:
+    """(languages, 3): median and variance of the training rows' mean
+    log-probabilities, and the variance of one n-gram's share in a mean."""
+    labelled = labelled.where("text is not null and lang is not null").select("text", "lang")
+    share = min(1.0, TYPICAL_ROWS / max(1, labelled.count()))
+    picked = labelled.where(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    shared = labelled.sparkSession.sparkContext.broadcast((names, table, table[:-1].sum(axis=0)))
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, table, total = shared.value
+        for batch in batches:
+            out = []
+            for text, lang in zip(batch["text"], batch["lang"]):
+                k = names.index(lang)
+                own = np.zeros(1 << BITS, np.int64)
+                for row, point in _blocks([text]):
+                    for _, bucket in grams(row, point):
+                        own += np.bincount(bucket, minlength=1 << BITS)
+                at, n = np.flatnonzero(own), own.sum()
+                if n:
+                    p = np.log(table[at, k] - own[at] + SMOOTHING) - np.log(total[k] - n + SMOOTHING * (1 << BITS))
+                    mean = (p * own[at]).sum() / n
+                    out.append((lang, mean, (((p - mean) ** 2) * own[at]).sum() / n))
+            yield pd.DataFrame(out, columns=["lang", "mean", "var"])
+
+    by_lang: dict[str, list] = {x: [] for x in names}
+    for r in picked.mapInPandas(rows, "lang string, mean double, var double").collect():
+        by_lang[r.lang].append((r.mean, r.var))
+    out = np.full((len(names), 3), -np.inf)  # a language without a picked row rejects nothing
+    for i, x in enumerate(names):
+        if by_lang[x]:
+            mean, var = np.array(by_lang[x]).T
+            # n-grams overlap: neighbours share characters, which widens a mean's spread
+            out[i] = np.median(mean), mean.var(), 4 * var.mean()
+    return out
+
+
+def predict(docs: DataFrame, names: list[str], model: np.ndarray, usual: np.ndarray | None = None) -> DataFrame:
+    """doc_id, text_key, lang_pred, score (the posterior) and below (spreads
+    below the language's typical mean log-probability, if given) of every row."""
     weights = model.astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((names, weights))
 
@@ -125,27 +184,36 @@ def predict(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
         for batch in batches:
             texts = batch["text"].tolist()
             total, any_letter = np.zeros((len(texts), max(1, len(names)))), np.zeros(len(texts), bool)
+            n, below = np.zeros(len(texts), np.int64), np.zeros(len(texts))
             for row, point in _blocks(texts, max(1024, 4 * BLOCK // max(4, len(names)))):
                 for r, bucket in grams(row, point):
                     if len(r):
                         at = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
                         any_letter[r[at]] = True
+                        n[r[at]] += np.diff(np.r_[at, len(r)])
                         if names:
                             total[r[at]] += np.add.reduceat(weights[bucket], at, axis=0, dtype=np.float64)
             if names:
+                plain = total.copy()
                 total += weights[-1]
                 total -= total.max(axis=1, keepdims=True)
                 p = np.exp(total)
                 p /= p.sum(axis=1, keepdims=True)
                 best = p.argmax(axis=1)
                 known, score = np.array(names, object)[best], p[np.arange(len(p)), best]
+                if usual is not None:
+                    mid, own, each = usual[best].T
+                    known_usual = np.isfinite(mid) & (n > 0)
+                    with np.errstate(all="ignore"):
+                        spread = np.sqrt(own + each / n)
+                        below = np.where(known_usual & (spread > 0), (mid - plain[np.arange(len(p)), best] / n) / spread, 0.0)
             else:
                 known, score = np.array(["und"] * len(texts), object), np.zeros(len(texts))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"], "lang_pred": np.where(any_letter, known, "und"),
-                                "score": np.where(any_letter, score, 0.0)})
+                                "score": np.where(any_letter, score, 0.0), "below": below})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text").mapInPandas(
-        rows, "doc_id long, text_key long, lang_pred string, score double")
+        rows, "doc_id long, text_key long, lang_pred string, score double, below double")
 
 
 def training_rows(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
@@ -165,11 +233,14 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
 
 def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """``docs`` without the rows that have no identified language: null texts,
-    texts without a letter, and texts whose best language is less likely than
-    ``least_score``."""
+    texts without a letter, texts whose best language is less likely than
+    ``least_score``, and texts more than ``MOST_BELOW`` spreads below it."""
     from barwise.llm.setjoin import checked_broadcast
     from barwise.session import written
 
-    bad = written(identify(docs).where((F.col("lang_pred") == "und") | (F.col("score") < least_score)).select(
+    known = training_rows(docs)
+    names, table = counted(known)
+    found = predict(docs, names, log_probabilities(table), typical(known, names, table))
+    bad = written(found.where((F.col("lang_pred") == "und") | (F.col("score") < least_score) | (F.col("below") > MOST_BELOW)).select(
         F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")).distinct(), "rejected")
     return docs.join(checked_broadcast(bad, bad.count()), F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.xxhash64("text") == F.col("__llm_key")), "left_anti")
