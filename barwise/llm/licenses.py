@@ -1,15 +1,18 @@
 """License scans: paragraphs that state a licence, by family.
 
-Method: a trained paragraph classifier.  A paragraph is a line.  Its word 1-
-and 2-grams, hashed into sparse vectors, go through multinomial logistic
-regression over the licence families and an unknown class; probabilities are
-calibrated by a temperature chosen on held-out labelled paragraphs.  A family
-predicted with at least ``LEAST_P`` is confirmed when the paragraph holds at
-least ``CONFIRM`` of the word 3-grams of one of the family's templates, and
-reported as unconfirmed otherwise.
-
-Training rows are the templates with seeded variations (words left out, prose
-around), and for the unknown class written counter-examples and a bounded
+Method: a trained paragraph classifier.  A paragraph is a line, scored in
+windows of ``WINDOW`` words that begin every ``STEP`` words and cover the whole
+line.  A window's word 1- and 2-grams, hashed into sparse vectors, go through
+multinomial logistic regression over the licence families and an unknown class;
+probabilities are calibrated by a temperature chosen on held-out labelled
+windows.  A family of at least ``CHECK_P`` in some window of a line is checked,
+also where unknown is likelier: it is confirmed when the line's windows of that
+family together hold at least ``CONFIRM`` of the word 3-grams of one of its
+templates, and else reported as unconfirmed from ``LEAST_P`` on.  A line can state several families; one goes if
+another holds more of its template and they share 3-grams, or it holds none.
+
+Training rows are windows of the templates with seeded variations (words left
+out, prose around), and for the unknown class written counter-examples and a bounded
 sample of corpus lines (of about ``TRAIN_DOCS`` documents, picked by a hash)
 without a licence word.  Scoring runs over every line of every document, with
 DataFrame functions and Spark ML's DataFrame estimators only.
@@ -21,6 +24,7 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -69,8 +73,11 @@ COUNTER = [
     "Source and binary forms were compared.", "Copyright law changed last year.", "The commercial was shown without warranty.", "Read the conditions before use.",
 ]
 CUES = r"(?i)licen[cs]|copyright|reserved|spdx|warrant|creative commons|public domain|permission|redistribut|\bcc\b"
-FEATURES, LEAST_P, CONFIRM = 1 << 12, 0.5, 0.7
+FEATURES, LEAST_P, CHECK_P, CONFIRM = 1 << 12, 0.5, 0.01, 0.7
 VARIATIONS, TRAIN_DOCS, SEED = 24, 300, 11
+#: Words of a window and between the beginnings of windows: a notice of up to
+#: WINDOW - STEP + 1 words is whole in some window, a longer one has that many of each of its ends in one.
+WINDOW, STEP = 32, 16
 
 
 def words(line: str) -> Column:
@@ -88,6 +95,11 @@ def shingles(w: str) -> Column:
     return F.expr(f"array_distinct(transform(sequence(1, greatest(size({w}) - 2, 1)), i -> concat_ws(' ', slice({w}, i, 3))))")
 
 
+def windows(w: str) -> Column:
+    """Overlapping windows of an array of words, to its end."""
+    return F.expr(f"transform(sequence(0, cast((greatest(size({w}) - {WINDOW}, 0) + {STEP - 1}) div {STEP} as int)), i -> slice({w}, i * {STEP} + 1, {WINDOW}))")
+
+
 def labelled() -> list[tuple[str, str]]:
     """(family, paragraph): templates and counter-examples with their variations."""
     rnd, rows = random.Random(SEED), []
@@ -103,6 +115,10 @@ def labelled() -> list[tuple[str, str]]:
             for _ in range(VARIATIONS if family != UNKNOWN else VARIATIONS // 4):
                 keep = [w for w in text.split() if len(text.split()) < 8 or rnd.random() > 0.08]
                 rows.append((family, " ".join(filter(None, [prose(rnd.randint(0, 9)), " ".join(keep), prose(rnd.randint(0, 9))]))))
+                # a window somewhere in a long paragraph, with as much of the notice as some window has
+                n = min(len(keep), WINDOW - STEP + 1)
+                at = WINDOW + rnd.randint(n - WINDOW, len(keep) - n)
+                rows.append((family, " ".join([*prose(WINDOW).split(), *keep, *prose(WINDOW).split()][at: at + WINDOW])))
     rows += [(UNKNOWN, prose(rnd.randint(1, 60))) for _ in range(20 * VARIATIONS)]
     return rows
 
@@ -120,7 +136,8 @@ def fit(docs: DataFrame) -> tuple[list[str], LogisticRegressionModel, float]:
     lines = picked.select(F.explode(F.split("text", "\n")).alias("line")).where(~F.col("line").rlike(CUES) & (F.length("line") > 0))
     known = spark.createDataFrame([(float(names.index(f)), t) for f, t in labelled()], "label double, line string")
     rows = known.union(lines.select(F.lit(0.0).alias("label"), "line")).withColumn("w", words("line")).where("size(w) > 0")
-    rows = _vectors(rows).withColumn("held", F.pmod(F.xxhash64("line"), F.lit(5)) == 0).select("label", "features", "held")
+    rows = rows.select("label", F.explode(windows("w")).alias("w"))
+    rows = _vectors(rows).withColumn("held", F.pmod(F.xxhash64("w"), F.lit(5)) == 0).select("label", "features", "held")
     rows = written(rows, "paragraphs")
     model = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=60).fit(rows.where("not held"))
     held = model.transform(rows.where("held")).select("label", vector_to_array("rawPrediction").alias("raw")).collect()
@@ -135,23 +152,33 @@ def fit(docs: DataFrame) -> tuple[list[str], LogisticRegressionModel, float]:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """family and the 3-grams of each template."""
-    rows = spark.createDataFrame([(f, t) for f, texts in TEMPLATES.items() for t in texts], "family string, line string")
-    return rows.withColumn("w", words("line")).select("family", shingles("w").alias("template"))
+    """family, number and 3-grams of each template."""
+    rows = spark.createDataFrame([(f, i, t) for f, texts in TEMPLATES.items() for i, t in enumerate(texts)], "family string, number int, line string")
+    return rows.withColumn("w", words("line")).select("family", "number", shingles("w").alias("template"))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, line (number), family, p and confirmed of the lines with a predicted family."""
+    """doc_id, text_key, line (number), family, p and confirmed of the families stated in each line."""
     names, model, heat = fit(docs)
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line", "said"))
-    rows = _vectors(lines.withColumn("w", words("said")).where("size(w) > 0").drop("said")).drop("grams")
-    scored = model.transform(rows).where("prediction > 0").withColumn("raw", vector_to_array("rawPrediction"))
-    best = F.expr(f"1 / aggregate(raw, double(0), (s, x) -> s + exp((x - array_max(raw)) / {heat}D))")
-    family = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("prediction").cast("int") + 1)
-    found = scored.withColumn("p", best).where(F.col("p") >= LEAST_P).select("doc_id", "text_key", "line", family.alias("family"), "p", shingles("w").alias("own"))
-    share = F.expr("size(array_intersect(own, template)) / size(template)")
-    return (found.join(templates(docs.sparkSession), "family").groupBy("doc_id", "text_key", "line", "family")
-            .agg(F.max("p").alias("p"), (F.max(share) >= CONFIRM).alias("confirmed")))
+    rows = lines.withColumn("w", words("said")).where("size(w) > 0").select("doc_id", "text_key", "line", F.explode(windows("w")).alias("w"))
+    # behind a generator, so that no filter on the scores is pushed down and computes them again
+    raw = model.transform(_vectors(rows).drop("grams")).select("doc_id", "text_key", "line", "w", F.explode(F.array(vector_to_array("rawPrediction"))).alias("raw"))
+    raw = raw.where(F.expr(f"array_max(slice(raw, 2, {len(names)})) >= array_max(raw) + {heat * math.log(CHECK_P)}D"))
+    raw = raw.withColumn("top", F.array_max("raw")).withColumn("e", F.expr(f"transform(raw, x -> exp((x - top) / {heat}D))"))
+    raw = raw.withColumn("sum", F.expr("aggregate(e, double(0), (s, x) -> s + x)"))
+    found = (raw.select("doc_id", "text_key", "line", "sum", shingles("w").alias("own"), F.posexplode("e").alias("at", "e"))
+             .where(F.expr(f"at > 0 and e >= {CHECK_P} * sum"))
+             .select("doc_id", "text_key", "line", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("at") + 1).alias("family"), (F.col("e") / F.col("sum")).alias("p"), "own"))
+    hits = found.join(templates(docs.sparkSession), "family").withColumn("hit", F.array_intersect("own", "template"))
+    by_template = (hits.groupBy("doc_id", "text_key", "line", "family", "number")
+                   .agg(F.max("p").alias("p"), F.max(F.size("template")).alias("size"), F.array_distinct(F.flatten(F.collect_set("hit"))).alias("hit")))
+    by_family = by_template.withColumn("share", F.size("hit") / F.col("size")).groupBy("doc_id", "text_key", "line", "family").agg(
+        F.max("p").alias("p"), F.max(F.struct("share", "hit")).alias("best"))
+    by_line = by_family.where((F.col("p") >= LEAST_P) | (F.col("best.share") >= CONFIRM)).groupBy("doc_id", "text_key", "line").agg(F.collect_list(F.struct("family", "p", "best.share", "best.hit")).alias("all"))
+    stated = F.expr("filter(all, x -> not exists(all, y -> y.share > x.share and (size(x.hit) = 0 or arrays_overlap(x.hit, y.hit))))")
+    return (by_line.select("doc_id", "text_key", "line", F.explode(stated).alias("x"))
+            .select("doc_id", "text_key", "line", "x.family", "x.p", (F.col("x.share") >= CONFIRM).alias("confirmed")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
