@@ -182,38 +182,40 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["node", "tokens"])
 
 
+def exact_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key and representative of every row: the smallest doc_id of
+    the rows of its text (null if all are null), under which ``near_copies`` has it."""
+    texts = keyed(docs).select("doc_id", "text_key")
+    first = texts.groupBy("text_key").agg(F.min("doc_id").alias("representative"))
+    return texts.join(first, "text_key").select("doc_id", "text_key", "representative")
+
+
 def near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, other_id and jaccard of pairs of different texts that share a band.
+    """doc_id, other_id, jaccard, text_key and other_key of all pairs of different texts that share a band and match.
 
-    Equal texts stand as one, under their smallest doc_id.  In each (band,
-    value) every text meets the smallest one; a text that does not match it
-    meets all others.  So each text's links are found, but a group around its
-    smallest text gives a star and not all pairs.
+    Equal texts stand as one, under their smallest doc_id; ``exact_copies`` has
+    the representative of every row.  All pairs of a group are given, so they
+    grow with the square of its different texts.
     """
     texts = keyed(docs)
-    first = texts.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
-    nodes = written(texts.join(first, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"]).mapInArrow(
+    first = texts.groupBy("text_key").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("text_key", "first_key")
+    own = (F.col("text_key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    nodes = written(texts.join(first, own, "left_semi").dropDuplicates(["doc_id", "text_key"]).mapInArrow(
         _bands, "doc_id long, text_key long, bands array<long>").withColumn("node", F.monotonically_increasing_id()), "signatures")
     index = nodes.select("node", F.explode("bands").alias("band"))
-    shared = index.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("band", "first")
+    shared = index.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("band")
     live = written(index.join(shared, "band"), "bands")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs.distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
-        wanted = written(wanted.withColumnsRenamed({"doc_id": "of_id", "text_key": "of_key"}), "wanted")
-        sets = texts.join(checked_broadcast(wanted, wanted.count()), (F.col("doc_id") == F.col("of_id")) & (F.col("text_key") == F.col("of_key")))
-        sets = sets.select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets, "node long, tokens array<long>")
-        for x in "ab":
-            pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("tokens").alias("s" + x)), x)
-        pairs = pairs.withColumn("both", F.size(F.array_intersect("sa", "sb"))).withColumn("all", F.size("sa") + F.size("sb") - F.col("both"))
-        return written(pairs.where(f"100L * both >= {percent}L * all").select("a", "b", F.expr("both / all").alias("jaccard")), "matches")
-
-    stars = verified(live.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
-    rest = live.join(stars.select(F.col("a").alias("first"), F.col("b").alias("node")), ["first", "node"], "left_anti").where("node <> first")
-    more = verified(rest.alias("r").join(live.alias("s"), "band").where("r.node <> s.node and s.node <> s.first")
-                    .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")))
-    found = stars.union(more).distinct()
-    for x, name in (("a", "doc_id"), ("b", "other_id")):
-        found = found.join(nodes.select(F.col("node").alias(x), F.col("doc_id").alias(name)), x)
-    return found.select("doc_id", "other_id", "jaccard")
+    pairs = written(live.alias("r").join(live.alias("s"), "band").where("r.node < s.node")
+                    .select(F.col("r.node").alias("a"), F.col("s.node").alias("b")).distinct(), "pairs")
+
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
+    wanted = written(wanted.withColumnsRenamed({"doc_id": "of_id", "text_key": "of_key"}), "wanted")
+    sets = texts.join(checked_broadcast(wanted, wanted.count()), F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")))
+    sets = written(sets.select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets, "node long, tokens array<long>"), "whole")
+    for x in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("tokens").alias("s" + x)), x)
+    pairs = pairs.withColumn("both", F.size(F.array_intersect("sa", "sb"))).withColumn("all", F.size("sa") + F.size("sb") - F.col("both"))
+    found = pairs.where(f"100L * both >= {percent}L * all").select("a", "b", F.expr("both / all").alias("jaccard"))
+    for x, name, key in (("a", "doc_id", "text_key"), ("b", "other_id", "other_key")):
+        found = found.join(nodes.select(F.col("node").alias(x), F.col("doc_id").alias(name), F.col("text_key").alias(key)), x)
+    return found.select("doc_id", "other_id", "jaccard", "text_key", "other_key")
