@@ -262,12 +262,8 @@ register("feature_symbols", TO.BOOK_SQL["feature_symbols"])(
 # ---- training and scoring (no SQL twin: rows-only check) -------------------------------------
 
 
-#: Rounds of the registered queries; jobs use the full budget of BoostParams.
-GBT_BUDGET = MD.BoostParams(max_iter=32, patience=8)
-
-
 def _gbt(spark, d):
-    return MD.train_and_predict(written(rounded_features(spark, d), "features"), GBT_BUDGET, run_id="gbt-run", created_at=FX.RUN_TS, cv=False)
+    return MD.train_and_predict(written(rounded_features(spark, d), "features"), run_id="gbt-run", created_at=FX.RUN_TS)
 
 
 register("gbt_predictions", None)(lambda spark, d: _gbt(spark, d)["predictions"])
