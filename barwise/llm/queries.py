@@ -28,7 +28,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-HOST_RULES = [Rule("com/", "allow"), Rule("example.com/en/", "block"), Rule("www.example.com/en/", "allow"), Rule("net/es/", "allow"), Rule("net/fr/", "block")]
+HOST_RULES = [Rule("com/", "allow"), Rule("example.com/en/", "block"), Rule("www.example.com/en/", "allow"), Rule("net/es/", "block"), Rule("net/fr/", "block")]
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,8 +35,8 @@ r AS (SELECT *, {_LOWER.format("host || path")} AS low, CASE
         WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
         WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM u)
 SELECT page_id, host, path, rule, CASE
-    WHEN rule IN ('com/', 'www.example.com/en/', 'net/es/') THEN 'allow'
-    WHEN rule IN ('example.com/en/', 'net/fr/') THEN 'block'
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block'
     WHEN regexp_matches(low, '(^|[^a-z0-9])(casino-.*\\.|online-casino|free-bets|sports-betting|cheap-pills|viagra|adult-.*\\.|porn|xxx|ads-track|doubleclick|payday-loans|/cgi-bin/|/wp-login|/trackback/)([^a-z0-9]|$)', 's') THEN 'block'
     ELSE 'allow' END AS verdict
 FROM r

@@ -10,11 +10,14 @@ import pytest
 from tokenizers import Tokenizer
 
 from barwise.llm import decontaminate, fingerprints, packing, url_filter
-from barwise.llm.queries import HOST_RULES
+from barwise.llm.queries import op3_url_filter
 from barwise.llm.url_filter import Rule
 
 SF = "/root/testdata/sf0.001"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The five host rules of the query, written out here as well.
+HOST_RULES = [Rule("com/", "allow"), Rule("example.com/en/", "block"), Rule("www.example.com/en/", "allow"),
+              Rule("net/es/", "block"), Rule("net/fr/", "block")]
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -94,6 +97,15 @@ def test_verdicts_equal_brute_force(spark, frame):
     assert url_filter.judge(frame([], "page_id long, url string"), rules).count() == 0
 
 
+def test_the_query_applies_the_five_rules(spark, frame, tmp_path):
+    want = {"http://a.net/es/x": ("net/es/", "block"), "http://net/fr/": ("net/fr/", "block"), "http://b.com/x": ("com/", "allow"),
+            "http://example.com/en/1": ("example.com/en/", "block"), "http://www.example.com/en/1": ("www.example.com/en/", "allow"),
+            "http://example.com/es/1": ("com/", "allow"), "http://a.net/en/x": (None, "allow")}
+    frame([(i, u, "") for i, u in enumerate(want)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.rule, r.verdict) for r in op3_url_filter(spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+
+
 def test_rules_are_indexed_by_their_rarest_token(frame):
     tokens = frame([("com",)] * 9 + [("example",)] * 2 + [("en",)] * 4, "token string")
     got = {r.rule: r.token for r in url_filter.indexed(HOST_RULES + [Rule("*zz*", "block", "pattern")], tokens).collect()}
