@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barwise.llm import (decontaminate, fingerprints, html_text, langid, licenses, line_dedup, ngram_join, packing, quality,
-                         sql, url_filter)
+from barwise.llm import (decontaminate, fingerprints, html_text, langid, licenses, line_dedup, merkle, ngram_join, packing, periodic_runs,
+                         quality, retrieval_packing, sql, url_filter)
 from barwise.llm.url_filter import Rule
 
 
@@ -72,6 +73,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of words that repeat with one period, in every document; a tenth has one planted."""
+    return periodic_runs.report(table(spark, sf_dir, "documents"), periodic_runs.planted)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; a seventh is tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    hex_of = merkle.text_of
+    proof = F.aggregate("path", F.lit(b""), lambda a, r: F.concat(a, r["others"]))
+    return merkle.manifest(table(spark, sf_dir, "documents"), change=tampered).select(
+        "doc_id", hex_of("leaf").alias("leaf"), hex_of("subroot").alias("subroot"), hex_of("root").alias("root"),
+        F.sha2(hex_of(proof).cast("binary"), 256).alias("proof_sha256"), hex_of("folded_root").alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of up to 4096 tokens, next to lexical neighbours."""
+    return retrieval_packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_licenses, op3_url_filter, op4_html_text, op5_language, op6_ngram_join,
-                                   op7_fingerprints, op8_packing, op9_quality, op10_line_dedup)}
-ORACLE_SQL = {"op1_decontamination": sql.OP1, "op3_url_filter": sql.OP3}
+                                   op7_fingerprints, op8_packing, op9_quality, op10_line_dedup, op11_periodic_runs, op12_merkle_manifest,
+                                   op13_retrieval_packing)}
+ORACLE_SQL = {"op1_decontamination": sql.OP1, "op3_url_filter": sql.OP3, "op12_merkle_manifest": sql.OP12}

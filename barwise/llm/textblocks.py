@@ -87,11 +87,9 @@ def split_lines(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return begin, row, np.arange(len(row)) - first[row]
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unit index, 64-bit hash) of every word; units begin at ``starts``."""
+def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word; units begin at ``starts``."""
     n = len(data)
-    if n == 0:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
     body = ~SPACE[data]
     edge = np.zeros(n + 1, bool)
     edge[starts] = True
@@ -100,13 +98,25 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     begin[1:] &= ~body[:-1] | edge[1:n]
     end = body.copy()
     end[:-1] &= ~body[1:] | edge[1:n]
-    first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
+def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes after lower-casing A-Z."""
+    n = len(data)
     up, down = powers(n)
     total = np.zeros(n + 1, U64)
     np.cumsum(BYTE_VALUE[LOWER[data]] * up[:n], out=total[1:])
     value = (total[last] - total[first]) * down[first]
-    unit = np.searchsorted(starts, first, "right") - 1
-    return unit, mix(value + (last - first).astype(U64) * STEP)
+    return mix(value + (last - first).astype(U64) * STEP)
+
+
+def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit index, 64-bit hash) of every word; units begin at ``starts``."""
+    if len(data) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    first, last = word_spans(data, starts)
+    return np.searchsorted(starts, first, "right") - 1, span_hashes(data, first, last)
 
 
 def shingles(unit: np.ndarray, word: np.ndarray, units: int, k: int) -> tuple[np.ndarray, np.ndarray]:
