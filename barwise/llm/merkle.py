@@ -95,35 +95,42 @@ def levels(leaves: DataFrame, arity: int = 2) -> list[DataFrame]:
     ``n`` is the group's number of nodes on the level; a group's top is the node with n = 1.
     Further columns of ``leaves`` stay on the lowest level."""
     extra = [c for c in leaves.columns if c not in ("grp", "place", "n", "hash")]
+    width = leaves.agg(F.max("n")).first()[0]
+    top = {"slot": F.lit(0), "others": F.lit(b"")}
     now, out = leaves, []
-    while True:
-        width = now.agg(F.max("n")).first()[0]
-        if width is None:
-            return out
-        if width == 1:
-            return out + [now.withColumns({"slot": F.lit(0), "others": F.lit(b"")})]
-        alone = now.where("n = 1").withColumns({"slot": F.lit(0), "others": F.lit(b"")})
-        level = written(_with_siblings(now.where("n > 1"), arity).unionByName(alone), "level")
+    while width and width > 1:
+        level = written(_with_siblings(now.where("n > 1"), arity).unionByName(now.where("n = 1").withColumns(top)), "level")
         out.append(level)
         run = F.concat(text_of("hash"), text_of("others"))
         now = level.where("n > 1 and slot = 0").drop(*extra).select(
             "grp", F.expr(f"place div {arity}").alias("place"), F.expr(f"(n + {arity - 1}) div {arity}").alias("n"), digest(run).alias("hash"))
+        width = -(-width // arity)
+    return out + [written(now.withColumns(top), "level")] if width else out
 
 
-def paths(tree: list[DataFrame], tops: DataFrame, arity: int = 2) -> DataFrame:
-    """The lowest level with each node's ``path``: (slot, others) of its levels, then its group's ``upper``.
-
-    ``tops`` has a row per group: grp, subroot and upper (a path)."""
+def paths(tree: list[DataFrame], upper: DataFrame | None = None, arity: int = 2) -> DataFrame:
+    """The lowest level's rows with their ``subroot`` and ``path``: (slot, others) of every level up to
+    their group's top, then that group's path in ``upper`` (grp, path), if given."""
+    tops = tree[0].where("n = 1").select(F.lit(0).alias("depth"), "grp", "hash")
+    for depth, level in enumerate(tree[1:], 1):
+        tops = tops.union(level.where("n = 1").select(F.lit(depth), "grp", "hash"))
+    none = F.array().cast("array<struct<slot: int, others: binary>>")
+    tops = tops.join(upper, "grp") if upper is not None else tops.withColumn("path", none)
+    tops = written(tops.select("depth", "grp", F.col("hash").alias("subroot"), "path"), "tops")
+    columns = [c for c in tree[0].columns if c not in ("slot", "others")]
     above = None
-    for depth, level in enumerate(reversed(tree)):
-        own = F.array(F.struct("slot", "others"))
-        keep = [c for c in level.columns if c not in ("slot", "others")]
-        found = level.where("n = 1").join(tops, "grp").select(*keep, "subroot", F.col("upper").alias("path"))
+    for depth in reversed(range(len(tree))):
+        level, ends = tree[depth], tops.where(F.col("depth") == depth)
+        if depth:
+            found, keep = ends.select("grp", F.lit(0).cast("long").alias("place"), "subroot", "path"), ["grp", "place"]
+        else:
+            found, keep = level.where("n = 1").join(ends, "grp").select(*columns, "subroot", "path"), columns
         if above is not None:
             parent = above.select(F.col("grp").alias("p_grp"), F.col("place").alias("p_place"), "subroot", F.col("path").alias("rest"))
             lower = level.where("n > 1").join(parent, (F.col("grp") == F.col("p_grp")) & (F.expr(f"place div {arity}") == F.col("p_place")))
+            own = F.array(F.struct("slot", "others"))
             found = found.unionByName(lower.select(*keep, "subroot", F.concat(own, F.col("rest")).alias("path")))
-        above = written(found, "paths") if depth % LEVELS == LEVELS - 1 and depth + 1 < len(tree) else found
+        above = written(found, "paths") if depth and depth % LEVELS == 0 else found
     return above
 
 
@@ -155,13 +162,9 @@ def manifest(docs: DataFrame, arity: int = 2, change: Column | None = None) -> D
     subroots = tree[0].where("n = 1").select("grp", "hash")
     for level in tree[1:]:
         subroots = subroots.union(level.where("n = 1").select("grp", "hash"))
-    subroots = written(placed(subroots.select(F.lit("").alias("grp"), F.col("grp").alias("group"), "hash"), ["group"]), "subroots")
-    crown = levels(subroots, arity)
+    crown = levels(placed(subroots.select(F.lit("").alias("grp"), F.col("grp").alias("group"), "hash"), ["group"]), arity)
     root = bytes(crown[-1].first()["hash"])
-    none = F.array().cast("array<struct<slot: int, others: binary>>")
-    top = crown[-1].select("grp", F.col("hash").alias("subroot"), none.alias("upper"))
-    upper = written(paths(crown, top, arity).select(F.col("group").alias("grp"), F.col("hash").alias("subroot"), F.col("path").alias("upper")), "upper")
-    found = paths(tree, upper, arity)
+    found = paths(tree, written(paths(crown, arity=arity).select(F.col("group").alias("grp"), "path"), "upper"), arity)
     changed = F.coalesce("moved", "hash")
     return found.select(F.col("row_id").alias("doc_id"), F.col("hash").alias("leaf"), "subroot", F.lit(root).alias("root"), "path",
                         changed.alias("changed_leaf"), folded(changed, F.col("path")).alias("folded_root"))
