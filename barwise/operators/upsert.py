@@ -11,16 +11,15 @@ without one, or in a tie, the row with the largest values in column order, so
 the result does not depend on the partitioning.
 
 ``write_snapshot`` writes a new immutable directory and never overwrites the
-folder being read; ``upsert_table`` replaces only the months a batch touches.
+folder being read; stored tables are merged by :mod:`barwise.operators.snapshots`,
+which rewrites only the files that a batch touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barwise.session import written
-
 _T, _S = "__in_target", "__in_source"
 
 
@@ -71,39 +70,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
     return j.select(*out)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists in whichever file system holds it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str], update_cols: list[str],
-                 date_col: str, order_col: str | None = None, insert_defaults: dict[str, Column] | None = None) -> None:
-    """Merge ``source`` into the table at ``path``, partitioned by the month
-    of ``date_col`` (a key column).
-
-    Only the months that the batch touches are read, merged and replaced
-    (dynamic partition overwrite); a daily batch costs its own months,
-    however long the table's history is.  The merged rows are a written table
-    before any stored file goes, and the merge is idempotent, so a job that
-    is run again after a failure ends with the same table."""
-    part = f"{date_col}_month"
-    month = F.date_format(date_col, "yyyy-MM")
-    batch = written(dedupe_batch(source, keys, order_col), "batch")
-    months = [r[0] for r in batch.select(month).where(F.col(date_col).isNotNull()).distinct().collect()]  # calendar-bound
-    if not months:
-        return
-    if table_exists(spark, path):
-        stored = spark.read.option("basePath", path).parquet(path).where(F.col(part).isin(months)).drop(part)
-        merged = upsert(stored, batch, keys, update_cols, insert_defaults=insert_defaults)
-    else:
-        extra = {c: v for c, v in (insert_defaults or {}).items() if c not in batch.columns}
-        merged = batch.withColumns(extra)
-    merged = written(merged.where(F.col(date_col).isNotNull()).withColumn(part, month), "merged")
-    (merged.repartition(part).sortWithinPartitions(*keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
-
-
 def upsert_stats(target: DataFrame, source: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """U10 counts of a document upsert: inserted (key absent), modified (key
     present and any field differs, NULL-safe), total (batch rows)."""

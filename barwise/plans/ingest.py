@@ -86,8 +86,8 @@ def normalize_fundamentals(raw: DataFrame, as_of) -> DataFrame:
 
 def ingest(target: DataFrame, batch: DataFrame, universe: DataFrame, ledger: DataFrame,
            data_type: str, as_of, run_id: str, run_ts) -> dict[str, DataFrame]:
-    """One data type of C2.  Returns the merged table, the new ledger rows
-    and the new audit-log rows.
+    """One data type of C2.  Returns the batch of the pending symbols, the merged
+    table, the new ledger rows and the new audit-log rows.
 
     Symbols pending without any row in the batch: prices are 'failed'
     (empty response); events are 'success' with 0 records and no log row.
@@ -115,4 +115,4 @@ def ingest(target: DataFrame, batch: DataFrame, universe: DataFrame, ledger: Dat
                            F.coalesce("record_count", F.lit(0)).cast("bigint").alias("rows_affected"),
                            F.when(failed, F.lit("Empty response")).alias("error_msg"),
                            F.lit(run_id).alias("dag_run_id"), ts.alias("ran_at")))
-    return {"table": merged, "ledger": ledger_rows, "log": log_rows}
+    return {"batch": b, "table": merged, "ledger": ledger_rows, "log": log_rows}

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -72,13 +75,56 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Folders of the tables written inside the open ``scratch`` blocks, innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("barwise_scratch", default=())
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read again.
 
     Cuts the lineage durably: a later stage rereads the files, whichever
-    executors are lost meanwhile.
-    """
+    executors are lost meanwhile.  Inside a ``scratch`` block the table lives as
+    long as the block, unless it is kept."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path, compression="zstd")
-    return spark.read.schema(df.schema).parquet(path)
+    if _open.get():
+        _open.get()[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own in whichever file system holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def forget(table: DataFrame) -> None:
+    """Delete the files of a ``written`` table that nothing reads any more."""
+    delete_folder(table.sparkSession, table.written_to)
+    for tables in _open.get():
+        if table.written_to in tables:
+            tables.remove(table.written_to)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes the tables written inside the block when it ends, so intermediate tables of a long job do not
+    add up; ``keep(table)`` hands a table on to the code around the block."""
+    tables: list[str] = []
+    token = _open.set((*_open.get(), tables))
+
+    def keep(table: DataFrame) -> DataFrame:
+        tables.remove(table.written_to)
+        if len(_open.get()) > 1:
+            _open.get()[-2].append(table.written_to)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _open.reset(token)
+        for path in tables:
+            delete_folder(spark, path)

@@ -7,9 +7,10 @@ normalised (A3, F6, P7) and merged into the bar table with the keyed upsert
 rerun after a lost executor or a killed driver neither skips nor repeats a
 file; ``trigger(availableNow=True)`` turns the daily run into a bounded job.
 
-The table is partitioned by month and a micro-batch replaces only the months
-it touches (``upsert_table``).  The merge is idempotent: a replayed batch gives
-the same table.
+The table is versioned (:mod:`barwise.operators.snapshots`): a micro-batch
+rewrites only the files it touches and publishes the next version, so readers
+always meet a whole one.  The merge is idempotent: a replayed batch gives the
+same rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwise.operators.upsert import table_exists, upsert_table
+from barwise.operators import snapshots
 from barwise.plans.ingest import SPECS, normalize_bars
 
 LANDING_SCHEMA = ("symbol string, Date timestamp_ntz, Open double, High double, Low double, Close double, "
@@ -28,8 +29,8 @@ def merge_bars(spark: SparkSession, table_dir: str, run_ts):
     spec = SPECS["price"]
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(spark, table_dir, batch, spec["keys"], spec["update"], "date",
-                     insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
+        snapshots.merge(spark, table_dir, batch, spec["keys"], spec["update"], "date",
+                        insert_defaults={"ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
     return _merge
 
 
@@ -37,8 +38,8 @@ def start_bar_ingestion(spark: SparkSession, landing_dir: str, base: DataFrame,
                         checkpoint_dir: str, run_ts, tz: str | None = None, available_now: bool = True):
     """Start the stream; returns the ``StreamingQuery``.  A table that does
     not exist yet begins with the rows of ``base``."""
-    if not table_exists(spark, table_dir):
-        upsert_table(spark, table_dir, base, SPECS["price"]["keys"], [], "date")
+    if not snapshots.exists(spark, table_dir):
+        snapshots.replace(spark, table_dir, base, SPECS["price"]["keys"], F.date_format("date", "yyyy-MM"))
     raw = spark.readStream.schema(LANDING_SCHEMA).parquet(landing_dir)
     batch = normalize_bars(raw, tz)
     w = (batch.writeStream.foreachBatch(merge_bars(spark, table_dir, run_ts))
@@ -49,4 +50,4 @@ def start_bar_ingestion(spark: SparkSession, landing_dir: str, base: DataFrame,
 
 def latest_table(spark: SparkSession, table_dir: str, base: DataFrame) -> DataFrame:
     """The table as it is now, with the columns of ``base``; ``base`` before the first run."""
-    return spark.read.schema(base.schema).parquet(table_dir).select(base.columns) if table_exists(spark, table_dir) else base
+    return snapshots.read(spark, table_dir).select(base.columns) if snapshots.exists(spark, table_dir) else base
