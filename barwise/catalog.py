@@ -24,7 +24,7 @@ from barwise.plans import jobs as JB
 from barwise.plans import model as MD
 from barwise.plans import registry as RG
 from barwise.schemas import DIVIDENDS
-from barwise.session import written
+from barwise.session import scratch, scratch_path, written
 from barwise.sources import fixtures as FX
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -243,13 +243,7 @@ register("date_snapshot", TO.MODEL_SQL["date_snapshot"])(
 
 # ---- feature-run bookkeeping (F20 quarantine, U11, G3, G4, G9) ----------------------------------
 def feature_log(spark, d):
-    fs = FE.to_feature_schema(feature_frame(spark, d), computed_at=None)
-    g = fs.groupBy("symbol", "_status").agg(F.count(F.lit(1)).alias("n"))
-    bad = F.col("_status") == "failed"
-    return g.select("symbol", F.lit("features").alias("data_type"), F.col("_status").alias("status"),
-                    F.when(bad, 0).otherwise(F.col("n")).cast("bigint").alias("rows_affected"),
-                    F.when(bad, F.lit("numeric overflow")).alias("error_msg"),
-                    F.lit("run-1").alias("dag_run_id"), F.lit(FX.RUN_TS).cast("timestamp_ntz").alias("ran_at"))
+    return JB.feature_log(FE.to_feature_schema(feature_frame(spark, d), computed_at=None), "run-1", FX.RUN_TS)
 
 
 register("feature_run_log", TO.BOOK_SQL["feature_run_log"])(feature_log)
@@ -262,12 +256,31 @@ register("feature_symbols", TO.BOOK_SQL["feature_symbols"])(
 # ---- training and scoring (no SQL twin: rows-only check) -------------------------------------
 
 
-def _gbt(spark, d):
-    return MD.train_and_predict(written(rounded_features(spark, d), "features"), run_id="gbt-run", created_at=FX.RUN_TS)
+_TRAINED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-register("gbt_predictions", None)(lambda spark, d: _gbt(spark, d)["predictions"])
-register("gbt_feature_importance", None)(lambda spark, d: _gbt(spark, d)["importance"])
+def trained(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """One training run of the job over ``d`` for all queries of a session: cross-validation and final fit (C4), the
+    model saved and loaded again (M13), the newest rows scored (C5), the run row (M16) and the importance file (U14)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TRAINED:
+        with scratch(spark) as keep:
+            feats = written(rounded_features(spark, d), "features")
+            fit = MD.train_and_predict(feats, run_id="gbt-run", created_at=FX.RUN_TS)
+            base = scratch_path(spark, "models")
+            MD.save_model(spark, fit["model"], base, "gbt-run")
+            JB.write_importance_csv(fit["importance"], f"{base}/importance")
+            pred = MD.score_latest(feats, MD.load_model(spark, base, "gbt-run"), "gbt-run", "run-1", FX.RUN_TS)
+            _TRAINED[key] = {"predictions": keep(written(pred, "predictions")), "run": keep(written(fit["run"], "run")),
+                             "importance": spark.read.schema(fit["importance"].schema).option("header", True).csv(f"{base}/importance"),
+                             "folds": keep(written(fit["cv"]["folds"], "folds"))}
+    return _TRAINED[key]
+
+
+register("gbt_predictions", None)(lambda spark, d: trained(spark, d)["predictions"])
+register("gbt_feature_importance", None)(lambda spark, d: trained(spark, d)["importance"])
+register("gbt_folds", None)(lambda spark, d: trained(spark, d)["folds"])
+register("model_run", None)(lambda spark, d: trained(spark, d)["run"])
 
 
 # ---- many short series: one symbol per supplier (FIXTURES §2 note) ----------------------------

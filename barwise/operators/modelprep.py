@@ -92,6 +92,16 @@ def holdout_split(df: DataFrame, date_col: str = "date", frac: float = HOLDOUT_F
              .drop("date_idx", "__cut"))
 
 
+def split_roles(df: DataFrame, cuts: list[tuple[float, float | None]], date_col: str = "date") -> DataFrame:
+    """M3/M4 for models that share their rows: every row once, with ``roles``, an array of 1 (train), 2 (validation)
+    or 0 per (train cut, validation cut); without a validation cut all later dates validate."""
+    idx = date_index(df, date_col)
+    role = lambda a, b: (F.when(F.col("date_idx") <= _cut_idx(a), 1)
+                         .when(F.col("date_idx") <= _cut_idx(b) if b is not None else F.lit(True), 2).otherwise(0))
+    roles = F.array(*[role(a, b) for a, b in cuts]).cast("array<int>")
+    return df.join(F.broadcast(idx.select(date_col, roles.alias("roles"))), date_col)
+
+
 def classification_metrics(pred: DataFrame, label: str = "y", prob: str = "prob",
                            by: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """M7-M10 per group: accuracy, ROC AUC (exact, mid-rank), F1 of the

@@ -1,15 +1,11 @@
-"""C4/C5 — training and scoring with ``pyspark.ml``.
-
-The learner is Spark's distributed gradient-boosted trees with the
-reference's budget: depth 6, learning rate 0.05, up to 1000 rounds, 0.8 row
-and feature sampling, at least 50 rows per leaf, seed 42, and early stopping with
-a patience of 50 rounds: the loss on the validation rows is evaluated after
-every round, and the model keeps the rounds up to the best one.  Same task and
-inputs as the original single-machine booster, not the same trees.
-
-Missing values (M6): trees cannot take NULL, so numeric NULLs become a
-sentinel far below every real value; a split can then isolate "missing"
-exactly as a native missing-value branch would.
+"""C4/C5 — training and scoring.
+
+The learner is :mod:`barwise.operators.boosting`: histogram trees grown best
+leaf first with the job's budget (63 leaves, depth 6, step 0.05, up to 1000
+rounds, 0.8 row and feature sampling, at least 50 rows a leaf, L1 and L2 of
+0.1, seed 42, patience of 50 rounds).  The three walk-forward folds and the
+final fit are trained together: each pass over the stored, binned rows serves
+all four.  Missing values have their own bin and a learned direction (M6).
 """
 
 from __future__ import annotations
@@ -18,16 +14,13 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwise.functions import or_unknown, truncate_text
-from barwise.operators.modelprep import (FOLD_BOUNDARIES, classification_metrics, decide, holdout_split, labelled,
-                                         walk_forward_folds)
+from barwise.operators.boosting import VAL, Bins, BoostParams, Model, Table, Tree, binned, fit_bins, fit_boosted, predicted
+from barwise.operators.modelprep import FOLD_BOUNDARIES, HOLDOUT_FRACTION, classification_metrics, decide, labelled, split_roles
 from barwise.operators.summaries import cv_average, latest_per_symbol, require_rows, top_k, training_stats
 from barwise.operators.upsert import align_to_schema
 from barwise.plans.features import NUMERIC_FEATURES
@@ -36,119 +29,87 @@ from barwise.session import written
 
 LABEL = "target_direction_1d"
 CATEGORICAL = ["sector", "industry"]
-MISSING = -1.0e12
 MIN_TRAIN_ROWS = 1000
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    max_depth: int = 6
-    step_size: float = 0.05
-    max_iter: int = 1000
-    subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
-    min_instances_per_node: int = 50
-    seed: int = 42
-    # rounds without a better validation loss after which boosting stops
-    patience: int = 50
-    # split candidates of a numeric feature; raised to the number of categories
-    max_bins: int = 64
+@dataclass
+class Fitted:
+    """A trained model with the bins of its features."""
+
+    bins: Bins
+    model: Model
 
 
 def model_frame(df: DataFrame) -> DataFrame:
-    """M1 + M6 + F17: numeric features as double with the missing sentinel,
-    categorical columns with NULL -> 'Unknown', label as double."""
-    cols = [F.coalesce(F.col(c).try_cast("double"), F.lit(MISSING)).alias(c) for c in NUMERIC_FEATURES]
-    cats = [or_unknown(c).alias(f"{c}_s") for c in CATEGORICAL]
-    keep = [c for c in ("symbol", "date", "fold", "split", "cutoff_date") if c in df.columns]
+    """M1 + F17: numeric features as double (bad values NULL), categories with NULL -> 'Unknown', label as double."""
+    cols = [F.col(c).try_cast("double").alias(c) for c in NUMERIC_FEATURES]
+    cats = [or_unknown(c).alias(c) for c in CATEGORICAL]
+    keep = [c for c in ("symbol", "date", "roles") if c in df.columns]
     lab = [F.col(LABEL).cast("double").alias("label")] if LABEL in df.columns else []
     return df.select(*keep, *cols, *cats, *lab)
 
 
-def known_categories(frame: DataFrame, model: PipelineModel) -> DataFrame:
-    """M2: categories that the fit did not see become 'Unknown'."""
-    for c, labels in zip(CATEGORICAL, model.stages[0].labelsArray):
-        frame = frame.withColumn(f"{c}_s", F.when(F.col(f"{c}_s").isin(list(labels)), F.col(f"{c}_s")).otherwise("Unknown"))
-    return frame
+@dataclass
+class Run:
+    """The models of one training run over ``data`` (a written table with ``roles``), in the order of the roles."""
 
+    data: DataFrame
+    bins: Bins
+    table: Table
+    models: list[Model]
 
-def build_pipeline(p: BoostParams, rounds: int, bins: int) -> Pipeline:
-    idx = StringIndexer(inputCols=[f"{c}_s" for c in CATEGORICAL], outputCols=[f"{c}_idx" for c in CATEGORICAL],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    vec = VectorAssembler(inputCols=NUMERIC_FEATURES + [f"{c}_idx" for c in CATEGORICAL],
-                          outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(labelCol="label", featuresCol="features", maxDepth=p.max_depth, stepSize=p.step_size,
-                        maxIter=rounds, subsamplingRate=p.subsampling_rate,
-                        featureSubsetStrategy=p.feature_subset, minInstancesPerNode=p.min_instances_per_node,
-                        seed=p.seed, maxBins=bins)
-    return Pipeline(stages=[idx, vec, gbt])
+    def scores(self) -> DataFrame:
+        return written(self.table.scores(self.models), "scores")
 
 
-def fit_boosted(data: DataFrame, p: BoostParams) -> PipelineModel:
-    """M5: fit on the rows that are not ``is_val``; the best round by the
-    validation loss, found with ``p.patience``.
+def fit_together(features: DataFrame, p: BoostParams = BoostParams(), folds: bool = True, final: bool = True) -> Run:
+    """One model per walk-forward fold and the 90/10 final fit, trained in the same passes.
 
-    Boosting with one seed repeats its first rounds exactly, so a fit of too
-    few rounds is doubled, and the chosen number of rounds is fitted anew."""
-    train, val = data.where(~F.col("is_val")), data.where("is_val")
-    sizes = train.agg(*[F.count_distinct(f"{c}_s").alias(c) for c in CATEGORICAL]).first()
-    bins = max([p.max_bins, *(n + 1 for n in sizes)])    # one more for values seen later
-    rounds = min(p.max_iter, 2 * p.patience)
-    while True:
-        model = build_pipeline(p, rounds, bins).fit(train)
-        prepared = PipelineModel(model.stages[:-1]).transform(known_categories(val, model))
-        losses = model.stages[-1].evaluateEachIteration(prepared)
-        best = losses.index(min(losses)) + 1
-        if best + p.patience <= rounds or rounds == p.max_iter:
-            return model if best == rounds else build_pipeline(p, best, bins).fit(train)
-        rounds = min(p.max_iter, 2 * rounds)
+    Bin borders come from the first fold's training rows, on which all of them train, so that no model
+    sees its validation rows; trained apart they get the same bins, bags and trees."""
+    cuts = [(end, stop) for _, end, stop in FOLD_BOUNDARIES]
+    roles = split_roles(labelled(features, LABEL), [*cuts, (HOLDOUT_FRACTION, None)])
+    data = written(model_frame(roles), "training")
+    bins = fit_bins(data, NUMERIC_FEATURES, CATEGORICAL, "roles[0] = 1", p.max_bins)
+    first, last = (0 if folds else len(cuts)), (len(cuts) + 1 if final else len(cuts))
+    chosen = data.withColumn("roles", F.slice("roles", first + 1, last - first))
+    table = binned(chosen, bins, "roles", last - first, "xxhash64(symbol, date)", "label")
+    return Run(data, bins, table, fit_boosted(table, bins, p))
 
 
-def prob_up(pred: DataFrame) -> DataFrame:
-    return pred.withColumn("prob_up", vector_to_array("probability")[1])
+def _cv(scores: DataFrame) -> dict[str, DataFrame]:
+    folds = scores.where(F.col("model") < len(FOLD_BOUNDARIES)).withColumn("fold", F.col("model") + 1)
+    per_fold = classification_metrics(folds, "label", "prob_up", by=["fold"])
+    return {"folds": per_fold, "cv": cv_average(per_fold)}
 
 
 def cross_validate(features: DataFrame, p: BoostParams = BoostParams()) -> dict[str, DataFrame]:
-    """One fit per walk-forward fold (train rows fit, val rows stop
-    early and are scored), metrics per fold and their mean (G8)."""
-    lab = labelled(features, LABEL)
-    folds = model_frame(walk_forward_folds(lab)).withColumn("is_val", F.col("split") == "val")
-    folds = written(folds, "folds")
-    scored = []
-    for fold in range(1, len(FOLD_BOUNDARIES) + 1):
-        part = folds.where(F.col("fold") == fold)
-        model = fit_boosted(part, p)
-        scored.append(prob_up(model.transform(known_categories(part.where("is_val"), model))).select("fold", "label", "prob_up"))
-    allv = scored[0]
-    for s in scored[1:]:
-        allv = allv.unionByName(s)
-    per_fold = classification_metrics(written(allv, "scores"), "label", "prob_up", by=["fold"])
-    return {"folds": per_fold, "cv": cv_average(per_fold)}
+    """Metrics per walk-forward fold (train rows fit, val rows stop early and are scored) and their mean."""
+    return _cv(fit_together(features, p, final=False).scores())
+
+
+def _final(run: Run, scores: DataFrame) -> dict:
+    spark, fitted = run.data.sparkSession, Fitted(run.bins, run.models[-1])
+    counts = fitted.model.split_counts(len(run.bins.names))
+    importance = spark.createDataFrame([(n, float(c)) for n, c in zip(run.bins.names, counts)], "feature string, importance double")
+    metrics = classification_metrics(scores.where(F.col("model") == len(run.models) - 1), "label", "prob_up")
+    data = run.data.withColumn("is_val", F.col("roles")[len(FOLD_BOUNDARIES)] == VAL)
+    return {"model": fitted, "metrics": metrics, "importance": importance, "top": top_k(importance, "importance", 10, "feature"), "data": data}
 
 
 def train_final(features: DataFrame, p: BoostParams = BoostParams()) -> dict:
-    """M4 + M5 + M12: 90/10 chronological fit, validation metrics, the
-    importance of every feature and the top 10 of them (R4)."""
-    lab = labelled(features, LABEL)
-    data = model_frame(holdout_split(lab)).withColumn("is_val", F.col("split") == "val")
-    data = written(data, "training")
-    model = fit_boosted(data, p)
-    val = prob_up(model.transform(known_categories(data.where("is_val"), model)))
-    metrics = classification_metrics(val, "label", "prob_up")
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    names = NUMERIC_FEATURES + CATEGORICAL
-    spark = features.sparkSession
-    importance = spark.createDataFrame(list(zip(names, [float(x) for x in imp])), "feature string, importance double")
-    return {"model": model, "metrics": metrics, "importance": importance,
-            "top": top_k(importance, "importance", 10, "feature"), "data": data}
-
-
-def score_latest(features: DataFrame, model: PipelineModel, run_id: str, dag_run_id: str,
+    """M4 + M5 + M12: 90/10 chronological fit, validation metrics, how many splits use each feature and the
+    top 10 of them (R4)."""
+    run = fit_together(features, p, folds=False)
+    return _final(run, run.scores())
+
+
+def score_latest(features: DataFrame, model: Fitted, run_id: str, dag_run_id: str,
                  created_at=None) -> DataFrame:
     """R1 + M14 + M15: newest row per symbol, prob_up, direction at 0.5,
     next-weekday prediction date; rows in the prediction-table layout."""
     latest = latest_per_symbol(features)
-    scored = prob_up(model.transform(known_categories(model_frame(latest), model)))
+    scored = predicted(model_frame(latest), model.bins, model.model, ["symbol", "date"])
     out = decide(scored.withColumnRenamed("date", "feature_date"), "prob_up", "feature_date")
     ts = F.lit(created_at).cast("timestamp_ntz") if created_at else F.localtimestamp()
     return out.select("symbol", "feature_date", "prediction_date", "predicted_direction", "prob_up", "prob_down",
@@ -156,18 +117,34 @@ def score_latest(features: DataFrame, model: PipelineModel, run_id: str, dag_run
                       ts.alias("created_at"))
 
 
-def save_model(model: PipelineModel, base: str, run_id: str) -> str:
-    """One folder per run id below a shared folder."""
+def save_model(spark: SparkSession, fitted: Fitted, base: str, run_id: str) -> str:
+    """One folder per run id below a shared folder, with a table of nodes and one of bins."""
     path = f"{base.rstrip('/')}/{run_id}"
-    model.write().overwrite().save(path)
+    m, b = fitted.model, fitted.bins
+    nodes = [(k, i, int(t.feature[i]), int(t.left[i]), int(t.right[i]), float(t.value[i]), t.goes_left[i].tolist(), t.depth)
+             for k, t in enumerate(m.trees[: m.best]) for i in range(len(t.left))]
+    spark.createDataFrame(nodes, "tree int, node int, feature int, left int, right int, value double, goes_left array<boolean>, depth int") \
+        .write.mode("overwrite").parquet(f"{path}/nodes")
+    rows = [(i, n, m.base, [float(x) for x in e], None) for i, (n, e) in enumerate(b.numeric.items())]
+    rows += [(len(rows) + i, n, m.base, None, c) for i, (n, c) in enumerate(b.categories.items())]
+    spark.createDataFrame(rows, "position int, feature string, base double, borders array<double>, categories array<string>") \
+        .write.mode("overwrite").parquet(f"{path}/bins")
     return path
 
 
-def load_model(base: str, run_id: str) -> PipelineModel:
-    return PipelineModel.load(f"{base.rstrip('/')}/{run_id}")
+def load_model(spark: SparkSession, base: str, run_id: str) -> Fitted:
+    path = f"{base.rstrip('/')}/{run_id}"
+    bins = spark.read.parquet(f"{path}/bins").orderBy("position").collect()
+    trees: dict[int, list] = {}
+    for r in spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").collect():      # rounds x leaves, a bound of the parameters
+        trees.setdefault(r.tree, []).append(r)
+    made = [Tree(*(np.array([r[c] for r in t], d) for c, d in (("feature", np.int32), ("left", np.int32), ("right", np.int32), ("value", float),
+                                                               ("goes_left", bool))), t[0].depth) for _, t in sorted(trees.items())]
+    return Fitted(Bins({r.feature: r.borders for r in bins if r.borders is not None}, {r.feature: r.categories for r in bins if r.categories is not None}),
+                  Model(bins[0].base, made))
 
 
-def run_row(spark, run_id: str, dag_run_id: str, data: DataFrame, cv: DataFrame | None,
+def run_row(run_id: str, dag_run_id: str, data: DataFrame, cv: DataFrame | None,
             val: DataFrame, created_at=None) -> DataFrame:
     """One model-run row (date ranges, counts, metrics) built from
     aggregates only."""
@@ -201,8 +178,10 @@ def train_and_predict(features: DataFrame, p: BoostParams = BoostParams(), dag_r
     times: pass a stored table."""
     run_id = run_id or new_run_id()
     require_rows(training_stats(features, LABEL), MIN_TRAIN_ROWS)
-    scores = cross_validate(features, p)["cv"] if cv else None
-    fit = train_final(features, p)
-    fit["run"] = run_row(features.sparkSession, run_id, dag_run_id, fit["data"], scores, fit["metrics"], created_at)
+    trained = fit_together(features, p, folds=cv)
+    scores = trained.scores()
+    fit = _final(trained, scores)
+    fit["cv"] = _cv(scores) if cv else None
+    fit["run"] = run_row(run_id, dag_run_id, fit["data"], fit["cv"]["cv"] if cv else None, fit["metrics"], created_at)
     pred = score_latest(features, fit["model"], run_id, dag_run_id, created_at)
     return {**fit, "predictions": pred, "run_id": run_id}

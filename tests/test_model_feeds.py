@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from barwise import catalog
@@ -29,8 +30,8 @@ def test_train_cv_save_load_score(spark):
     assert all(abs(r.prob_up + r.prob_down - 1) < 1e-12 and r.predicted_direction == (r.prob_up >= 0.5)
                for r in pred)
     root = tempfile.mkdtemp(prefix="barwise-model-")
-    MD.save_model(out["model"], root, "t-run")
-    again = MD.score_latest(feats, MD.load_model(root, "t-run"), "t-run", "run-1", "2025-01-05 00:00:00")
+    MD.save_model(spark, out["model"], root, "t-run")
+    again = MD.score_latest(feats, MD.load_model(spark, root, "t-run"), "t-run", "run-1", "2025-01-05 00:00:00")
     a = {r.symbol: r.prob_up for r in pred}
     b = {r.symbol: r.prob_up for r in again.collect()}
     assert a == b
@@ -110,9 +111,11 @@ def test_boosting_finds_a_planted_signal_among_200_industries(spark):
     p = MD.BoostParams(max_iter=24, patience=12, max_depth=3, step_size=0.05)
     fit = MD.train_final(df, p)
     assert fit["metrics"].first().auc > 0.85
-    assert fit["model"].stages[-1].getNumTrees > 6 and fit["top"].first().feature == "rsi_14"
+    assert fit["model"].model.best > 6 and fit["top"].first().feature == "rsi_14"
     again = MD.train_final(df, p)["metrics"].first()
     assert again == fit["metrics"].first()
     new = df.limit(1).withColumn("industry", F.lit("never seen")).withColumn("sector", F.lit(None).cast("string"))
-    assert MD.known_categories(MD.model_frame(new), fit["model"]).first().industry_s == "Unknown"
     assert MD.score_latest(new, fit["model"], "r", "d").count() == 1
+    codes = fit["model"].bins.codes(pa.RecordBatch.from_pylist([r.asDict() for r in MD.model_frame(new).collect()],
+                                                               schema=pa.schema([(n, pa.float64()) for n in MD.NUMERIC_FEATURES] + [(c, pa.string()) for c in MD.CATEGORICAL])))
+    assert codes[0, -2:].tolist() == [7, 200]                 # neither was in training, nor was 'Unknown': the missing bin

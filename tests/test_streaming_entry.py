@@ -39,4 +39,4 @@ def test_entry_and_contract(spark):
     assert df.columns[:2] == ["symbol", "date"]
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert {k for k in qs if k not in sql and k != "pipeline" and not k.startswith("op")} == {"gbt_predictions", "gbt_feature_importance"}
+    assert {k for k in qs if k not in sql and k != "pipeline" and not k.startswith("op")} == {"gbt_predictions", "gbt_feature_importance", "gbt_folds", "model_run"}
