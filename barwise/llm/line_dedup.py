@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwise.llm.setjoin import Join, Sets, checked_broadcast
-from barwise.session import written
+from barwise.session import scratch, written
 
 
 def _later(join: Join) -> DataFrame:
@@ -44,12 +44,14 @@ def _later(join: Join) -> DataFrame:
 def removed_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """doc_id, text_key and the removed line numbers (from 0, ascending) of the
     documents that lose lines; ``text_key`` is ``xxhash64(text)``."""
-    join = Join(docs, Sets(k, percent, lines=True, bits=256))
-    named = join.nodes.select("fp", "class", "first").join(_later(join).withColumn("later", F.lit(True)), "class", "left")
-    lines = join.records.select("doc_id", "text_key", "unit", "fp").join(named.drop("class"), "fp")
-    own = F.struct("doc_id", "text_key", "unit").eqNullSafe(F.col("first"))
-    return (lines.where(F.col("later").isNotNull() | ~own).groupBy("doc_id", "text_key")
-            .agg(F.array_sort(F.collect_set("unit")).alias("removed")))
+    with scratch(docs.sparkSession) as keep:
+        join = Join(docs, Sets(k, percent, lines=True, bits=256))
+        named = join.nodes.select("fp", "class", "first").join(_later(join).withColumn("later", F.lit(True)), "class", "left")
+        lines = join.records.select("doc_id", "text_key", "unit", "fp").join(named.drop("class"), "fp")
+        own = F.struct("doc_id", "text_key", "unit").eqNullSafe(F.col("first"))
+        rows = (lines.where(F.col("later").isNotNull() | ~own).groupBy("doc_id", "text_key")
+                .agg(F.array_sort(F.collect_set("unit")).alias("removed")))
+        return keep(written(rows, "removed"))
 
 
 def line_report(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
@@ -70,7 +72,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     A document that loses its every non-blank line goes.  ``n_chars``, where
     there is such a column, follows the text.
     """
-    gone = written(removed_lines(docs, percent, k), "removed")
+    gone = removed_lines(docs, percent, k)
     held = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()
     gone = checked_broadcast(gone, max(held[0], held[1] // 4)).withColumnsRenamed({"doc_id": "__llm_gone_id", "text_key": "__llm_gone_key", "removed": "__llm_gone_lines"})
     rows = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__llm_gone_id")) & (F.xxhash64("text") == F.col("__llm_gone_key")), "left")

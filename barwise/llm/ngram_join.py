@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from barwise.llm.components import components
 from barwise.llm.setjoin import Join, Sets, checked_broadcast
-from barwise.session import written
+from barwise.session import scratch, written
 
 
 def links(join: Join) -> DataFrame:
@@ -52,16 +52,18 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable by links, its own
     included.  ``text_key`` is ``xxhash64(text)``.
     """
-    join = Join(docs, Sets(k, percent))
-    groups = links(join)
-    linked = join.members.select("class", "node").join(groups, "node").select("class", "component")
-    named = join.nodes.select("fp", "class", "least_id").join(linked, "class", "left")
-    # the numbers of unlinked classes are their own; linked ones take a number below zero
-    named = named.withColumn("g", F.coalesce(-1 - F.col("component"), F.col("class")))
-    least = named.groupBy("g").agg(F.min("least_id").alias("component_id"))
-    of_set = named.select("fp", "g").join(least, "g").select("fp", "component_id")
-    return (join.records.select("doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), "fp").join(of_set, "fp", "left")
-            .select("doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    with scratch(docs.sparkSession) as keep:
+        join = Join(docs, Sets(k, percent))
+        groups = links(join)
+        linked = join.members.select("class", "node").join(groups, "node").select("class", "component")
+        named = join.nodes.select("fp", "class", "least_id").join(linked, "class", "left")
+        # the numbers of unlinked classes are their own; linked ones take a number below zero
+        named = named.withColumn("g", F.coalesce(-1 - F.col("component"), F.col("class")))
+        least = named.groupBy("g").agg(F.min("least_id").alias("component_id"))
+        of_set = named.select("fp", "g").join(least, "g").select("fp", "component_id")
+        rows = (join.records.select("doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), "fp").join(of_set, "fp", "left")
+                .select("doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+        return keep(written(rows, "groups"))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -70,7 +72,7 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     A row without a doc_id cannot be named as a member and stays.  Of rows
     that repeat the smallest doc_id one stays.
     """
-    groups = written(near_groups(docs, k, percent), "groups")
+    groups = near_groups(docs, k, percent)
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__llm_gone_id"), F.col("text_key").alias("__llm_gone_key")).distinct()
     kept = docs.join(checked_broadcast(gone, gone.count()), (F.col("doc_id") == F.col("__llm_gone_id")) & (F.xxhash64("text") == F.col("__llm_gone_key")), "left_anti")
     twice = groups.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__llm_twice_id"))

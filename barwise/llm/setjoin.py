@@ -3,15 +3,17 @@
 A *unit* is a document or a line; its set is its distinct k-word shingles.
 Two sets a, b match when ``100 * |a & b| >= percent * |a | b|``.
 
-1. Rarity: all shingles of the corpus are counted in ``2**SKETCH_BITS``
-   counters.  A shingle's token is its rarity class (8 bits, from its
-   counter's excess over the mean in standard deviations) followed by 56 bits
-   of its hash, so tokens sort rare first.
-2. Units with equal sets form a class; everything after handles classes.
+1. Units with equal sets form a class; everything after handles classes.
+2. Order of the tokens, one for all sets.  A share of all shingles, chosen by
+   hash and somewhat larger than a prefix's share of a set, comes first, ordered
+   by the exact number of classes that have them.  The others follow by rarity class (from
+   ``2**SKETCH_BITS`` counters over all shingles) and hash.
 3. Two matching sets share a token among the first ``n - ceil(t * n) + 1`` of
-   each.  Those prefix tokens are the index; rows whose token no other class
-   has are dropped in the one shuffle of the index (tokens that the counters
-   show as very frequent skip that shuffle, as they have company anyway).
+   each.  The chosen shingles' counts come out of the one shuffle of the index; a
+   set whose prefix is full of shingles that no other class has can match nothing
+   and leaves, so what goes on grows with the near copies, not with the chance
+   meetings of shingles.  Tokens that the counters show as very frequent skip that
+   shuffle and come last.
 4. Candidates come from joining index rows on the token under the length and
    the positional bound; of a class's earlier tokens only those count that some
    other class has.  In each token's group all rows first meet one pivot
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from barwise.llm import textblocks as tb
 from barwise.llm.counts import summed
-from barwise.session import written
+from barwise.session import forget, written
 
 SKETCH_BITS = 18
 #: Rows of one token beyond which it is not sent through the grouping shuffle.
@@ -44,7 +46,9 @@ HOT_ROWS = 200_000
 #: Rows of a lookup table up to which it is broadcast (about 30 MB).
 BROADCAST_ROWS = 300_000
 LOW56 = np.uint64((1 << 56) - 1)
-RECORD = "doc_id long, text_key long, unit int, n int, fp binary, prefix array<long>, bits array<long>"
+#: Chosen shingles, as a multiple of a prefix's share of a set.
+CHOSEN = 1.6
+RECORD = "doc_id long, text_key long, unit int, n int, fp binary, chosen array<long>, others array<long>, bits array<long>"
 
 
 @dataclass(frozen=True)
@@ -58,6 +62,10 @@ class Sets:
     lines: bool = False
     bits: int = 512
 
+    def is_chosen(self, token: np.ndarray) -> np.ndarray:
+        """Whether a token's exact count orders it; a share of all shingles, by hash."""
+        return (token & np.uint64(0xFFFF)) < np.uint64(min(1 << 16, int(CHOSEN * (100 - self.percent) / 100 * (1 << 16))))
+
     def units(self, data: np.ndarray, starts: np.ndarray):
         """(number of units, row and number of each, shingles' units and hashes)."""
         if self.lines:
@@ -100,10 +108,10 @@ def _tokens(sets: Sets, classes: np.ndarray, data: np.ndarray, starts: np.ndarra
 
 
 def records(docs: DataFrame, sets: Sets, classes: np.ndarray) -> DataFrame:
-    """One row per unit: its set's size, fingerprint, prefix tokens and bitmap.
+    """One row per unit: its set's size, fingerprint, chosen tokens, as many others as its prefix lacks, and bitmap.
 
     Units without a set are left out for lines, and have n = 0 and no
-    fingerprint for whole texts.  A task gives prefix and bitmap of equal sets
+    fingerprint for whole texts.  A task gives tokens and bitmap of equal sets
     once (again after it has seen many), the others have null there.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,9 +130,15 @@ def records(docs: DataFrame, sets: Sets, classes: np.ndarray) -> DataFrame:
                         new[i] = True
                 if len(seen) > 200_000:
                     seen.clear()
-                size = np.where(new, n + (-n * sets.percent // 100) + 1, 0)
-                head = (np.arange(len(token)) - first[unit]) < size[unit]
-                ends = np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32)
+                mine = sets.is_chosen(token) & new[unit]
+                held = np.bincount(unit[mine], minlength=len(n))
+                before = np.cumsum(~mine) - ~mine
+                lacks = np.maximum(n + (-n * sets.percent // 100) + 1 - held, 0)
+                others = ~mine & new[unit] & (before - before[np.minimum(first, max(len(token) - 1, 0))][unit] < lacks[unit]) if len(token) else mine
+                lists = []
+                for part in (mine, others):
+                    ends = np.concatenate([[0], np.cumsum(np.bincount(unit[part], minlength=len(n))[keep])]).astype(np.int32)
+                    lists.append((pa.array(ends), pa.array(token[part].view(np.int64))))
                 null = pa.array(~new[keep])
                 flags = np.zeros((len(n), sets.bits), bool)
                 flags[unit, ((token >> np.uint64(3)) & np.uint64(sets.bits - 1)).astype(np.int64)] = True
@@ -133,8 +147,8 @@ def records(docs: DataFrame, sets: Sets, classes: np.ndarray) -> DataFrame:
                 at = pa.array(a + row[keep])
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(at), keys.take(at), pa.array(number[keep].astype(np.int32)), pa.array(n[keep].astype(np.int32)),
-                     pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(token[head].view(np.int64)), mask=null), bits],
-                    ["doc_id", "text_key", "unit", "n", "fp", "prefix", "bits"])
+                     pa.array(names, pa.binary()), *(pa.ListArray.from_arrays(ends, values, mask=null) for ends, values in lists), bits],
+                    ["doc_id", "text_key", "unit", "n", "fp", "chosen", "others", "bits"])
 
     return docs.mapInArrow(rows, RECORD)
 
@@ -159,32 +173,42 @@ class Join:
     def __init__(self, docs: DataFrame, sets: Sets):
         self.docs, self.sets = keyed(docs), sets
         self.classes, hot = rarity(docs, sets)
-        self.records = written(records(self.docs, sets, self.classes), "sets")
+        made = written(records(self.docs, sets, self.classes), "sets")
         self.nodes = written(
-            self.records.where("n > 0").groupBy("fp")
+            made.where("n > 0").groupBy("fp")
             .agg(F.min(F.struct("doc_id", "text_key", "unit")).alias("first"), F.min("doc_id").alias("least_id"),
-                 F.max("n").alias("n"), F.max("prefix").alias("prefix"), F.max("bits").alias("bits"))
+                 F.max("n").alias("n"), F.max("chosen").alias("chosen"), F.max("others").alias("others"), F.max("bits").alias("bits"))
             .withColumn("class", F.monotonically_increasing_id()), "classes")
+        self.records = written(made.select("doc_id", "text_key", "unit", "n", "fp"), "units")
+        forget(made)
         live = written(self._live(hot), "index")
         names = live.select("class").distinct().join(self.nodes.select("class", "fp", "first", "bits"), "class")
         self.members = written(names.repartitionByRange("first").sortWithinPartitions("first")
                                .withColumn("node", F.monotonically_increasing_id()), "members")
-        # of the tokens that come before an index row, only the class's other index rows can be shared
-        before = Window.partitionBy("class").orderBy("pos")
-        live = live.withColumn("shared", F.row_number().over(before) - 1).join(self.members.select("class", "node", "bits"), "class")
-        self.live = written(live.drop("class"), "index")
+        self.live = written(live.join(self.members.select("class", "node", "bits"), "class").drop("class"), "index")
+        forget(live)
         self.whole = None  # node and all tokens, of the members met so far
 
     def _live(self, hot: int) -> DataFrame:
-        """Index rows (token, class, n, pos) of the tokens that several classes have."""
-        index = self.nodes.select("class", "n", F.posexplode("prefix").alias("pos", "token"))
-        frequent = F.shiftrightunsigned("token", 56) >= hot
-        by_token = Window.partitionBy("token").orderBy("class")
-        columns = ["token", "class", "n", "pos"]
-        rest = index.where(~frequent) if (self.classes >= hot).any() else index
-        rows = (rest.withColumn("before", F.lag("class").over(by_token)).withColumn("after", F.lead("class").over(by_token))
-                .where("before is not null or after is not null").select(columns))
-        return rows.union(index.where(frequent).select(columns)) if (self.classes >= hot).any() else rows
+        """Index rows (token, class, n, pos, shared) of the tokens in prefixes that several classes have.
+
+        ``pos`` is the token's place in the order of its set; of the tokens before it, ``shared`` are held by other classes."""
+        p = self.sets.percent
+        sizes = ["class", "n", F.size("chosen").alias("held"), F.expr(f"n - ({p}L * n + 99) div 100 + 1").alias("prefix")]
+        index = (self.nodes.select(*sizes, F.explode("chosen").alias("token"), F.lit(-1).alias("place"))
+                 .union(self.nodes.select(*sizes, F.posexplode("others").alias("place", "token")).select("class", "n", "held", "prefix", "token", "place")))
+        by_token, frequent = Window.partitionBy("token"), F.shiftrightunsigned("token", 56) >= hot
+        rows = index.withColumn("classes", F.lit(1 << 40))
+        if (self.classes >= hot).any():
+            rows = rows.where(frequent).union(index.where(~frequent).withColumn("classes", F.count("*").over(by_token)))
+        else:
+            rows = index.withColumn("classes", F.count("*").over(by_token))
+        by_class = Window.partitionBy("class")
+        rows = (rows.where("classes > 1")
+                .withColumn("shared", F.row_number().over(by_class.orderBy(F.col("place") >= 0, F.when(F.col("place") < 0, F.col("classes")), "place", "token")) - 1)
+                .withColumn("alone", F.col("held") - F.count(F.when(F.col("place") < 0, 1)).over(by_class)))
+        pos = F.when(F.col("place") < 0, F.col("alone") + F.col("shared")).otherwise(F.col("held") + F.col("place"))
+        return rows.withColumn("pos", pos.cast("int")).where("pos < prefix").select("token", "class", "n", "pos", "shared")
 
     def need(self, na: str, nb: str) -> Column:
         """Least overlap of two matching sets of these sizes."""
