@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from barwise import sql_twins as T
 from barwise import sql_twins_ops as TO
 from barwise.operators import modelprep as MP
+from barwise.operators import snapshots as SN
 from barwise.operators import summaries as S
 from barwise.operators import universe as U
 from barwise.operators.upsert import upsert_stats
@@ -300,3 +301,73 @@ def event_ingest(spark, d, kind):
 for _kind in ("dividend", "split", "fundamental"):
     register(f"ingest_{_kind}s", TO.event_ingest_sql(_kind))(
         lambda spark, d, _k=_kind: event_ingest(spark, d, _k))
+
+
+# ---- rarer branches: P2, P3, P6, P7, F9, F16, F20, R3 ------------------------------------------------
+def _messy(spark, d, bars):
+    t = fixture_inputs(spark, d)
+    return FE.build_features(bars, t["fundamentals"], t["dividends"], t["splits"], U.equity_universe(t["registry"]))
+
+
+register("features_messy", TO.BRANCH_SQL["features_messy"])(
+    lambda spark, d: FE.round_features(_messy(spark, d, FX.messy_bars(spark, d))))
+register("quarantine_log", TO.BRANCH_SQL["quarantine_log"])(
+    lambda spark, d: JB.feature_log(FE.to_feature_schema(_messy(spark, d, FX.spiked_bars(spark, d)), computed_at=None), "run-1", FX.RUN_TS))
+register("marked_equities", TO.BRANCH_SQL["marked_equities"])(lambda spark, d: U.equity_universe(FX.marked_registry(spark, d)))
+register("marked_indices", TO.BRANCH_SQL["marked_indices"])(lambda spark, d: U.index_universe(FX.marked_registry(spark, d)))
+
+
+def _enriched(spark, d):
+    reg = FX.marked_registry(spark, d)
+    return RG.enrich(reg, U.enrichment_backlog(reg), FX.vendor_metadata(spark, d), FX.RUN_TS)
+
+
+register("registry_enriched", TO.BRANCH_SQL["registry_enriched"])(_enriched)
+register("backlog_newest", TO.BRANCH_SQL["backlog_newest"])(
+    lambda spark, d: U.enrichment_backlog(FX.marked_registry(spark, d), 5).select("symbol", "listing_date"))
+
+
+# ---- writing jobs into versioned tables: U5, U6, C6 --------------------------------------------------
+_OLD = "2000-01-01 00:00:00"
+
+
+def _stamp(ts: str):
+    return F.lit(ts).cast("timestamp_ntz")
+
+
+def features_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """A day's features over a stored table: matched rows are replaced and touched, the others stay."""
+    with scratch(spark):
+        ff = written(rounded_features(spark, d).select("symbol", "date", "sma_20", "rsi_14"), "features")
+        table, minus = scratch_path(spark, "stock-features"), F.lit(-1.0)
+        stored = ff.where(F.col("date") < F.lit("1999-01-01").cast("date")).select(
+            "symbol", "date", minus.alias("sma_20"), minus.alias("rsi_14"), _stamp(_OLD).alias("computed_at"))
+        SN.replace(spark, table, stored, ["symbol", "date"], F.date_format("date", "yyyy-MM"))
+        batch = ff.where(F.col("symbol") != "Brand#13").withColumn("computed_at", _stamp(FX.RUN_TS))
+        SN.merge(spark, table, batch, ["symbol", "date"], ["sma_20", "rsi_14"], "date", touch={"computed_at": _stamp(FX.RUN_TS)})
+    return SN.read(spark, table)
+
+
+def _scored_before(spark, d):
+    """The predictions and documents of an earlier run, for the symbols with dividends."""
+    return baseline_predictions(spark, d, "stoch_d").join(FX.dividends(spark, d).select("symbol").distinct(), "symbol", "left_semi")
+
+
+def predictions_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Rescored rows take the new values and keep the time of their first insert."""
+    table = scratch_path(spark, "stock-predictions")
+    JB.run_prediction_job(spark, _scored_before(spark, d).withColumn("created_at", _stamp(_OLD)), table, "run-0")
+    now = JB.run_prediction_job(spark, baseline_predictions(spark, d), table, "run-1")["predictions"]
+    return _r6(now, ["prob_up", "prob_down"])
+
+
+def documents_synced(spark: SparkSession, d: str) -> DataFrame:
+    """The serving table after a second sync."""
+    table = scratch_path(spark, "documents")
+    JB.run_sync_job(spark, JB.prediction_documents(_scored_before(spark, d)), table)
+    return JB.run_sync_job(spark, JB.prediction_documents(baseline_predictions(spark, d)), table)["documents"]
+
+
+register("features_upsert", TO.BRANCH_SQL["features_upsert"])(features_upsert)
+register("predictions_upsert", TO.BRANCH_SQL["predictions_upsert"])(predictions_upsert)
+register("documents_synced", TO.BRANCH_SQL["documents_synced"])(documents_synced)

@@ -16,7 +16,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -291,3 +291,35 @@ def stored_events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     t = {"dividends": dividends, "splits": splits, "fundamentals": fundamentals}[name](spark, sf_dir)
     return (t.where(F.col(date_col) < F.lit(SNAPSHOT_CUT).cast("date"))
              .withColumn("ingested_at", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")))
+
+
+# ---- rows that reach the rarer branches (their SQL is in sql_twins_ops) ------------------------
+def messy_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars without open (the 13th) or close (the 14th), infinite highs and lows (the 27th), and 59 bars of Brand#11."""
+    day, infinite = F.dayofmonth("date"), F.lit(float("inf"))
+    number = F.row_number().over(Window.partitionBy("symbol").orderBy("date"))
+    b = price_history(spark, sf_dir).withColumn("k", number).where((F.col("symbol") != "Brand#11") | (F.col("k") <= 59))
+    return b.select("symbol", "date", F.when(day != 13, F.col("open")).alias("open"),
+                    F.when(day == 27, infinite).otherwise(F.col("high")).alias("high"),
+                    F.when(day == 27, -infinite).otherwise(F.col("low")).alias("low"),
+                    F.when(day != 14, F.col("close")).alias("close"), "volume")
+
+
+def spiked_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of which Brand#21's returns overflow their column."""
+    spike = (F.col("symbol") == "Brand#21") & (F.dayofmonth("date") == 15)
+    return price_history(spark, sf_dir).withColumn("close", F.when(spike, F.col("close") * 1e6).otherwise(F.col("close")))
+
+
+def marked_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored registry with indices, blank tickers, marks, and known sectors that new metadata lacks."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    symbol = F.concat(F.lit("S"), key.cast("string"))
+    return read_table(spark, sf_dir, "supplier").select(
+        symbol.alias("symbol"), F.when(nation % 4 == 0, "index").otherwise("equity").alias("symbol_type"),
+        F.when(key % 7 == 0, "  ").when(key % 7 != 1, F.concat(symbol, F.lit(".NS"))).alias("yf_symbol"),
+        F.when(nation == 5, "BE").otherwise("EQ").alias("series"), F.when(key % 2 == 0, "Old sector").alias("sector"),
+        F.when(key % 3 == 0, "Old industry").alias("industry"), F.when(key % 5 == 0, "Old name").alias("name"),
+        F.when(key % 11 != 0, F.date_add(F.lit("1990-01-01").cast("date"), (key % 40).cast("int"))).alias("listing_date"),
+        (nation != 1).alias("is_active"), (nation % 3 != 0).alias("highlight"),
+        F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("last_updated"))

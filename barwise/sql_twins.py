@@ -31,7 +31,7 @@ def _ewm_step(y: str, w: str, x: str, a: float) -> tuple[str, str]:
 
 def _ewm_cte(name: str, src: str, specs: list[tuple[str, str, float]]) -> str:
     """Recursive CTE ``name``(symbol, rn, <y>...) over ``src``(symbol, rn, <x>...)."""
-    init = ", ".join(f"{x} as {y}, 1.0 as {y}_w" for y, x, _ in specs)
+    init = ", ".join(f"{x} as {y}, cast(1 as double) as {y}_w" for y, x, _ in specs)
     steps = []
     for y, x, a in specs:
         ny, nw = _ewm_step(y, f"{y}_w", f"s.{x}", a)
@@ -41,15 +41,17 @@ def _ewm_cte(name: str, src: str, specs: list[tuple[str, str, float]]) -> str:
             f"from {name} r join {src} s on s.symbol = r.symbol and s.rn = r.rn + 1)")
 
 
-def features_body(min_rows: int = 60, symbol_col: str = "p_brand") -> str:
+def features_body(min_rows: int = 60, symbol_col: str = "p_brand", bars: str | None = None) -> str:
     """WITH-prefix ending in ``full_features`` (unrounded doubles).  With
     ``symbol_col='l_suppkey'`` bars are per supplier and every symbol is used
-    (no registry universe; events and registry match nothing)."""
+    (no registry universe; events and registry match nothing).  ``bars`` is other SQL for the bars."""
     a12, a26, a14, a9 = 2 / 13, 2 / 27, 1 / 14, 2 / 10
     ctes = fixture_cte(*ALL_FIXTURES)
     if symbol_col != "p_brand":
         ph = FIXTURE_SQL["price_history"].replace("p_brand", f"cast({symbol_col} as varchar)")
         ctes = ctes.replace(FIXTURE_SQL["price_history"], ph)
+    if bars:
+        ctes = ctes.replace(FIXTURE_SQL["price_history"], bars)
     body = f""",
 universe as (
   select yf_symbol, sector, industry from symbol_registry
@@ -174,7 +176,7 @@ def features_cte(min_rows: int = 60) -> str:
     return (features_body(min_rows) + f",\nff as (select {_rounded_select(FEATURE_COLS)} from full_features)\n")
 
 
-def features_sql(cols: list[str] | None = None, min_rows: int = 60, symbol_col: str = "p_brand") -> str:
+def features_sql(cols: list[str] | None = None, min_rows: int = 60, symbol_col: str = "p_brand", bars: str | None = None) -> str:
     """The whole feature build over the fixture tables, rounded."""
-    return (features_body(min_rows, symbol_col)
+    return (features_body(min_rows, symbol_col, bars)
             + f"select {_rounded_select(cols or FEATURE_COLS)} from full_features")

@@ -8,6 +8,7 @@ from barwise.plans.registry import (BROAD_INDICES, EQUITY_UPDATE, INDEX_UPDATE,
                                     THEMATIC_INDICES)
 from barwise.schemas import REGISTRY
 from barwise.sources.fixtures import AS_OF, FIXTURE_SQL, RUN_TS
+from barwise.sql_twins import features_body, features_cte, features_sql
 
 _DUCK_T = {"string": "varchar", "double": "double", "int": "integer", "bigint": "bigint", "date": "date",
            "timestamp_ntz": "timestamp",
@@ -195,7 +196,6 @@ from log_rows where dag_run_id = 'run-1' group by data_type, status""",
 
 # ---- model preparation, predictions, documents ----------------------------------------
 def _model_ctes() -> str:
-    from barwise.sql_twins import features_cte
     folds = ", ".join(f"({i + 1}, {te!r}, {ve!r})" for i, (_, te, ve) in enumerate(FOLD_BOUNDARIES))
     return features_cte() + f""",
 lab as (select * from ff where target_direction_1d is not null),
@@ -308,12 +308,11 @@ select symbol, date, close_lag_1, sma_20, rsi_14, daily_return from ff where dat
 }
 
 
-def feature_log_sql() -> str:
+def feature_log_sql(bars: str | None = None) -> str:
     from barwise.plans.features import DECIMALS
-    from barwise.sql_twins import features_body
     over = " or ".join(f"({c} is not null and try_cast({c} as decimal({p},{s})) is null)"
                        for c, (p, s) in DECIMALS.items())
-    return features_body() + f""",
+    return features_body(bars=bars) + f""",
 st as (select symbol, max(case when {over} then 1 else 0 end) as bad, count(*) as n from full_features group by symbol),
 log_rows as (select symbol, 'features' as data_type, case when bad = 1 then 'failed' else 'success' end as status,
                     cast(case when bad = 1 then 0 else n end as bigint) as rows_affected,
@@ -354,3 +353,62 @@ batch as (select * from ev where symbol in (select symbol from todo)),
 merged as ({upsert_sql('stored', 'batch', spec['keys'], cols + ['ingested_at'], cols, spec['update'],
                        {'ingested_at': f"timestamp '{RUN_TS}'"})})
 select * from merged"""
+
+
+# ---- rows that reach the rarer branches ---------------------------------------------------
+# bars without open or close, infinite highs and lows (missing), a symbol of 59 bars, one whose return overflows
+MESSY_BARS = f"""
+  select symbol, date, case when day(date) = 13 then null else open end as open,
+         case when day(date) = 27 then null else high end as high, case when day(date) = 27 then null else low end as low,
+         case when day(date) = 14 then null else close end as close, volume
+  from (select *, row_number() over (partition by symbol order by date) as k from ({FIXTURE_SQL['price_history']}) ph) numbered
+  where symbol <> 'Brand#11' or k <= 59"""
+SPIKED_BARS = f"""
+  select symbol, date, open, high, low, case when symbol = 'Brand#21' and day(date) = 15 then close * 1e6 else close end as close, volume
+  from ({FIXTURE_SQL['price_history']}) ph"""
+
+MARKED_REGISTRY = """
+  select 'S' || s_suppkey as symbol, case when s_nationkey % 4 = 0 then 'index' else 'equity' end as symbol_type,
+         case when s_suppkey % 7 = 0 then '  ' when s_suppkey % 7 = 1 then null else 'S' || s_suppkey || '.NS' end as yf_symbol,
+         case when s_nationkey = 5 then 'BE' else 'EQ' end as series,
+         case when s_suppkey % 2 = 0 then 'Old sector' end as sector,
+         case when s_suppkey % 3 = 0 then 'Old industry' end as industry,
+         case when s_suppkey % 5 = 0 then 'Old name' end as name,
+         case when s_suppkey % 11 <> 0 then date '1990-01-01' + cast(s_suppkey % 40 as integer) end as listing_date,
+         s_nationkey <> 1 as is_active, s_nationkey % 3 <> 0 as highlight, timestamp '2000-01-01 00:00:00' as last_updated
+  from supplier"""
+_MARKED = f"with reg as ({MARKED_REGISTRY}), meta as ({FIXTURE_SQL['vendor_metadata']})"
+_BACKLOG = "symbol_type = 'equity' and series = 'EQ' and (sector is null or industry is null)"
+
+BRANCH_SQL = {
+    "features_messy": features_sql(bars=MESSY_BARS),
+    "quarantine_log": feature_log_sql(SPIKED_BARS) + "select * from log_rows",
+    "marked_equities": _MARKED + """ select symbol, yf_symbol, sector, industry from reg
+where symbol_type = 'equity' and series = 'EQ' and is_active and highlight and yf_symbol is not null and trim(yf_symbol) <> ''""",
+    "marked_indices": _MARKED + """ select symbol, yf_symbol from reg
+where symbol_type = 'index' and is_active and highlight and yf_symbol is not null and trim(yf_symbol) <> ''""",
+    "registry_enriched": _MARKED + f""" select r.symbol, r.symbol_type, r.yf_symbol, r.series,
+  case when {_BACKLOG.replace("sector is", "r.sector is").replace("industry is", "r.industry is")} and m.symbol is not null then coalesce(m.sector, r.sector) else r.sector end as sector,
+  case when {_BACKLOG.replace("sector is", "r.sector is").replace("industry is", "r.industry is")} and m.symbol is not null then coalesce(m.industry, r.industry) else r.industry end as industry,
+  case when {_BACKLOG.replace("sector is", "r.sector is").replace("industry is", "r.industry is")} and m.symbol is not null then coalesce(m.name, r.name) else r.name end as name,
+  r.listing_date, r.is_active, r.highlight,
+  case when {_BACKLOG.replace("sector is", "r.sector is").replace("industry is", "r.industry is")} and m.symbol is not null then timestamp '{RUN_TS}' else r.last_updated end as last_updated
+from reg r left join meta m on m.symbol = r.symbol""",
+    "backlog_newest": _MARKED + f""" select symbol, listing_date from reg where {_BACKLOG}
+order by listing_date desc nulls last, symbol limit 5""",
+    "features_upsert": _model_ctes() + f""",
+stored as (select symbol, date, -1.0 as sma_20, -1.0 as rsi_14, timestamp '2000-01-01 00:00:00' as computed_at from ff where date < date '1999-01-01'),
+batch as (select symbol, date, sma_20, rsi_14, timestamp '{RUN_TS}' as computed_at from ff where symbol <> 'Brand#13')
+select coalesce(b.symbol, s.symbol) as symbol, coalesce(b.date, s.date) as date,
+       case when b.symbol is not null then b.sma_20 else s.sma_20 end as sma_20,
+       case when b.symbol is not null then b.rsi_14 else s.rsi_14 end as rsi_14,
+       case when b.symbol is not null then b.computed_at else s.computed_at end as computed_at
+from stored s full outer join batch b on b.symbol = s.symbol and b.date = s.date""",
+    "predictions_upsert": _model_ctes() + """
+select p.symbol, p.feature_date, p.prediction_date, p.predicted_direction, round(p.prob_up, 6) as prob_up,
+       round(p.prob_down, 6) as prob_down, p.mlflow_run_id, p.dag_run_id,
+       case when o.symbol is not null then timestamp '2000-01-01 00:00:00' else p.created_at end as created_at
+from pred p left join prev o on o.symbol = p.symbol and o.feature_date = p.feature_date""",
+    "documents_synced": _model_ctes() + """
+select symbol, feature_date, prediction_date, predicted_direction, prob_up, prob_down, mlflow_run_id, dag_run_id, created_at from docs""",
+}
