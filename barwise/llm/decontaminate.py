@@ -15,7 +15,8 @@ Only DataFrame functions are used.  Words are lower-cased A-Z and run over
 Results for odd input: null and empty texts have no words and are clean; items
 without words have no window.  Repeated rows each get the result of their
 (doc_id, text); a null doc_id stays null.  Items that repeat an item_id count
-once.  Empty tables give clean documents or an empty table.
+once; the passages of items without an item_id are hit words like any others, but
+such items are not counted or listed.  Empty tables give clean documents or an empty table.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.llm.setjoin import checked_broadcast
-from barwise.session import written
+from barwise.session import scratch, written
 
 WINDOW = 13
 #: Contaminated: at least one in this many words is inside a window.
@@ -88,7 +89,19 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Da
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int = SHARE) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, n_items, items_sha256 and contaminated of every row."""
-    found = written(occurrences(docs, benchmark, size), "occurrences")
+    with scratch(docs.sparkSession) as keep:
+        dirty = keep(written(_dirty(written(occurrences(docs, benchmark, size), "occurrences")), "dirty"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+                       F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("n_words"))
+    rows = rows.join(dirty, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")), "left")
+    n_hit, items = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
+    return (rows.select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"))
+            .withColumn("contaminated", F.expr(f"n_hit > 0 and {share} * n_hit >= n_words")))
+
+
+def _dirty(found: DataFrame) -> DataFrame:
+    """of_id, of_key, n_hit and items of the documents with occurrences."""
     # words inside any occurrence: each start adds what the ones before it do not cover
     before = Window.partitionBy("doc_id", "text_key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.groupBy("doc_id", "text_key", "start").agg(F.max("length").alias("length"))
@@ -98,19 +111,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, sha
     items = (found.select("doc_id", "text_key", F.explode("items").alias("item_id")).distinct().groupBy("doc_id", "text_key")
              .agg(F.array_sort(F.collect_list("item_id")).alias("items")))
     dirty = (n_hit.withColumnsRenamed({"doc_id": "of_id", "text_key": "of_key"})
-             .join(items, F.col("of_id").eqNullSafe(F.col("doc_id")) & (F.col("of_key") == F.col("text_key"))).select("of_id", "of_key", "n_hit", "items"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
-                       F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORDS)).cast("long").alias("n_words"))
-    rows = rows.join(dirty, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")), "left")
-    n_hit, items = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
-    return (rows.select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-                        F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"))
-            .withColumn("contaminated", F.expr(f"n_hit > 0 and {share} * n_hit >= n_words")))
+             .join(items, F.col("of_id").eqNullSafe(F.col("doc_id")) & (F.col("of_key") == F.col("text_key")), "left"))
+    return dirty.select("of_id", "of_key", "n_hit", "items")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int = SHARE) -> DataFrame:
     """``docs`` without the contaminated rows."""
-    dirty = written(contamination(docs, benchmark, size, share).where("contaminated")
-                    .select(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")).distinct(), "contaminated")
+    with scratch(docs.sparkSession) as keep:
+        dirty = keep(written(contamination(docs, benchmark, size, share).where("contaminated")
+                             .select(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")).distinct(), "contaminated"))
     same = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.xxhash64("text") == F.col("__llm_key"))
     return docs.join(checked_broadcast(dirty, dirty.count()), same, "left_anti")

@@ -17,7 +17,7 @@ g AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS gram
 occ AS (SELECT DISTINCT g.doc_id, g.i, g.size, win.item_id FROM g JOIN win ON g.size = win.size AND g.gram = win.gram),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
         FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM occ)) GROUP BY doc_id),
-its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+its AS (SELECT doc_id, count(item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
         FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
