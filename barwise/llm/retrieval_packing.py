@@ -3,8 +3,8 @@
 Method: a sharded BM25 inverted index.  Documents are tokenised once; their
 token ids are the terms, and document frequencies and the mean length are
 counted over all documents.  Documents are dealt to shards by their two weightiest
-terms, so lexical neighbours mostly meet in one shard; range partitions on
-(terms, row) split a group of any size.  A shard is at most ``SHARD`` ids (or one
+terms, so lexical neighbours mostly meet in one shard; ranges of (terms, row)
+split a group of any size.  A shard is at most ``SHARD`` ids (or one
 longer document), so a task holds one bounded index at a time, however many
 shards its partition has.
 
@@ -25,6 +25,7 @@ An empty table gives an empty table.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -46,6 +47,8 @@ END_ID = 2
 K1, B = 1.2, 0.75
 #: Ids of one shard's index, and of one partition as far as there are at most ``PARTS``.
 SHARD, PARTITION, PARTS = 1 << 21, 1 << 22, 20_000
+#: Ranges dealt to a partition, and documents that a partition's borders are drawn from.
+RANGES, SAMPLE = 4, 64
 #: Words, and pre-tokens, whose ids a worker remembers before it starts afresh (about 80 MB each).
 TABLE, PARTS_HELD = 2_000_000, 400_000
 #: Fixed value: the word vocabulary's pre-token pattern.
@@ -324,13 +327,26 @@ def _pack(corpus: Corpus, length: int, end_id: int):
     return rows
 
 
-def _key(corpus: Corpus):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(rows: DataFrame, corpus: Corpus, edges: list[tuple[int, int]]) -> DataFrame:
+    """row, doc_id and ids with their key and the range of (key, row) between the edges."""
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [corpus.key(np.frombuffer(x.as_buffer(), corpus.dtype)) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], ["row", "doc_id", "ids", "key"])
+            found = [corpus.key(np.frombuffer(x.as_buffer(), corpus.dtype)) for x in batch.column(2)]
+            at = [bisect_right(edges, x) for x in zip(found, batch.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64()), pa.array(at, pa.int32())],
+                                             ["row", "doc_id", "ids", "key", "range"])
 
-    return rows
+    return rows.select("row", "doc_id", "ids").mapInArrow(keys, "row long, doc_id long, ids binary, key long, range int")
+
+
+def _edges(rows: DataFrame, corpus: Corpus, parts: int) -> list[tuple[int, int]]:
+    """Borders of ``RANGES`` ranges a partition that hold about as many documents each, from ``SAMPLE`` documents a
+    partition; they only decide how evenly the documents are dealt."""
+    rate = min(1.0, max(20_000, SAMPLE * parts) / max(corpus.documents, 1))
+    some = _keyed(rows.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int(rate * (1 << 20))), corpus, [])
+    found = sorted((r["key"], r["row"]) for r in some.select("key", "row").collect())
+    ranges = parts * RANGES
+    return sorted({found[i * len(found) // ranges] for i in range(1, ranges)}) if len(found) > ranges else []
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -341,6 +357,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id
     cut = written(tokens(docs, tokenizer).withColumn("row", F.monotonically_increasing_id()), "tokens")
     corpus = Corpus(cut, words.dtype, words.tokenizer.get_vocab_size())
     parts = min(max(1, -(-(corpus.ids + corpus.documents) // PARTITION)), PARTS)
-    keyed = cut.select("row", "doc_id", "ids").mapInArrow(_key(corpus), "row long, doc_id long, ids binary, key long")
-    dealt = keyed.repartitionByRange(parts, "key", "row").sortWithinPartitions("key", "row")
+    keyed = _keyed(cut, corpus, _edges(cut, corpus, parts))
+    dealt = keyed.repartition(parts, "range").sortWithinPartitions("range", "key", "row")
     return dealt.select("doc_id", "ids").mapInArrow(_pack(corpus, length, end_id), PIECE)
