@@ -217,6 +217,16 @@ def _merge(spark, table, rows, keys, update_cols, date_col, insert_defaults, tou
     return known
 
 
+def changes(spark: SparkSession, table: str, since: int, columns: list[str]) -> DataFrame | None:
+    """The rows (``columns`` of them) that differ between version ``since`` and the newest, old and new ones; None if
+    that version is gone.  Only files that one of the two versions lacks are read."""
+    if since not in versions(spark, table):
+        return None
+    old, new = version(spark, table, since), version(spark, table)
+    gone, made = (_rows(spark, table, new.schema, [f for f in a.files if f not in b.files]).select(columns) for a, b in ((old, new), (new, old)))
+    return made.exceptAll(gone).union(gone.exceptAll(made))
+
+
 def expire(spark: SparkSession, table: str, keep: int = 10) -> int:
     """Delete all but the newest ``keep`` versions and the data folders that none of those reads; returns how many
     folders went.  No writer may be at work, as its files are not listed yet."""

@@ -69,9 +69,10 @@ class SqlWindow:
     def fast_mean(self, name: str, n: int) -> str:
         """Full-window mean from running sums.  Exact after rounding where the
         true mean has few decimals (e.g. cents / n); the difference of
-        running sums carries ~1e-10 absolute error."""
+        running sums carries ~1e-10 absolute error, which the eighth decimal
+        rounds away, so a later rounding does not depend on where the series began."""
         return (f"CASE WHEN {self.delta(f'__rc_{name}', n)} = {n} "
-                f"THEN {self.delta(f'__rs_{name}', n)} / {n} END")
+                f"THEN round({self.delta(f'__rs_{name}', n)} / {n}, 8) END")
 
     def extreme_parts(self, x: str, name: str, n: int, fn: str) -> dict[str, str]:
         """Level-1 columns: ``fn`` over 16-row and (n mod 16)-row frames."""

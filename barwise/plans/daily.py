@@ -8,7 +8,8 @@ rows are kept, symbols that the ledger has as done on this day are skipped,
 audit rows are appended, and files that no batch row can match are carried
 into the next version untouched.  Each stage reads the version that the stage
 before it published, so a lost executor recomputes inside one stage only,
-and a run that died is simply run again.
+and a run that died is simply run again.  Features are brought up to date from the
+rows that differ between the inputs' versions of the last build and of now.
 
 The five ingestion branches (prices of equities and of indices, dividends,
 splits, fundamentals) run at once; one that fails ends alone, is logged, and the
@@ -31,6 +32,7 @@ from barwise.operators.universe import (equity_universe, fallback_equities, fall
                                         universe_or_fallback)
 from barwise.operators.upsert import align_to_schema
 from barwise.plans import model as MD
+from barwise.plans.incremental import changed_from, update_features
 from barwise.plans.ingest import ERROR_CHARS, SPECS, ingest
 from barwise.plans.jobs import (prediction_documents, run_feature_job, run_prediction_job, run_sync_job,
                                 write_importance_csv)
@@ -64,6 +66,20 @@ def ingest_branch(spark: SparkSession, base: str, kind: str, batch: DataFrame, u
         snapshots.append(spark, f"{base}/ingestion_log", log)
 
 
+def _input_changes(spark: SparkSession, base: str) -> DataFrame | None:
+    """symbol and first changed date since the inputs' versions of the last feature build; None if all is to be built."""
+    if not snapshots.exists(spark, f"{base}/feature_inputs") or not snapshots.exists(spark, f"{base}/stock_features"):
+        return None
+    built = {r.name: r.version for r in snapshots.read(spark, f"{base}/feature_inputs").groupBy("name").agg(F.max("version").alias("version")).collect()}
+    found = []
+    for kind, (name, schema) in TABLES.items():
+        rows = snapshots.changes(spark, f"{base}/{name}", built.get(name, -1), [f.name for f in schema if f.name != "ingested_at"])
+        if rows is None:
+            return None
+        found.append((rows, SPECS[kind]["date_col"]))
+    return changed_from(*found)
+
+
 def run_daily(spark: SparkSession, landing: dict[str, DataFrame], base: str, run_id: str, as_of: str,
               run_ts: str, boost: MD.BoostParams = MD.BoostParams()) -> dict[str, DataFrame]:
     """One run over the tables below ``base``.  ``landing`` keys: registry (where there is no stored one yet), master,
@@ -98,11 +114,15 @@ def run_daily(spark: SparkSession, landing: dict[str, DataFrame], base: str, run
         rows = spark.createDataFrame(failed, "symbol string, data_type string, status string, rows_affected bigint, error_msg string, dag_run_id string")
         rows = rows.withColumn("error_msg", truncate_text(F.col("error_msg"), ERROR_CHARS)).withColumn("ran_at", F.lit(run_ts).cast("timestamp_ntz"))
         snapshots.append(spark, at("ingestion_log"), align_to_schema(rows, INGESTION_LOG))
-    tables = {name: snapshots.read(spark, at(name)) for name, _ in TABLES.values()}
+    inputs = {name: snapshots.versions(spark, at(name))[-1] for name, _ in TABLES.values()}
+    tables = {name: snapshots.read(spark, at(name), number) for name, number in inputs.items()}
 
     # C3 features (quarantine + audit rows inside the job)
-    feats = run_feature_job(spark, tables["bars"], tables["fundamentals"], tables["dividends"], tables["splits"],
-                            universe, at("stock_features"), at("ingestion_log"), run_id, run_ts)
+    changed = _input_changes(spark, base)
+    given = (tables["bars"], tables["fundamentals"], tables["dividends"], tables["splits"], universe)
+    stored = (at("stock_features"), at("ingestion_log"), run_id, run_ts)
+    feats = run_feature_job(spark, *given, *stored) if changed is None else update_features(spark, *given, changed, *stored)
+    snapshots.append(spark, at("feature_inputs"), spark.createDataFrame([(run_id, *x) for x in inputs.items()], "run_id string, name string, version long"))
 
     # C4 + C5 cross-validate, train, score the newest row per symbol, merge predictions
     with scratch(spark):

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from barwise import catalog
 from barwise.operators import snapshots as S
 from barwise.operators.branches import run_branches
+from barwise.operators.universe import equity_universe
+from barwise.plans import features as FE
 from barwise.plans.daily import run_daily
 from barwise.plans.model import BoostParams
 from barwise.sources import fixtures as FX
@@ -29,7 +31,7 @@ def test_daily_runs_end_to_end(spark, tmp_path):
     assert (s.inserted, s.modified, s.total) == (25, 0, 25)
     # the five branches ran at the same time
     assert len(out["branches"]) == 5 and max(b.started for b in out["branches"].values()) < min(b.ended for b in out["branches"].values())
-    bars1, pred1 = newest("bars"), newest("stock_predictions")
+    bars1, pred1, feats1 = newest("bars"), newest("stock_predictions"), newest("stock_features")
 
     # a second run of the same day skips what the ledger has as done and keeps first-insert times; a branch that fails ends alone
     landing["bars"] = t["bars"].withColumn("close", F.col("close") + 1)
@@ -38,7 +40,7 @@ def test_daily_runs_end_to_end(spark, tmp_path):
     ing = {(r.data_type, r.status): r.n for r in again["ingestion"].collect()}
     assert ("price", "success") not in ing and ing[("price", "failed")] == 9
     bars2 = newest("bars")
-    assert bars2.files == bars1.files
+    assert bars2.files == bars1.files and newest("stock_features").files == feats1.files      # no input row changed
     assert read("stock_predictions", newest("stock_predictions")).where("created_at >= '2030-01-01'").isEmpty() and newest("stock_predictions").number > pred1.number
     assert read("model_runs", newest("model_runs")).count() == 2 and again["predictions"].first().total == 25
 
@@ -51,6 +53,12 @@ def test_daily_runs_end_to_end(spark, tmp_path):
     assert sum(b.ok for b in last["branches"].values()) == 4 and {(r.data_type, r.status) for r in last["ingestion"].collect()} >= {("split", "failed")}
     bars3 = newest("bars")
     assert {f.part for f in set(bars2.files) ^ set(bars3.files)} == {day.strftime("%Y-%m")}
+    rebuilt = {f.part for f in set(feats1.files) ^ set(newest("stock_features").files)}
+    assert rebuilt and min(rebuilt) >= (day - dt.timedelta(days=400)).strftime("%Y-%m") > min(f.part for f in feats1.files)
+    whole = FE.to_feature_schema(FE.build_features(*(read(n, newest(n)) for n in ("bars", "fundamentals", "dividends", "splits")),
+                                                   equity_universe(read("registry", newest("registry"))))).where("_status = 'success'").select(FE.FEATURE_COLS)
+    now = read("stock_features", newest("stock_features")).select(FE.FEATURE_COLS)
+    assert whole.exceptAll(now).isEmpty() and now.exceptAll(whole).isEmpty()
     both = read("bars", bars2).alias("a").join(read("bars", bars3).alias("b"), ["symbol", "date"])
     changed = both.where("b.close = a.close + 1 and a.ingested_at = b.ingested_at")
     assert both.count() == sum(f.rows for f in bars1.files) and changed.count() == landing["bars"].count() == changed.where(F.col("date") == day).count() > 0
