@@ -45,7 +45,7 @@ def removed_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """doc_id, text_key and the removed line numbers (from 0, ascending) of the
     documents that lose lines; ``text_key`` is ``xxhash64(text)``."""
     with scratch(docs.sparkSession) as keep:
-        join = Join(docs, Sets(k, percent, lines=True, bits=256))
+        join = Join(docs, Sets(k, percent, lines=True, bits=256, exact=False))
         named = join.nodes.select("fp", "class", "first").join(_later(join).withColumn("later", F.lit(True)), "class", "left")
         lines = join.records.select("doc_id", "text_key", "unit", "fp").join(named.drop("class"), "fp")
         own = F.struct("doc_id", "text_key", "unit").eqNullSafe(F.col("first"))

@@ -4,9 +4,10 @@ A *unit* is a document or a line; its set is its distinct k-word shingles.
 Two sets a, b match when ``100 * |a & b| >= percent * |a | b|``.
 
 1. Units with equal sets form a class; everything after handles classes.
-2. Order of the tokens, one for all sets.  A share of all shingles, chosen by
-   hash and somewhat larger than a prefix's share of a set, comes first, ordered
-   by the exact number of classes that have them.  The others follow by rarity class (from
+2. Order of the tokens, one for all sets.  For whole texts a share of all shingles,
+   chosen by hash and somewhat larger than a prefix's share of a set, comes first, ordered
+   by the exact number of classes that have them (lines are short: of the few shingles
+   of a line by far most are outside such a share).  The others follow by rarity class (from
    ``2**SKETCH_BITS`` counters over all shingles) and hash.
 3. Two matching sets share a token among the first ``n - ceil(t * n) + 1`` of
    each.  The chosen shingles' counts come out of the one shuffle of the index; a
@@ -55,15 +56,19 @@ RECORD = "doc_id long, text_key long, unit int, n int, fp binary, chosen array<l
 class Sets:
     """How texts become sets: k words a shingle, similarity in percent, lines
     or whole texts as units; units without a word have no set.
-    ``bits`` is the length of a set's bitmap, a multiple of 64."""
+    ``bits`` is the length of a set's bitmap, a multiple of 64; ``exact`` lets a
+    share of the shingles be ordered by their exact counts."""
 
     k: int
     percent: int
     lines: bool = False
     bits: int = 512
+    exact: bool = True
 
     def is_chosen(self, token: np.ndarray) -> np.ndarray:
         """Whether a token's exact count orders it; a share of all shingles, by hash."""
+        if not self.exact:
+            return np.zeros(len(token), bool)
         return (token & np.uint64(0xFFFF)) < np.uint64(min(1 << 16, int(CHOSEN * (100 - self.percent) / 100 * (1 << 16))))
 
     def units(self, data: np.ndarray, starts: np.ndarray):
