@@ -52,9 +52,7 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # a special token's string in a text is ordinary text
-    return t
+    return Tokenizer.from_file(path)
 
 
 @lru_cache(maxsize=1)
@@ -73,12 +71,13 @@ class Ids(dict):
     A space before a visible character always begins a new pre-token, so a text
     may be cut there.  A part that ends in white space has no entry of its own
     (None): the space after it may belong to its last pre-token, so a text with
-    such a part is encoded whole.
+    such a part is encoded whole, and so is one that holds an added token's string.
     """
 
     def __init__(self, path: str, ranks: str | None):
         super().__init__()
         self.path, self.ranks, self.first = path, ranks, {}
+        self.added = [x.content for x in _tokenizer(path).get_added_tokens_decoder().values()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         got = _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)
@@ -96,12 +95,16 @@ class Ids(dict):
         if len(self) + len(self.first) > CACHE_WORDS:
             self.clear()
             self.first.clear()
-        cut = [t.split(" ") for t in texts]
+        odd = [any(x in t for x in self.added) for t in texts]
+        cut = [[""] if whole else t.split(" ") for t, whole in zip(texts, odd)]
         heads = [c.pop(0) for c in cut]
         self.learn(self.first, set(heads), "")
         self.learn(self, set(chain.from_iterable(cut)), " ")
         out: list[bytes] = []
-        for text, head, parts in zip(texts, heads, cut):
+        for text, head, parts, whole in zip(texts, heads, cut, odd):
+            if whole:
+                out.append(self.encode([text])[0])
+                continue
             ids = [self.first[head], *map(self.__getitem__, parts)]
             out.append(self.encode([text])[0] if None in ids else b"".join(ids))
         return out

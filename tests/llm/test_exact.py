@@ -55,6 +55,14 @@ def test_contamination_equals_brute_force(frame):
     assert sorted(map(tuple, got), key=str) == brute_contamination(rows, items)
 
 
+def test_items_without_an_id_hit_but_are_not_listed(frame):
+    items = frame([(None, "one two three"), (5, "three four"), (None, "five six")], "item_id long, text string")
+    rows = [(1, "one two three"), (2, "one two three four"), (3, "five six three four"), (4, "clean words")]
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.contamination(frame(rows), items).collect()}
+    assert got == {1: (3, 0, True), 2: (4, 1, True), 3: (4, 1, True), 4: (0, 0, False)}
+    assert sorted(r.doc_id for r in decontaminate.clean(frame(rows), items).collect()) == [4]
+
+
 def test_contamination_of_empty_tables_and_clean_columns(frame):
     items = frame([(1, "one two three")], "item_id long, text string")
     assert decontaminate.contamination(frame([]), items).count() == 0
@@ -112,7 +120,7 @@ def test_rules_are_indexed_by_their_rarest_token(frame):
     assert got["example.com/en/"] == "example" and got["com/"] == "com" and got["*zz*"] is None and got["www.example.com/en/"] == "www"
 
 
-TEXTS = ["", "Hello world.", "two  spaces and   three", "line\nbreak \n mixed\n\n x", " lead", "trail ", "\ttab a\xa0 b", "it's <|endoftext|> fine", "a\u3000 b", "é" * 3000,
+TEXTS = ["", "Hello world.", "two  spaces and   three", "line\nbreak \n mixed\n\n x", " lead", "trail ", "\ttab a\xa0 b", "it's <|endoftext|> fine", "end  <|endoftext|>  x", "<|endoftext|>", "<|endoftext|", "a<|endoftext|>b\n", "a\u3000 b", "é" * 3000,
          "word " * 5000, "日本語 テキスト です", "1234 56.78 $%^ &*", "\n", " ", "x\x1f y", "tab\t end", "a.\nB", "The***\nend.\nx y", "it's.\n\nNo", "x²y z1 _a. b_", "ab\n", None]
 
 
@@ -121,7 +129,6 @@ def test_pieces_rebuild_the_tokenizers_ids(spark, frame, ranks):
     rows = list(enumerate(TEXTS)) + [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select(
         (__import__("pyspark").sql.functions.col("doc_id") + 100).alias("doc_id"), "text").collect()] + [(None, "null id")]
     t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
     out = packing.pack_documents(frame(rows), TOKENIZER, ranks=ranks).collect()
     by_doc = {}
     for r in out:
