@@ -3,7 +3,8 @@
 Scripts, styles, comments and markup give no text.  Inline elements belong to
 the run of text around them; a ``br`` counts as white space.  Missing end tags
 are handled as browsers do for paragraphs, list items, table cells and
-definitions; an unclosed script, style or comment ends with the page.
+definitions; an unclosed script, style, title, text area or comment ends with the
+page, any other unclosed silent element with the block around it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import re
 
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
+#: Silent elements whose content is no markup.
+RAW = {"script", "style", "title", "textarea"}
 SILENT = {"script", "style", "noscript", "template", "svg", "iframe", "object", "textarea", "select", "title"}
 NAME = re.compile(r"[a-z]+")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -43,6 +46,7 @@ def parse(page: str) -> list[Node]:
     open_tags: list[tuple[str, int]] = [("#root", 0)]  # (tag, its block node)
     run: list[str] = []
     state = {"link": 0, "linked": 0, "all": 0}
+    held: dict[str, int] = {}  # open elements by tag, so that what is not open costs no search
 
     def flush() -> None:
         if run:
@@ -65,10 +69,18 @@ def parse(page: str) -> list[Node]:
     def close(i: int) -> None:
         if any(t in BLOCK for t, _ in open_tags[i:]):
             flush()
-        state["link"] -= sum(t == "a" for t, _ in open_tags[i:])
+        for t, _ in open_tags[i:]:
+            held[t] -= 1
+            state["link"] -= t == "a"
         del open_tags[i:]
 
+    def enter(tag: str, block: int) -> None:
+        open_tags.append((tag, block))
+        held[tag] = held.get(tag, 0) + 1
+
     def close_open(tags: set[str], limits: set[str]) -> None:
+        if not any(held.get(t) for t in tags):
+            return
         for i in range(len(open_tags) - 1, 0, -1):
             if open_tags[i][0] in tags:
                 return close(i)
@@ -88,15 +100,18 @@ def parse(page: str) -> list[Node]:
             continue
         tag, ending = tag.lower(), m[1] or m[4]
         if ending:
-            for i in range(len(open_tags) - 1, 0, -1):
-                if open_tags[i][0] == tag:
-                    close(i)
-                    break
+            if held.get(tag):
+                close(next(i for i in range(len(open_tags) - 1, 0, -1) if open_tags[i][0] == tag))
             continue
         if tag in SILENT:
-            if not (m[3] or m[6] or "").rstrip().endswith("/") or tag in ("script", "style", "title", "textarea"):
+            if not (m[3] or m[6] or "").rstrip().endswith("/") or tag in RAW:
                 quiet = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.I).search(page, at)
-                at = said = quiet.end() if quiet else n
+                if not quiet and tag not in RAW:
+                    around = nodes[open_tags[-1][1]].tag
+                    end = re.compile(rf"</{re.escape(around)}\s*(?:>|\Z)", re.I).search(page, at)
+                    at = said = end.start() if end else n
+                else:
+                    at = said = quiet.end() if quiet else n
             continue
         if tag == "br":
             run.append(" ")
@@ -111,11 +126,11 @@ def parse(page: str) -> list[Node]:
             names = tuple(w for k in ("class", "id", "role") if k in attributes for w in NAME.findall(attributes[k].lower()))
             parent = open_tags[-1][1]
             nodes.append(Node(parent, tag, names, nodes[parent].depth + 1))
-            open_tags.append((tag, len(nodes) - 1))
+            enter(tag, len(nodes) - 1)
         else:
             if tag == "a":
                 state["link"] += 1
-            open_tags.append((tag, open_tags[-1][1]))
+            enter(tag, open_tags[-1][1])
     say(page[said:])
     flush()
     return nodes

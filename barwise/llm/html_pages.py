@@ -1,7 +1,8 @@
 """Labelled training pages for the content extractor, built from layouts.
 
 A layout is markup whose block elements carry ``y="1"`` (main text) or
-``y="0"``; text inherits the label of the nearest such element.  ``{s}``,
+``y="0"``; text inherits the label of the nearest such element.  Readers'
+comments stand after the body or inside its end.  ``{s}``,
 ``{m}`` and ``{l}`` stand for short, middle and long invented prose, ``{w}``
 for a word.  Pages come from all combinations of a frame and a body, with
 seeded prose, so the model sees long adverts and very short paragraphs alike.
@@ -30,7 +31,8 @@ EXTRAS = [
 TALK = [
     '<section id="comments" class="comments" y="0"><h2>{w}</h2><div class="comment"><p class="author">{w}</p><p>{m}</p></div><div class="comment"><p>{l}</p></div></section>',
     '<div class="comment-list comments" y="0"><ol><li class="comment"><p>{m}</p></li><li class="comment"><p>{l}</p></li></ol><form><p>{s}</p></form></div>',
-    '<section class="reactions responses comments" y="0"><article class="comment"><p>{l}</p></article><article class="comment reply"><p>{m}</p></article></section>', "", "",
+    '<section class="reactions responses comments" y="0"><article class="comment"><p>{l}</p></article><article class="comment reply"><p>{m}</p></article></section>',
+    '<section class="comments" y="0"><p>{m}</p><p>{s}</p></section>', '<div id="comments" y="0"><h3>{w}</h3><p>{l}</p><p>{m}</p></div>', "", "",
 ]
 FEET = [
     '<footer y="0">{m}</footer>', '<footer y="0"><p>{s}</p><ul><li><a href="#">{w}</a></li></ul><div>{m}</div></footer>', '<div id="footer" class="footer" y="0"><p>{m}</p></div>',
@@ -48,7 +50,11 @@ BODIES = [
     '<figure><figcaption>{s}</figcaption></figure></article>',
     '<article class="story" y="1"><h1>{s}</h1><p>{m} <a href="#">{w}</a> {s}</p><p>{m}</p><form y="0"><p>{s}</p></form><p>{w}</p></article>',
     '<main y="1"><p>{l}</p><p>{w}</p></main>', "",
+    '<article y="1"><h1>{s}</h1><p>{m}</p><dl><dt>{w}</dt><dd>{m}</dd><dt>{w} {w}</dt><dd>{s}</dd></dl><p>{l}</p></article>',
+    '<div class="content body" y="1"><h1>{s}</h1><dl class="facts"><dt>{w}<dd>{s}<dt>{s}<dd>{l}</dl><ol><li>{m}</li><li>{s}</li></ol></div>',
 ]
+#: Ends of a body before which readers' comments may stand, and their share of the pages.
+CLOSERS, INSIDE = ("</article>", "</main>", "</div>"), 0.35
 VOWELS, OTHERS = "aeiou", "bcdfglmnprstv"
 
 
@@ -70,6 +76,10 @@ def page(rnd: random.Random) -> tuple[list[Node], list[int]]:
     """Nodes of a random page and their labels (1: main text)."""
     parts = [rnd.choice(MENUS), rnd.choice(EXTRAS), rnd.choice(EXTRAS) if rnd.random() < 0.5 else "", rnd.choice(BODIES), rnd.choice(TALK),
              rnd.choice(EXTRAS) if rnd.random() < 0.5 else "", rnd.choice(FEET)]
+    talk = rnd.choice(TALK)
+    closer = next((c for c in CLOSERS if parts[3].rstrip().endswith(c)), None)
+    if talk and closer and rnd.random() < INSIDE:
+        parts[3] = parts[3].rstrip()[: -len(closer)] + talk + closer
     layout = '<html y="0"><head><title>x</title></head><body y="0">' + "".join(parts)
     for mark, least, most in (("{w}", 1, 1), ("{s}", 2, 9), ("{m}", 8, 40), ("{l}", 30, 160)):
         while mark in layout:

@@ -30,7 +30,7 @@ from barwise.llm import html_pages
 from barwise.llm.dom import Node, parse
 
 BITS = 10
-TRAIN_PAGES, SEED, STEPS, RATE, DECAY = 400, 5, 120, 0.15, 2e-4
+TRAIN_PAGES, SEED, STEPS, RATE, DECAY = 600, 5, 120, 0.15, 2e-4
 #: Pages and characters of one batch of messages.
 PAGES, CHARS = 256, 1 << 21
 

@@ -241,7 +241,7 @@ def test_neighbours_come_by_bm25(monkeypatch):
         got = list(index.ranked(term, unused))
         assert sorted(got) == np.flatnonzero(unused).tolist()
         assert all(want[a] > want[b] - 1e-9 for a, b in zip(got, got[1:]))
-    packer = retrieval_packing.Packer(corpus, 64, 2, 0)
+    packer = retrieval_packing.Packer(corpus, 256, 2, 0)
     packer.shard([(i, np.append(d, np.uint16(2))) for i, d in enumerate(docs)])
     packer.close()
     rows = sorted(packer.out, key=lambda r: (r[5], r[6]))
