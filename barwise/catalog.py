@@ -18,7 +18,7 @@ from barwise.operators import modelprep as MP
 from barwise.operators import snapshots as SN
 from barwise.operators import summaries as S
 from barwise.operators import universe as U
-from barwise.operators.upsert import upsert_stats
+from barwise.operators.upsert import upsert_stats, write_snapshot
 from barwise.plans import features as FE
 from barwise.plans import ingest as IN
 from barwise.plans import jobs as JB
@@ -157,8 +157,18 @@ register("pending_splits", TO.INGEST_SQL["pending_splits"])(_pending_splits)
 LABEL = "target_direction_1d"
 
 
-def rounded_features(spark, d):
-    return FE.round_features(feature_frame(spark, d))
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def rounded_features(spark: SparkSession, d: str) -> DataFrame:
+    """The stored feature table of ``d``, as the training and read jobs use it: built once a session, laid out by
+    symbol and date."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        path = scratch_path(spark, "stock-features")
+        write_snapshot(FE.round_features(feature_frame(spark, d)), path, sort_within=["symbol", "date"])
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def _labelled(spark, d):
@@ -266,7 +276,7 @@ def trained(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, d)
     if key not in _TRAINED:
         with scratch(spark) as keep:
-            feats = written(rounded_features(spark, d), "features")
+            feats = rounded_features(spark, d)
             fit = MD.train_and_predict(feats, run_id="gbt-run", created_at=FX.RUN_TS)
             base = scratch_path(spark, "models")
             MD.save_model(spark, fit["model"], base, "gbt-run")
@@ -338,7 +348,7 @@ def _stamp(ts: str):
 def features_upsert(spark: SparkSession, d: str) -> DataFrame:
     """A day's features over a stored table: matched rows are replaced and touched, the others stay."""
     with scratch(spark):
-        ff = written(rounded_features(spark, d).select("symbol", "date", "sma_20", "rsi_14"), "features")
+        ff = rounded_features(spark, d).select("symbol", "date", "sma_20", "rsi_14")
         table, minus = scratch_path(spark, "stock-features"), F.lit(-1.0)
         stored = ff.where(F.col("date") < F.lit("1999-01-01").cast("date")).select(
             "symbol", "date", minus.alias("sma_20"), minus.alias("rsi_14"), _stamp(_OLD).alias("computed_at"))
