@@ -37,8 +37,8 @@ LENGTH = 1024
 END_ID = 2
 #: Pieces that one partition packs at a time.
 PIECES = 40_000
-#: Words whose ids a worker remembers before it starts afresh (about 100 MB).
-CACHE_WORDS = 400_000
+#: Words whose ids a worker remembers before it starts afresh (about 40 MB).
+CACHE_WORDS = 150_000
 #: Fixed value: the byte-level vocabulary's pre-token pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words of Latin letters, ASCII marks and line ends, for which both tokenizer libraries cut alike.
