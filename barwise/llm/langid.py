@@ -11,8 +11,9 @@ languages among the labels, which is taken to be a few hundred at most.
 ``accepted`` also rejects texts that read like none of the learned languages.
 The posterior cannot show that, as it adds up over all n-grams; the measure is
 the mean log-probability of an n-gram under the best language.  Its typical
-value and spread come from a bounded sample of each language's training rows,
-each scored without its own counts.
+value and spread come from all labelled rows of a language, each scored without
+its own counts.  It holds out no fold: model and typical values are those of
+every labelled row.
 
 Results for odd input: null texts and texts without a letter get ``und`` and
 score 0.  Very long texts are scored whole, in blocks.  Training rows without a
@@ -37,15 +38,15 @@ from barwise.llm.counts import summed
 BITS = 16
 SEED = 17
 SMOOTHING = 0.5
-#: Characters handled at a time.
-BLOCK = 1 << 19
+#: Characters handled at a time; the arrays of a block stay in a core's cache.
+BLOCK = 1 << 17
 #: A text whose best language has a lower posterior is rejected by ``accepted``.
 LEAST_SCORE = 0.5
 #: So many spreads below its best language's typical mean log-probability a text is rejected.
 #: In sf0.01, clean documents reach half of it, and 200 random characters of any script are far beyond.
 MOST_BELOW = 15.0
-#: Training rows from which typical values are taken, about.
-TYPICAL_ROWS = 4000
+#: Decimals of a mean log-probability that its median is taken of; they bound the values that are counted.
+DECIMALS = 4
 MARK = 1
 
 
@@ -137,23 +138,20 @@ def log_probabilities(table: np.ndarray) -> np.ndarray:
 
 
 def typical(labelled: DataFrame, names: list[str], table: np.ndarray) -> np.ndarray:
-    """(languages, 3): median and variance of the training rows' mean
+    """(languages, 3): median and variance of the labelled rows' mean
     log-probabilities, and the variance of one n-gram's share in a mean."""
-    labelled = labelled.where("text is not null and lang is not null").select("text", "lang")
-    share = min(1.0, TYPICAL_ROWS / max(1, labelled.count()))
-    picked = labelled.where(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)))
     shared = labelled.sparkSession.sparkContext.broadcast((names, table, table[:-1].sum(axis=0)))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, table, total = shared.value
+        number = {x: k for k, x in enumerate(names)}
         for batch in batches:
             out = []
             for text, lang in zip(batch["text"], batch["lang"]):
-                k = names.index(lang)
+                k = number[lang]
                 own = np.zeros(1 << BITS, np.int64)
                 for row, point in _blocks([text]):
-                    for _, bucket in grams(row, point):
-                        own += np.bincount(bucket, minlength=1 << BITS)
+                    own += np.bincount(np.concatenate([np.zeros(0, np.int64), *(b for _, b in grams(row, point))]), minlength=1 << BITS)
                 at, n = np.flatnonzero(own), own.sum()
                 if n:
                     p = np.log(table[at, k] - own[at] + SMOOTHING) - np.log(total[k] - n + SMOOTHING * (1 << BITS))
@@ -161,15 +159,14 @@ def typical(labelled: DataFrame, names: list[str], table: np.ndarray) -> np.ndar
                     out.append((lang, mean, (((p - mean) ** 2) * own[at]).sum() / n))
             yield pd.DataFrame(out, columns=["lang", "mean", "var"])
 
-    by_lang: dict[str, list] = {x: [] for x in names}
-    for r in picked.mapInPandas(rows, "lang string, mean double, var double").collect():
-        by_lang[r.lang].append((r.mean, r.var))
-    out = np.full((len(names), 3), -np.inf)  # a language without a picked row rejects nothing
-    for i, x in enumerate(names):
-        if by_lang[x]:
-            mean, var = np.array(by_lang[x]).T
-            # n-grams overlap: neighbours share characters, which widens a mean's spread
-            out[i] = np.median(mean), mean.var(), 4 * var.mean()
+    scored = (labelled.where("text is not null and lang is not null").select("text", "lang")
+              .mapInPandas(rows, "lang string, mean double, var double"))
+    usual = scored.groupBy("lang").agg(F.percentile(F.round("mean", DECIMALS), F.lit(0.5)).alias("mid"),
+                                       F.var_pop("mean").alias("own"), F.avg("var").alias("each"))
+    out = np.full((len(names), 3), -np.inf)  # a language without an n-gram rejects nothing
+    for r in usual.collect():                # one row a language
+        # n-grams overlap: neighbours share characters, which widens a mean's spread
+        out[names.index(r.lang)] = r.mid, r.own, 4 * r.each
     return out
 
 
@@ -238,9 +235,8 @@ def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     from barwise.llm.setjoin import checked_broadcast
     from barwise.session import written
 
-    known = training_rows(docs)
-    names, table = counted(known)
-    found = predict(docs, names, log_probabilities(table), typical(known, names, table))
+    names, table = counted(docs)
+    found = predict(docs, names, log_probabilities(table), typical(docs, names, table))
     bad = written(found.where((F.col("lang_pred") == "und") | (F.col("score") < least_score) | (F.col("below") > MOST_BELOW)).select(
         F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")).distinct(), "rejected")
     return docs.join(checked_broadcast(bad, bad.count()), F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.xxhash64("text") == F.col("__llm_key")), "left_anti")
