@@ -28,6 +28,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -134,7 +135,7 @@ def fit(docs: DataFrame) -> tuple[list[str], LogisticRegressionModel, float]:
     share = min(1.0, TRAIN_DOCS / max(1, docs.count()))
     picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)))
     lines = picked.select(F.explode(F.split("text", "\n")).alias("line")).where(~F.col("line").rlike(CUES) & (F.length("line") > 0))
-    known = spark.createDataFrame([(float(names.index(f)), t) for f, t in labelled()], "label double, line string")
+    known = _local(spark, [(float(names.index(f)), t) for f, t in labelled()], {"label": pa.float64(), "line": pa.string()})
     rows = known.union(lines.select(F.lit(0.0).alias("label"), "line")).withColumn("w", words("line")).where("size(w) > 0")
     rows = rows.select("label", F.explode(windows("w")).alias("w"))
     rows = _vectors(rows).withColumn("held", F.pmod(F.xxhash64("w"), F.lit(5)) == 0).select("label", "features", "held")
@@ -151,9 +152,14 @@ def fit(docs: DataFrame) -> tuple[list[str], LogisticRegressionModel, float]:
     return names, model, min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0), key=loss) if len(y) else 1.0
 
 
+def _local(spark: SparkSession, rows: list[tuple], fields: dict[str, pa.DataType]) -> DataFrame:
+    """A fixed table from Arrow columns: it lies in the plan, so no task starts a Python worker for it."""
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(zip(*rows), fields.values())], list(fields)))
+
+
 def templates(spark: SparkSession) -> DataFrame:
     """family, number and 3-grams of each template."""
-    rows = spark.createDataFrame([(f, i, t) for f, texts in TEMPLATES.items() for i, t in enumerate(texts)], "family string, number int, line string")
+    rows = _local(spark, [(f, i, t) for f, texts in TEMPLATES.items() for i, t in enumerate(texts)], {"family": pa.string(), "number": pa.int32(), "line": pa.string()})
     return rows.withColumn("w", words("line")).select("family", "number", shingles("w").alias("template"))
 
 
