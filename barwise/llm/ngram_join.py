@@ -2,7 +2,10 @@
 
 Method: rare-first prefix filtering with length, positional and suffix
 filters, joined on prefix n-grams and verified once per pair
-(:mod:`barwise.llm.setjoin`); components of the verified links.
+(:mod:`barwise.llm.setjoin`); components of the verified links.  Sets of
+different groups around one pivot meet where they differ from it in the same
+tokens, as matching ones must, so near misses of a large group do not meet
+all its members.
 
 Results for odd input: a document without words (null, empty or blank text)
 has no shingles and is linked with nothing.  A text of fewer than k words is
@@ -14,13 +17,18 @@ table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwise.llm.components import components
 from barwise.llm.setjoin import Join, Sets, checked_broadcast
 from barwise.session import scratch, written
 
+#: Rows of a token up to which rows of different groups meet each other; beyond, they meet by what sets them apart from the pivot.
+FEW = 16
+#: Nodes around a pivot that show which of its tokens are its own.
+SHOWN = 16
+
 
 def links(join: Join) -> DataFrame:
     """(node, component) of the linked members of a :class:`Join`."""
@@ -29,17 +37,73 @@ def links(join: Join) -> DataFrame:
                      .select(F.least("r.node", "p.node").alias("a"), F.greatest("r.node", "p.node").alias("b")).distinct(), "candidates")
     found = join.verified(tested)
     groups = components(found)
-    # every row outside its token's pivot's group meets all rows of other groups
+    # every row outside its token's pivot's group is compared with all rows of other groups
     every = written(_grouped(join.crowded(), groups), "grouped")
-    home = join.pivots(every).select("token", "node").join(groups, "node", "left").select("token", F.coalesce("component", "node").alias("home"))
-    outside = written(every.join(home, "token").where("g <> home").drop("home"), "outside")
-    every = every.join(outside.select("token").distinct(), "token", "left_semi")
-    pairs = written(outside.alias("r").join(every.alias("s"), "token").where("r.g <> s.g").where(join.near("r", "s"))
-                    .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")).distinct()
-                    .join(tested, ["a", "b"], "left_anti"), "candidates")
-    if pairs.isEmpty():
-        return groups
-    return components(found.union(join.verified(pairs)))
+    tokens = every.groupBy("token").agg(F.count("*").alias("rows"), F.min(F.struct("pos", "node", "g")).alias("p"), F.min("g").alias("lo"), F.max("g").alias("hi"))
+    mixed = written(every.join(tokens.where("lo <> hi").select("token", "rows", F.col("p.node").alias("pivot"), F.col("p.g").alias("home")), "token"), "mixed")
+    few = mixed.where(F.col("rows") <= FEW)
+    pairs = (few.where("g <> home").alias("r").join(few.alias("s"), "token").where("r.g <> s.g").where(join.near("r", "s"))
+             .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")))
+    around = written(mixed.where(F.col("rows") > FEW).where("node <> pivot").select("pivot", "home", "node", "g").distinct(), "around")
+    edits = written(_usual_last(written(_edits(join, around), "edits"), join.sets.percent), "edits")
+    p = join.sets.percent
+    beside = edits.where("g <> home").where(F.expr(f"{100 + p}L * e <= {100 - p}L * (n + pivot_n)")).select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
+    pairs = written(pairs.union(_by_edits(edits, p)).distinct().join(tested, ["a", "b"], "left_anti"), "candidates")
+    more = join.verified(pairs).union(beside)
+    return groups if more.isEmpty() else components(found.union(more))
+
+
+def _edits(join: Join, around: DataFrame) -> DataFrame:
+    """``around`` (pivot, home, node, g) with the tokens that only one of node and pivot has (those of the node first), their
+    number ``e`` and the sizes ``n`` and ``pivot_n`` of the two sets."""
+    join.fetch(around.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    own = join.whole.join(checked_broadcast(around, around.count()), "node")
+    pivots = join.whole.join(around.select(F.col("pivot").alias("node")).distinct(), "node").select(F.col("node").alias("pivot"), F.col("tokens").alias("theirs"))
+    return (own.join(pivots, "pivot")
+            .select("pivot", "home", "node", "g", F.size("tokens").alias("n"), F.size("theirs").alias("pivot_n"),
+                    F.concat(F.array_except("tokens", "theirs"), F.array_except("theirs", "tokens")).alias("edits"))
+            .withColumn("e", F.size("edits")))
+
+
+def _usual_last(edits: DataFrame, p: int) -> DataFrame:
+    """``edits`` with those last that most nodes around the pivot have, as far as some of its matches show: they are the
+    pivot's own.  Any order that is one for all nodes around a pivot gives the same matches; this one gives few candidates."""
+    by_pivot = Window.partitionBy("pivot").orderBy(F.xxhash64("node"), "node")
+    some = edits.where(f"e <= n * {100 - p}L div {p}").withColumn("k", F.row_number().over(by_pivot)).where(F.col("k") <= SHOWN)
+    held = some.select("pivot", "node", F.explode("edits").alias("edit")).groupBy("pivot", "edit").agg(F.count("*").alias("held"))
+    shown = some.groupBy("pivot").agg(F.count("*").alias("shown"))
+    usual = held.join(shown, "pivot").where("2 * held > shown and shown > 1").groupBy("pivot").agg(F.collect_list("edit").alias("usual"))
+    usual_of = F.coalesce("usual", F.expr("array()").cast("array<long>"))
+    return (edits.join(usual, "pivot", "left")
+            .withColumn("edits", F.concat(F.array_except("edits", usual_of), F.array_intersect("edits", F.array_sort(usual_of)))).drop("usual"))
+
+
+def _by_edits(edits: DataFrame, p: int) -> DataFrame:
+    """Pairs (a, b) of different groups around one pivot that may match: one is no match of the pivot, and the two share
+    edits among the first ones of each.
+
+    Sets r and s differ in e_r + e_s - 2 * (shared edits) tokens and match if these are at most
+    c * (n_r + n_s), c = (100 - p) / (100 + p).  If r is no match of the pivot, that takes at least
+    (e_s - c * (n_s - n_pivot)) / 2 shared edits, so one at least; it also takes e_r - c * (n_r + n_s) of them, and
+    as many of s."""
+    row = "pivot", "edit", "place", "node", "g", "n", "e"
+    far = f"{100 + p}L * e > {100 - p}L * (n + pivot_n)"
+    most = f"n * {100 - p}L div {p}"                            # tokens in which a set and any match of it differ
+    half = f"({100 + p}L * e - {100 - p}L * (n - pivot_n) + {2 * (100 + p) - 1}) div {2 * (100 + p)}"
+
+    def first(least: str, rows: DataFrame) -> DataFrame:
+        part = F.expr(f"slice(edits, 1, cast(e - {least} + 1 as int))")
+        return rows.select("pivot", "node", "g", "n", "e", F.posexplode(part).alias("place", "edit")).select(*row)
+
+    s = first(f"greatest(1L, e - {most}, {half})", edits)
+    r = first(f"greatest(1L, e - {most})", edits.where("g <> home").where(far))
+    held = s.groupBy("pivot", "edit").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
+    r = r.join(held, ["pivot", "edit"]).where("lo <> g or hi <> g").select(*row)
+    shared = F.expr(f"(r.e + s.e - ({100 - p}L * (r.n + s.n)) div {100 + p} + 1) div 2")
+    return (r.alias("r").join(s.alias("s"), ["pivot", "edit"]).where("r.g <> s.g")
+            .where(F.expr(f"100L * least(r.n, s.n) >= {p} * greatest(r.n, s.n)"))
+            .where(F.least(F.expr("r.e - r.place"), F.expr("s.e - s.place")) >= shared)
+            .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")))
 
 
 def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:

@@ -242,7 +242,7 @@ class Join:
         """The pivot of each token's rows: fewest rarer tokens, then smallest node."""
         return rows.groupBy("token").agg(F.min(F.struct("pos", "node", "n", "shared", "bits")).alias("p")).select("token", "p.*")
 
-    def _fetch(self, pairs: DataFrame) -> None:
+    def fetch(self, pairs: DataFrame) -> None:
         """Make the whole sets of the pairs' members that are not made yet, from their first units' texts."""
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         if self.whole is not None:
@@ -258,7 +258,7 @@ class Join:
         """The matching pairs (a, b) of a written table of distinct pairs, as a written table.
 
         Rows that repeat a document give its sets, and so a pair, again."""
-        self._fetch(pairs)
+        self.fetch(pairs)
         count = pairs.count()
         second = self.whole.join(checked_broadcast(pairs, count), F.col("node") == F.col("b")).select("a", "b", F.col("tokens").alias("sb"))
         firsts = pairs.select("a").distinct()

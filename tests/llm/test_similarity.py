@@ -114,3 +114,30 @@ def test_components_of_chains_and_stars(spark):
     rnd.shuffle(edges)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def crowd(seed, size, members, strangers, kin):
+    """Near copies of one text, texts that just miss it, and some that differ from a near miss by little."""
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randrange(10 ** 6)}" for _ in range(size)]
+
+    def edited(text, edits):
+        text = list(text)
+        for at in rnd.sample(range(size), edits):
+            text[at] = f"x{rnd.randrange(10 ** 9)}"
+        return text
+
+    near = [edited(base, rnd.choice([0, 1, 2, 3])) for _ in range(members)]
+    far = [edited(base, max(1, size * 12 // 1000 + rnd.choice([0, 1, 2, 3]))) for _ in range(strangers)]
+    more = [edited(rnd.choice(far), rnd.choice([1, 2, 3])) for _ in range(kin)]
+    cut = [t[rnd.randrange(6):size - rnd.randrange(6)] for t in rnd.sample(near + far + more, 20)]
+    rows = near + far + more + cut
+    rnd.shuffle(rows)
+    return [(i, " ".join(w)) for i, w in enumerate(rows)]
+
+
+@pytest.mark.parametrize("seed,size,k,percent", [(1, 200, 3, 90), (2, 300, 5, 80), (3, 120, 3, 90)])
+def test_crowded_groups_equal_brute_force(frame, seed, size, k, percent):
+    rows = crowd(seed, size, 60, 60, 40)
+    got = ngram_join.near_groups(frame(rows), k, percent).drop("text_key").collect()
+    assert sorted(map(tuple, got), key=str) == brute_groups(rows, k, percent)
