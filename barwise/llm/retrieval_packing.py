@@ -51,6 +51,8 @@ SHARD, PARTITION, PARTS = 1 << 21, 1 << 22, 20_000
 RANGES, SAMPLE = 4, 64
 #: Words, and pre-tokens, whose ids a worker remembers before it starts afresh (about 80 MB each).
 TABLE, PARTS_HELD = 2_000_000, 400_000
+#: Words that a worker adds before it puts them into its long table, besides an eighth of that; bytes of text it cuts at a time.
+NEWEST, TEXT_BLOCK = 20_000, 1 << 19
 #: Fixed value: the word vocabulary's pre-token pattern.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words of Latin letters, digits and marks, which the tokenizer's normalizer only lower-cases.
@@ -79,8 +81,9 @@ class Words:
         self.forget()
 
     def forget(self) -> None:
-        self.hash, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, self.dtype)
+        #: (hash, first id, number of ids) of the words by hash: all but the newest, and these
+        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))] * 2
+        self.ids, self.held = np.zeros(1 << 16, self.dtype), 0
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -104,14 +107,35 @@ class Words:
         rest = iter(self.encoded([w for w, c in zip(words, cut) if c is None]))
         got = [next(rest) if c is None else b"".join(map(self.parts.__getitem__, c)) for c in cut]
         size = np.fromiter(map(len, got), np.int64, len(got)) // self.dtype.itemsize
-        first = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(got), self.dtype)])
-        at = np.searchsorted(self.hash, hashes)
-        self.hash, self.first, self.size = (np.insert(x, at, y) for x, y in ((self.hash, hashes), (self.first, first), (self.size, size)))
+        first = self.held + np.cumsum(size) - size
+        while self.held + int(size.sum()) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.held: self.held + int(size.sum())] = np.frombuffer(b"".join(got), self.dtype)
+        self.held += int(size.sum())
+        old, newest = self.tables
+        newest = self.merged(newest, (hashes, first, size))
+        if len(newest[0]) > NEWEST + len(old[0]) // 8:          # few copies of a long table
+            old, newest = self.merged(old, newest), tuple(x[:0] for x in newest)
+        self.tables = [old, newest]
+
+    def merged(self, a: tuple, b: tuple) -> tuple:
+        at = np.searchsorted(a[0], b[0])
+        return tuple(np.insert(x, at, y) for x, y in zip(a, b))
+
+    def found(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each word is known, its first id's place and its number of ids."""
+        known, first, size = np.zeros(len(names), bool), np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        for table in self.tables:
+            left = np.flatnonzero(~known)
+            if len(table[0]) and len(left):
+                at = np.minimum(np.searchsorted(table[0], names[left]), len(table[0]) - 1)
+                same = table[0][at] == names[left]
+                known[left[same]], first[left[same]], size[left[same]] = True, table[1][at[same]], table[2][at[same]]
+        return known, first, size
 
     def of(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         """The ids of the texts that lie between ``offsets`` of UTF-8 ``data``."""
-        if len(self.hash) > TABLE:
+        if sum(len(t[0]) for t in self.tables) > TABLE:
             self.forget()
         whole = data.tobytes()
         if b"<|" in whole:
@@ -124,15 +148,14 @@ class Words:
             return plain
         first, last = tb.word_spans(data, offsets[:-1][offsets[:-1] < len(data)]) if len(data) else (np.zeros(0, np.int64),) * 2
         names, sample, where = np.unique(tb.span_hashes(data, first, last), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hash, names)
-        known = (self.hash[np.minimum(at, len(self.hash) - 1)] == names) if len(self.hash) else np.zeros(len(names), bool)
+        known, begin, size = self.found(names)
         if not known.all():
             new = sample[~known]
             self.learn(names[~known], [whole[a:b].decode() for a, b in zip(first[new].tolist(), last[new].tolist())])
-            at = np.searchsorted(self.hash, names)
-        size = self.size[at][where]
+            _, begin, size = self.found(names)
+        size = size[where]
         stop = np.cumsum(size)
-        ids = self.ids[np.repeat(self.first[at][where] - (stop - size), size) + np.arange(int(size.sum()))]
+        ids = self.ids[np.repeat(begin[where] - (stop - size), size) + np.arange(int(size.sum()))]
         raw, width = ids.tobytes(), self.dtype.itemsize
         edge = (np.concatenate([[0], stop])[np.searchsorted(first, offsets)] * width).tolist()
         return [raw[a:b] for a, b in zip(edge, edge[1:])]
@@ -148,7 +171,7 @@ def tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tb.utf8(batch.column(1))
-            for a, b in tb.blocks(offsets):
+            for a, b in tb.blocks(offsets, TEXT_BLOCK):
                 ids = _words(tokenizer).of(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 

@@ -247,3 +247,19 @@ def test_neighbours_come_by_bm25(monkeypatch):
     rows = sorted(packer.out, key=lambda r: (r[5], r[6]))
     ranked = [i for i in index.ranked(np.unique(docs[0]).astype(np.int64), np.ones(len(docs), bool)) if i != 0]
     assert rows[0][0] == 0 and [r[0] for r in rows[1:3]] == ranked[:2]
+
+
+def test_word_table_is_seldom_copied_and_gives_the_tokenizer_ids(monkeypatch):
+    import numpy as np
+    import public_tokenizers
+
+    from barwise.llm.retrieval_packing import Words
+    words, copied, insert = Words(public_tokenizers.path("word_bpe_49k.json")), [], np.insert
+    monkeypatch.setattr(np, "insert", lambda a, *rest: copied.append(len(a)) or insert(a, *rest))
+    for block in range(200):
+        texts = [f"word{block}x{i} again{i} Straße" for i in range(500)]
+        raw = [t.encode() for t in texts]
+        ids = words.of(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        if block % 40 == 0:
+            assert ids == words.encoded(texts)
+    assert sum(copied) <= 12_000_000
