@@ -250,11 +250,7 @@ def test_neighbours_come_by_bm25(monkeypatch):
 
 
 def test_word_table_is_seldom_copied_and_gives_the_tokenizer_ids(monkeypatch):
-    import numpy as np
-    import public_tokenizers
-
-    from barwise.llm.retrieval_packing import Words
-    words, copied, insert = Words(public_tokenizers.path("word_bpe_49k.json")), [], np.insert
+    words, copied, insert = retrieval_packing.Words(TOKENIZER), [], np.insert
     monkeypatch.setattr(np, "insert", lambda a, *rest: copied.append(len(a)) or insert(a, *rest))
     for block in range(200):
         texts = [f"word{block}x{i} again{i} Straße" for i in range(500)]
