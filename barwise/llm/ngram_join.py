@@ -26,8 +26,8 @@ from barwise.session import scratch, written
 
 #: Rows of a token up to which rows of different groups meet each other; beyond, they meet by what sets them apart from the pivot.
 FEW = 16
-#: Nodes around a pivot that show which of its tokens are its own.
-SHOWN = 16
+#: Nodes around a pivot that show which differences from it are common.
+SHOWN = 64
 
 
 def links(join: Join) -> DataFrame:
@@ -45,7 +45,7 @@ def links(join: Join) -> DataFrame:
     pairs = (few.where("g <> home").alias("r").join(few.alias("s"), "token").where("r.g <> s.g").where(join.near("r", "s"))
              .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")))
     around = written(mixed.where(F.col("rows") > FEW).where("node <> pivot").select("pivot", "home", "node", "g").distinct(), "around")
-    edits = written(_usual_last(written(_edits(join, around), "edits"), join.sets.percent), "edits")
+    edits = written(_rare_first(written(_edits(join, around), "edits")), "edits")
     p = join.sets.percent
     beside = edits.where("g <> home").where(F.expr(f"{100 + p}L * e <= {100 - p}L * (n + pivot_n)")).select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
     pairs = written(pairs.union(_by_edits(edits, p)).distinct().join(tested, ["a", "b"], "left_anti"), "candidates")
@@ -65,17 +65,16 @@ def _edits(join: Join, around: DataFrame) -> DataFrame:
             .withColumn("e", F.size("edits")))
 
 
-def _usual_last(edits: DataFrame, p: int) -> DataFrame:
-    """``edits`` with those last that most nodes around the pivot have, as far as some of its matches show: they are the
-    pivot's own.  Any order that is one for all nodes around a pivot gives the same matches; this one gives few candidates."""
+def _rare_first(edits: DataFrame) -> DataFrame:
+    """``edits`` ordered by how many of some nodes around the pivot, matches or not, have them; those of one of these at
+    most come first.  Any order that is one for all nodes around a pivot gives the same matches; this one gives few candidates."""
     by_pivot = Window.partitionBy("pivot").orderBy(F.xxhash64("node"), "node")
-    some = edits.where(f"e <= n * {100 - p}L div {p}").withColumn("k", F.row_number().over(by_pivot)).where(F.col("k") <= SHOWN)
-    held = some.select("pivot", "node", F.explode("edits").alias("edit")).groupBy("pivot", "edit").agg(F.count("*").alias("held"))
-    shown = some.groupBy("pivot").agg(F.count("*").alias("shown"))
-    usual = held.join(shown, "pivot").where("2 * held > shown and shown > 1").groupBy("pivot").agg(F.collect_list("edit").alias("usual"))
+    some = edits.withColumn("k", F.row_number().over(by_pivot)).where(F.col("k") <= SHOWN)
+    held = some.select("pivot", F.explode("edits").alias("edit")).groupBy("pivot", "edit").agg(F.count("*").alias("held")).where("held > 1")
+    usual = held.groupBy("pivot").agg(F.array_sort(F.collect_list(F.struct("held", "edit"))).alias("usual")).select("pivot", F.col("usual.edit").alias("usual"))
     usual_of = F.coalesce("usual", F.expr("array()").cast("array<long>"))
     return (edits.join(usual, "pivot", "left")
-            .withColumn("edits", F.concat(F.array_except("edits", usual_of), F.array_intersect("edits", F.array_sort(usual_of)))).drop("usual"))
+            .withColumn("edits", F.concat(F.array_except("edits", usual_of), F.array_intersect(usual_of, "edits"))).drop("usual"))
 
 
 def _by_edits(edits: DataFrame, p: int) -> DataFrame:
@@ -86,21 +85,21 @@ def _by_edits(edits: DataFrame, p: int) -> DataFrame:
     c * (n_r + n_s), c = (100 - p) / (100 + p).  If r is no match of the pivot, that takes at least
     (e_s - c * (n_s - n_pivot)) / 2 shared edits, so one at least; it also takes e_r - c * (n_r + n_s) of them, and
     as many of s."""
-    row = "pivot", "edit", "place", "node", "g", "n", "e"
-    far = f"{100 + p}L * e > {100 - p}L * (n + pivot_n)"
+    row = "pivot", "edit", "place", "node", "g", "n", "e", "far"
+    far = f"g <> home and {100 + p}L * e > {100 - p}L * (n + pivot_n)"
     most = f"n * {100 - p}L div {p}"                            # tokens in which a set and any match of it differ
     half = f"({100 + p}L * e - {100 - p}L * (n - pivot_n) + {2 * (100 + p) - 1}) div {2 * (100 + p)}"
 
     def first(least: str, rows: DataFrame) -> DataFrame:
         part = F.expr(f"slice(edits, 1, cast(e - {least} + 1 as int))")
-        return rows.select("pivot", "node", "g", "n", "e", F.posexplode(part).alias("place", "edit")).select(*row)
+        return rows.select("pivot", "node", "g", "n", "e", F.expr(far).alias("far"), F.posexplode(part).alias("place", "edit")).select(*row)
 
     s = first(f"greatest(1L, e - {most}, {half})", edits)
-    r = first(f"greatest(1L, e - {most})", edits.where("g <> home").where(far))
+    r = first(f"greatest(1L, e - {most})", edits.where(far))
     held = s.groupBy("pivot", "edit").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
     r = r.join(held, ["pivot", "edit"]).where("lo <> g or hi <> g").select(*row)
     shared = F.expr(f"(r.e + s.e - ({100 - p}L * (r.n + s.n)) div {100 + p} + 1) div 2")
-    return (r.alias("r").join(s.alias("s"), ["pivot", "edit"]).where("r.g <> s.g")
+    return (r.alias("r").join(s.alias("s"), ["pivot", "edit"]).where("r.g <> s.g and (not s.far or r.node < s.node)")
             .where(F.expr(f"100L * least(r.n, s.n) >= {p} * greatest(r.n, s.n)"))
             .where(F.least(F.expr("r.e - r.place"), F.expr("s.e - s.place")) >= shared)
             .select(F.least("r.node", "s.node").alias("a"), F.greatest("r.node", "s.node").alias("b")))
