@@ -46,8 +46,10 @@ def removed_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     documents that lose lines; ``text_key`` is ``xxhash64(text)``."""
     with scratch(docs.sparkSession) as keep:
         join = Join(docs, Sets(k, percent, lines=True, bits=256, exact=False))
-        named = join.nodes.select("fp", "class", "first").join(_later(join).withColumn("later", F.lit(True)), "class", "left")
-        lines = join.records.select("doc_id", "text_key", "unit", "fp").join(named.drop("class"), "fp")
+        named = join.nodes.select("fp", "class", "first", "units").join(_later(join).withColumn("later", F.lit(True)), "class", "left")
+        # a line that no other one equals stays if no other one matches it
+        named = written(named.where("later or units > 1").drop("units", "class"), "named")
+        lines = join.records.select("doc_id", "text_key", "unit", "fp").join(checked_broadcast(named, named.count()), "fp")
         own = F.struct("doc_id", "text_key", "unit").eqNullSafe(F.col("first"))
         rows = (lines.where(F.col("later").isNotNull() | ~own).groupBy("doc_id", "text_key")
                 .agg(F.array_sort(F.collect_set("unit")).alias("removed")))
@@ -57,11 +59,10 @@ def removed_lines(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
 def line_report(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """doc_id, n_lines, n_removed and the removed line numbers of every row."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
-                        F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
-                        F.length("text").alias("chars"))
+                        F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"))
     gone = removed_lines(docs, percent, k).withColumnsRenamed({"doc_id": "gone_id", "text_key": "gone_key"})
     return (keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left")
-            .select("doc_id", F.when(F.col("chars").isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"),
+            .select("doc_id", "n_lines",
                     F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("removed", F.array().cast("array<int>")).alias("removed")))
 

@@ -181,7 +181,7 @@ class Join:
         made = written(records(self.docs, sets, self.classes), "sets")
         self.nodes = written(
             made.where("n > 0").groupBy("fp")
-            .agg(F.min(F.struct("doc_id", "text_key", "unit")).alias("first"), F.min("doc_id").alias("least_id"),
+            .agg(F.min(F.struct("doc_id", "text_key", "unit")).alias("first"), F.min("doc_id").alias("least_id"), F.count("*").alias("units"),
                  F.max("n").alias("n"), F.max("chosen").alias("chosen"), F.max("others").alias("others"), F.max("bits").alias("bits"))
             .withColumn("class", F.monotonically_increasing_id()), "classes")
         self.records = written(made.select("doc_id", "text_key", "unit", "n", "fp"), "units")
@@ -199,9 +199,12 @@ class Join:
 
         ``pos`` is the token's place in the order of its set; of the tokens before it, ``shared`` are held by other classes."""
         p = self.sets.percent
-        sizes = ["class", "n", F.size("chosen").alias("held"), F.expr(f"n - ({p}L * n + 99) div 100 + 1").alias("prefix")]
-        index = (self.nodes.select(*sizes, F.explode("chosen").alias("token"), F.lit(-1).alias("place"))
-                 .union(self.nodes.select(*sizes, F.posexplode("others").alias("place", "token")).select("class", "n", "held", "prefix", "token", "place")))
+        sizes = ["class", "n"]
+        if self.sets.exact:
+            sizes.append(F.size("chosen").alias("held"))
+        index = self.nodes.select(*sizes, F.posexplode("others").alias("place", "token"))
+        if self.sets.exact:
+            index = index.union(self.nodes.select(*sizes, F.lit(-1).alias("place"), F.explode("chosen").alias("token")))
         by_token, frequent = Window.partitionBy("token"), F.shiftrightunsigned("token", 56) >= hot
         rows = index.withColumn("classes", F.lit(1 << 40))
         if (self.classes >= hot).any():
@@ -209,11 +212,15 @@ class Join:
         else:
             rows = index.withColumn("classes", F.count("*").over(by_token))
         by_class = Window.partitionBy("class")
-        rows = (rows.where("classes > 1")
-                .withColumn("shared", F.row_number().over(by_class.orderBy(F.col("place") >= 0, F.when(F.col("place") < 0, F.col("classes")), "place", "token")) - 1)
+        rows = rows.where("classes > 1")
+        if not self.sets.exact:
+            # all tokens in one order: a token's place is its position, and all of them lie in the prefix
+            shared = F.row_number().over(by_class.orderBy("place")) - 1
+            return rows.select("token", "class", "n", F.col("place").alias("pos"), shared.alias("shared"))
+        rows = (rows.withColumn("shared", F.row_number().over(by_class.orderBy(F.col("place") >= 0, F.when(F.col("place") < 0, F.col("classes")), "place", "token")) - 1)
                 .withColumn("alone", F.col("held") - F.count(F.when(F.col("place") < 0, 1)).over(by_class)))
         pos = F.when(F.col("place") < 0, F.col("alone") + F.col("shared")).otherwise(F.col("held") + F.col("place"))
-        return rows.withColumn("pos", pos.cast("int")).where("pos < prefix").select("token", "class", "n", "pos", "shared")
+        return rows.withColumn("pos", pos.cast("int")).where(f"pos < n - ({p}L * n + 99) div 100 + 1").select("token", "class", "n", "pos", "shared")
 
     def need(self, na: str, nb: str) -> Column:
         """Least overlap of two matching sets of these sizes."""

@@ -21,8 +21,6 @@ U64 = np.uint64
 MULT = U64(0x9E3779B97F4A7C15)
 MULT_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 STEP = U64(0xD6E8FEB86659FD93)
-SPACE = np.zeros(256, bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -36,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * STEP)
+BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * STEP)[LOWER]
 
 
 @lru_cache(maxsize=2)
@@ -79,18 +77,19 @@ def split_lines(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     """Line units of the rows that begin at ``starts``: (unit starts, row, line number)."""
     after = np.flatnonzero(data == 10) + 1
     row_of = np.searchsorted(starts, after - 1, "right") - 1
-    begin = np.concatenate([starts, after])
-    row = np.concatenate([np.arange(len(starts)), row_of])
-    order = np.lexsort((np.concatenate([np.zeros(len(starts), np.int8), np.ones(len(after), np.int8)]), begin, row))
-    begin, row = begin[order], row[order]
-    first = np.searchsorted(row, np.arange(len(starts)))
+    rows = np.arange(len(starts))
+    first = rows + np.searchsorted(row_of, rows)
+    begin, row = np.empty((2, len(starts) + len(after)), np.int64)
+    at = np.arange(len(after)) + row_of + 1
+    begin[first], begin[at] = starts, after
+    row[first], row[at] = rows, row_of
     return begin, row, np.arange(len(row)) - first[row]
 
 
 def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of every word; units begin at ``starts``."""
     n = len(data)
-    body = ~SPACE[data]
+    body = (data != 0x20) & (data - np.uint8(0x09) > 0x04)
     edge = np.zeros(n + 1, bool)
     edge[starts] = True
     edge[n] = True
@@ -106,8 +105,12 @@ def span_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     n = len(data)
     up, down = powers(n)
     total = np.zeros(n + 1, U64)
-    np.cumsum(BYTE_VALUE[LOWER[data]] * up[:n], out=total[1:])
-    value = (total[last] - total[first]) * down[first]
+    value = BYTE_VALUE.take(data, mode="clip")
+    value *= up[:n]
+    np.cumsum(value, out=total[1:])
+    value = total[last]
+    value -= total[first]
+    value *= down[first]
     return mix(value + (last - first).astype(U64) * STEP)
 
 
@@ -116,7 +119,8 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(0, U64)
     first, last = word_spans(data, starts)
-    return np.searchsorted(starts, first, "right") - 1, span_hashes(data, first, last)
+    held = np.diff(np.searchsorted(first, starts), append=len(first))
+    return np.repeat(np.arange(len(starts)), held), span_hashes(data, first, last)
 
 
 def shingles(unit: np.ndarray, word: np.ndarray, units: int, k: int) -> tuple[np.ndarray, np.ndarray]:
