@@ -85,11 +85,21 @@ def rarity(docs: DataFrame, sets: Sets) -> tuple[np.ndarray, int]:
     """Rarity class of every counter, and the lowest class of very frequent ones."""
     def count(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
+        parts: list[np.ndarray] = []
+
+        def add() -> None:
+            if parts:
+                np.add(total, np.bincount(np.concatenate(parts), minlength=1 << SKETCH_BITS), out=total)
+                parts.clear()
+
         for batch in batches:
             data, offsets = tb.utf8(batch.column(0))
             for a, b in tb.blocks(offsets):
                 h = sets.units(data[offsets[a]: offsets[b]], offsets[a:b] - offsets[a])[-1]
-                total += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+                parts.append((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+                if sum(map(len, parts)) > 1 << SKETCH_BITS:
+                    add()
+        add()
         return {"": total}
 
     counts = summed(docs.select("text"), count).get("", np.zeros(1 << SKETCH_BITS, np.int64)).astype(float)
@@ -127,9 +137,10 @@ def records(docs: DataFrame, sets: Sets, classes: np.ndarray) -> DataFrame:
             for a, b in tb.blocks(offsets):
                 row, number, n, first, unit, token, fp = _tokens(sets, classes, data[offsets[a]: offsets[b]], offsets[a:b] - offsets[a])
                 keep = np.flatnonzero(n) if sets.lines else np.arange(len(n))
-                names = [fp[i].tobytes() if n[i] else None for i in keep]
+                both = fp[keep].tobytes()
+                names = [both[16 * i: 16 * i + 16] if size else None for i, size in enumerate(n[keep].tolist())]
                 new = np.zeros(len(n), bool)
-                for i, x in zip(keep, names):
+                for i, x in zip(keep.tolist(), names):
                     if x is not None and x not in seen:
                         seen.add(x)
                         new[i] = True
@@ -187,21 +198,19 @@ class Join:
         self.records = written(made.select("doc_id", "text_key", "unit", "n", "fp"), "units")
         forget(made)
         live = written(self._live(hot), "index")
-        names = live.select("class").distinct().join(self.nodes.select("class", "fp", "first", "bits"), "class")
+        names = live.select("class").distinct().join(self.nodes.select("class", "fp", "first", "n", "bits"), "class")
         self.members = written(names.repartitionByRange("first").sortWithinPartitions("first")
                                .withColumn("node", F.monotonically_increasing_id()), "members")
-        self.live = written(live.join(self.members.select("class", "node", "bits"), "class").drop("class"), "index")
+        self.live = written(live.join(self.members.select("class", "node", "n", "bits"), "class").drop("class"), "index")
         forget(live)
         self.whole = None  # node and all tokens, of the members met so far
 
     def _live(self, hot: int) -> DataFrame:
-        """Index rows (token, class, n, pos, shared) of the tokens in prefixes that several classes have.
+        """Index rows (token, class, pos, shared) of the tokens in prefixes that several classes have.
 
         ``pos`` is the token's place in the order of its set; of the tokens before it, ``shared`` are held by other classes."""
         p = self.sets.percent
-        sizes = ["class", "n"]
-        if self.sets.exact:
-            sizes.append(F.size("chosen").alias("held"))
+        sizes = ["class", "n", F.size("chosen").alias("held")] if self.sets.exact else ["class"]
         index = self.nodes.select(*sizes, F.posexplode("others").alias("place", "token"))
         if self.sets.exact:
             index = index.union(self.nodes.select(*sizes, F.lit(-1).alias("place"), F.explode("chosen").alias("token")))
@@ -216,11 +225,11 @@ class Join:
         if not self.sets.exact:
             # all tokens in one order: a token's place is its position, and all of them lie in the prefix
             shared = F.row_number().over(by_class.orderBy("place")) - 1
-            return rows.select("token", "class", "n", F.col("place").alias("pos"), shared.alias("shared"))
+            return rows.select("token", "class", F.col("place").alias("pos"), shared.alias("shared"))
         rows = (rows.withColumn("shared", F.row_number().over(by_class.orderBy(F.col("place") >= 0, F.when(F.col("place") < 0, F.col("classes")), "place", "token")) - 1)
                 .withColumn("alone", F.col("held") - F.count(F.when(F.col("place") < 0, 1)).over(by_class)))
         pos = F.when(F.col("place") < 0, F.col("alone") + F.col("shared")).otherwise(F.col("held") + F.col("place"))
-        return rows.withColumn("pos", pos.cast("int")).where(f"pos < n - ({p}L * n + 99) div 100 + 1").select("token", "class", "n", "pos", "shared")
+        return rows.withColumn("pos", pos.cast("int")).where(f"pos < n - ({p}L * n + 99) div 100 + 1").select("token", "class", "pos", "shared")
 
     def need(self, na: str, nb: str) -> Column:
         """Least overlap of two matching sets of these sizes."""

@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 18
+BLOCK = 1 << 17
 U64 = np.uint64
 MULT = U64(0x9E3779B97F4A7C15)
 MULT_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
